@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, FloatType, IntegerType, StringType, StructField, StructType
 
 from speechset.constants import CFG_FLOOR
 
@@ -91,7 +91,9 @@ def _value(scalar: pa.Scalar, is_array: bool):
     return scalar.values.to_numpy(zero_copy_only=False) if is_array else scalar.as_py()
 
 
-CLIP_OUTPUT = StructType.fromDDL("out_array array<float>, out_rate int")
+CLIP_OUTPUT = StructType(
+    [StructField("out_array", ArrayType(FloatType())), StructField("out_rate", IntegerType())]
+)
 
 
 def _as_clip(open_model: Callable[[], Callable]) -> Callable[[], Callable]:
@@ -124,5 +126,5 @@ def encode_references(df: DataFrame, open_encoder: Callable[[], Callable], audio
         encoder = open_encoder()
         return lambda samples, rate: ([int(c) for c in encoder(samples, rate)],)
 
-    output = StructType.fromDDL("ref_codes array<int>")
+    output = StructType([StructField("ref_codes", ArrayType(IntegerType()))])
     return apply_job(flat, open_function, ["_array", "_rate"], output, drop=["_array", "_rate"])

@@ -110,10 +110,12 @@ def canonical_metadata(df: DataFrame, langs: Sequence[str]) -> DataFrame:
     return df.select(*head, *[c for c in df.columns if c not in used])
 
 
-def clip_record(df: DataFrame) -> DataFrame:
-    """The ten clip columns; what the table lacks, and every null text, becomes blank."""
+def clip_record(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The ten clip columns, then ``extra`` ones as they are. A text the table lacks, and every null
+    text, becomes blank; the index is a number."""
     fixed = {"original_index": F.col("original_index").cast("bigint")}
-    return df.select(*[fixed.get(c, column_or(df, c).cast("string")).alias(c) for c in CLIP_COLUMNS])
+    record = [fixed[c].alias(c) if c in fixed else column_or(df, c).cast("string").alias(c) for c in CLIP_COLUMNS]
+    return df.select(*record, *extra)
 
 
 def is_audio_name(name: str) -> bool:
