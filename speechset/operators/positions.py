@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,22 +47,19 @@ def dense_positions(
     return _by_range_partition(df, keys, groups, out, partitions)
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]):
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def _shift(numbered: DataFrame, sizes: DataFrame, groups: list[str], piece: str, out: str) -> DataFrame:
     """Add to each piece-local position the number of rows in the group's earlier pieces."""
     earlier = Window.partitionBy(*groups).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    first = F.col("_first") if "_first" in sizes.columns else F.lit(0)
+    keys = [*groups, piece]
+    offsets = sizes.select(
+        *[F.col(k).alias(f"_at_{k}") for k in keys],
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - first).alias("_offset"),
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys])
     keep = [c for c in numbered.columns if c not in (piece, "_local")]
-    first = F.coalesce(offsets["_first"], F.lit(0)) if "_first" in offsets.columns else F.lit(0)
-    joined = numbered.join(offsets, _same(numbered, offsets, [*groups, piece]))
-    position = (numbered["_local"] - first + offsets["_before"]).cast("bigint")
-    return joined.select(*[numbered[c] for c in keep], position.alias(out))
+    position = (F.col("_local") + F.col("_offset")).cast("bigint").alias(out)
+    return numbered.join(offsets, same).select(*keep, position)
 
 
 def _by_key_range(df: DataFrame, key: str, groups: list[str], out: str, low: int, width: int) -> DataFrame:

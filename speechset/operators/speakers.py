@@ -50,20 +50,21 @@ def annotate_speakers(
     split_column: str = "original_split",
     index_column: str = "original_index",
     bucket_width: int = 100_000,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``speaker_id``, ``speaker_name`` and ``_key`` from the range that holds the row's index.
 
     Ranges are inclusive; where two overlap the first one wins; a row in none is unknown. A table of
-    ranges needs the columns split, lo, hi, num, name and map_order. Up to ``BROADCAST_ROWS`` ranges
+    ranges needs the columns split, lo, hi, num, name and map_order. Up to ``broadcast_rows`` ranges
     are broadcast, so the utterances are not shuffled. More of them are joined by index bucket.
     """
     spark = df.sparkSession
     if isinstance(ranges, DataFrame):
         ordered = ranges.select("split", "lo", "hi", "num", "name", "map_order")
-        if ordered.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        if ordered.limit(broadcast_rows + 1).count() > broadcast_rows:
             matched = _bucketed_range_join(df, ordered, split_column, index_column, bucket_width)
             return _with_speaker_columns(matched, split_column, index_column)
-        rows = sorted(bounded_rows(ordered, BROADCAST_ROWS), key=lambda r: r["map_order"])
+        rows = sorted(bounded_rows(ordered, broadcast_rows), key=lambda r: r["map_order"])
         ranges = [(r["split"], r["lo"], r["hi"], r["num"], r["name"]) for r in rows]
     elif len(ranges) > BROADCAST_ROWS:
         raise ValueError("pass a range map of this size as a DataFrame")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from speechset.constants import LANGUAGE_NAMES, SENTENCES_PER_LANGUAGE, VOICE_IDS
-from speechset.operators.jobs import synthesize
 from speechset.functions.audio import audio_value
+from speechset.operators.jobs import synthesize
 from speechset.operators.languages import first_sentences, require_known, voice_grid
 
 
@@ -19,22 +19,28 @@ def speaker_language_grid(
     open_model: Callable[[], Callable],
     voices: Sequence[str] = tuple(VOICE_IDS),
     n: int = SENTENCES_PER_LANGUAGE,
-    order_by: str = "sample_index",
     known_voices: Sequence[str] = tuple(VOICE_IDS),
 ) -> DataFrame:
     """``speaker, language, language_name, text, audio_path, audio_length_samples, sample_index, clip, error``.
 
-    The model takes (text, language, voice). Combinations whose call fails keep their row and error.
+    ``catalogue`` has ``lang, sample_index, text``. The model takes (text, language, voice). A
+    combination whose call fails keeps its row, with the error.
     """
     require_known(langs, list(LANGUAGE_NAMES))
     require_known(voices, known_voices, "voices")
-    sentences = first_sentences(catalogue.drop("sample_index") if order_by != "sample_index" else catalogue.withColumnRenamed("sample_index", "_order"),
-                                langs, n, "_order" if order_by == "sample_index" else order_by)
-    grid = voice_grid(sentences, voices, LANGUAGE_NAMES)
+    sentences = first_sentences(catalogue.withColumnRenamed("sample_index", "_order"), langs, n, "_order").drop("_order")
+    # A few sentences per language fit one partition: spread them so that the model runs in parallel.
+    grid = voice_grid(sentences, voices, LANGUAGE_NAMES).repartition("lang", "sample_index", "speaker")
     made = synthesize(grid, open_model, ["text", "lang", "speaker"])
     return made.select(
-        "speaker", F.col("lang").alias("language"), "language_name", "text", "audio_path",
-        F.coalesce(F.size("out_array"), F.lit(0)).cast("bigint").alias("audio_length_samples"),
+        "speaker",
+        F.col("lang").alias("language"),
+        "language_name",
+        "text",
+        "audio_path",
+        F.coalesce(F.when(F.col("out_array").isNotNull(), F.size("out_array")), F.lit(0)).cast("bigint").alias(
+            "audio_length_samples"
+        ),
         "sample_index",
         audio_value(F.col("out_array"), F.col("out_rate")).alias("clip"),
         "error",

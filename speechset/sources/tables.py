@@ -33,6 +33,14 @@ def peek(df: DataFrame, order_by: str) -> DataFrame:
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """Column names and types as a table."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    """``column_name, data_type, n_values`` of every column; all columns are counted in one pass."""
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    rows = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.col(f.name).alias("n_values"),
+        )
+        for f in df.schema
+    ]
+    return counts.select(F.inline(F.array(*rows)))
