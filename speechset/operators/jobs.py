@@ -18,6 +18,10 @@ from pyspark.sql.types import ArrayType, FloatType, IntegerType, StringType, Str
 from speechset.constants import CFG_FLOOR
 
 
+# Results that are held before an output batch is handed on.
+OUTPUT_BYTES = 32 * 1024 * 1024
+
+
 def cfg_weight(column: Column) -> Column:
     """The guidance weight, never exactly zero."""
     return F.greatest(column, F.lit(CFG_FLOOR))
@@ -29,6 +33,12 @@ def _worker_cache() -> dict:
     return holder.__dict__.setdefault("opened", {})
 
 
+def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """Hash the work list over ``tasks`` partitions: for rows that weigh little and cost much, such as
+    sentences to synthesise. By row key, never by speaker or language. None keeps the scan's partitions."""
+    return df.repartition(tasks, *keys) if tasks else df
+
+
 def apply_job(
     df: DataFrame,
     open_function: Callable[[], Callable],
@@ -43,7 +53,8 @@ def apply_job(
     once. The function returns one value per output. Rows that already have an error are passed by;
     an exception leaves the outputs null and its traceback in ``error``. Columns that are not inputs
     travel as Arrow data and are never converted; ``drop`` leaves out the ones no longer needed.
-    Filter before this call: predicates are not pushed through Python.
+    Filter before this call: predicates are not pushed through Python. Input batches are bounded by
+    the session's Arrow settings, output batches by ``OUTPUT_BYTES``.
     """
     if error not in df.columns:
         df = df.withColumn(error, F.lit(""))
@@ -62,25 +73,27 @@ def apply_job(
         function = cache[job]
         for batch in batches:
             columns = [batch.column(c) for c in inputs]
-            errors = batch.column(error).to_pylist()
-            results = []
-            for i, known in enumerate(errors):
-                result = (None,) * len(arrow_types)
+            known_errors = batch.column(error).to_pylist()
+            start, results, errors, size = 0, [], [], 0
+            for i, known in enumerate(known_errors):
+                result, failure = (None,) * len(arrow_types), known or ""
                 if not known:
-                    errors[i] = ""
                     try:
                         values = [_value(column[i], array) for column, array in zip(columns, is_array)]
                         result = tuple(function(*values))
                     except Exception:
-                        errors[i] = traceback.format_exc()
+                        failure = traceback.format_exc()
                 results.append(result)
-            produced = [
-                pa.array([r[k] for r in results], type=kind) for k, kind in enumerate(arrow_types)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + produced + [pa.array(errors, type=pa.string())],
-                names=schema.names,
-            )
+                errors.append(failure)
+                size += sum(getattr(value, "nbytes", 64) for value in result)
+                if size >= OUTPUT_BYTES or i + 1 == batch.num_rows:
+                    part = batch.slice(start, len(results))
+                    produced = [pa.array([r[k] for r in results], type=t) for k, t in enumerate(arrow_types)]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(c) for c in kept] + produced + [pa.array(errors, type=pa.string())],
+                        names=schema.names,
+                    )
+                    start, results, errors, size = i + 1, [], [], 0
 
     return df.mapInArrow(run, schema)
 

@@ -55,14 +55,13 @@ def expand_languages(df: DataFrame, text_columns: Mapping[str, str], keep: Seque
 
 
 def collapse_languages(
-    df: DataFrame, key: Sequence[str], langs: Sequence[str], value: str, prefix: str
+    df: DataFrame, key: Sequence[str], langs: Sequence[str], value: str, prefix: str, extra: Sequence[Column] = ()
 ) -> DataFrame:
     """Back to one row per key with a column ``<prefix><lang>`` per language. A key has at most one
-    row per language, so groups are small however the data is distributed."""
-    wide = df.groupBy(*key).pivot("lang", list(langs)).agg(F.first(value, ignorenulls=True))
-    for lang in langs:
-        wide = wide.withColumnRenamed(lang, f"{prefix}{lang}")
-    return wide
+    row per language, so groups are small however the data is distributed. ``extra`` aggregates are
+    computed in the same shuffle."""
+    cells = [F.max(F.when(F.col("lang") == lang, F.col(value))).alias(f"{prefix}{lang}") for lang in langs]
+    return df.groupBy(*key).agg(*cells, *extra)
 
 
 def language_coverage(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:

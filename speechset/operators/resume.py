@@ -18,7 +18,7 @@ def completed_rows(
     """
     done = prior.where(has_text(F.col(path)))
     if files is not None:
-        done = done.join(files.select(path).distinct(), path, "left_semi")
+        done = done.join(files.select(path), path, "left_semi")
     if order is None:
         return done.dropDuplicates([key]).select(*prior.columns)
     last = done.groupBy(key).agg(F.max_by(F.struct(*prior.columns), order).alias("_last"))

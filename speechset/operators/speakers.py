@@ -49,7 +49,6 @@ def annotate_speakers(
     ranges: Sequence[tuple] | DataFrame = SPEAKER_RANGES,
     split_column: str = "original_split",
     index_column: str = "original_index",
-    bucket_width: int = 100_000,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``speaker_id``, ``speaker_name`` and ``_key`` from the range that holds the row's index.
@@ -62,7 +61,7 @@ def annotate_speakers(
     if isinstance(ranges, DataFrame):
         ordered = ranges.select("split", "lo", "hi", "num", "name", "map_order")
         if ordered.limit(broadcast_rows + 1).count() > broadcast_rows:
-            matched = _bucketed_range_join(df, ordered, split_column, index_column, bucket_width)
+            matched = _bucketed_range_join(df, ordered, split_column, index_column)
             return _with_speaker_columns(matched, split_column, index_column)
         rows = sorted(bounded_rows(ordered, broadcast_rows), key=lambda r: r["map_order"])
         ranges = [(r["split"], r["lo"], r["hi"], r["num"], r["name"]) for r in rows]
@@ -74,21 +73,26 @@ def annotate_speakers(
     return _with_speaker_columns(matched, split_column, index_column)
 
 
-def _bucketed_range_join(
-    df: DataFrame, ranges: DataFrame, split_column: str, index_column: str, width: int
-) -> DataFrame:
-    """Join on (split, index bucket); a bucket spans ``width`` positions, so no split is one hot key.
-    The winner among overlapping ranges is found per row, after the rows are reduced to their keys."""
-    buckets = ranges.select(
-        F.col("split").alias("_split"), "lo", "hi", "num", "name", "map_order",
-        F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))).alias("_bucket"),
+def _bucketed_range_join(df: DataFrame, ranges: DataFrame, split_column: str, index_column: str) -> DataFrame:
+    """Join on (split, level, bucket). A range of length 2^k to 2^(k+1)-1 has level k and buckets of
+    2^k positions, so it lies in at most three of them and a bucket meets only ranges of about its own
+    size: neither long nor short ranges pile up, and no split is one hot key. Each row looks into
+    one bucket per level that occurs. The rows are reduced to their keys here, and the first of
+    several matching ranges is chosen per key."""
+    sized = ranges.where("lo <= hi").withColumn("_level", F.length(F.bin(F.col("hi") - F.col("lo") + 1)) - 1)
+    levels = sorted(bounded_rows(sized.select("_level").distinct()))
+    buckets = sized.select(
+        F.col("split").alias("_split"), "lo", "hi", "num", "name", "map_order", "_level",
+        F.explode(F.expr("sequence(shiftright(lo, _level), shiftright(hi, _level))")).alias("_bucket"),
     )
     places = df.select(
-        F.col(split_column).alias("_s"), F.col(index_column).alias("_i"),
-        F.floor(F.col(index_column) / width).alias("_b"),
-    )
+        F.col(split_column).alias("_s"),
+        F.col(index_column).cast("bigint").alias("_i"),
+        F.explode(F.array(*[F.lit(row[0]) for row in levels]).cast("array<int>")).alias("_l"),
+    ).withColumn("_b", F.expr("shiftright(_i, _l)"))
     hit = (
         (F.col("_s") == F.col("_split"))
+        & (F.col("_l") == F.col("_level"))
         & (F.col("_b") == F.col("_bucket"))
         & F.col("_i").between(F.col("lo"), F.col("hi"))
     )

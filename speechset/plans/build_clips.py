@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from speechset.constants import CLIP_COLUMNS, ERROR_NO_AUDIO, ERROR_NO_TEXT
 from speechset.functions.audio import AUDIO_TYPE, audio_value, has_samples
 from speechset.functions.naming import cloned_clip_name, source_clip_name
-from speechset.operators.jobs import synthesize
-from speechset.operators.resume import completed_rows, merge_runs, pending_rows
+from speechset.operators.jobs import spread, synthesize
+from speechset.operators.resume import completed_rows, pending_rows
 from speechset.operators.shape import clip_record
 from speechset.operators.validity import mark_errors
 from speechset.session import new_folder
@@ -61,12 +61,14 @@ def build_clips(
     folder: str | None = None,
     single_files: bool = False,
     prior_order: str | None = None,
+    tasks: int | None = None,
 ) -> BuiltClips:
     """Build the clips that an earlier run has not finished, and the metadata of both runs.
 
     ``utterances`` has ``_key``, the speaker columns, texts and ``audio``. Each clip is synthesised
     once: the result is written below ``folder`` before anything else reads it. ``single_files``
-    adds one WAV file per source and per cloned clip.
+    adds one WAV file per source and per cloned clip. ``tasks`` spreads the work list when the scan's
+    partitions hold too many clips each.
     """
     spark = utterances.sparkSession
     folder = folder or new_folder(spark, "clips")
@@ -75,12 +77,13 @@ def build_clips(
     if prior is not None:
         done = completed_rows(prior, files, order=prior_order)
         todo = pending_rows(utterances, done)
-    synthesize_clips(todo, open_model).write.mode("overwrite").parquet(f"{folder}/clips")
+    synthesize_clips(spread(todo, tasks, "_key"), open_model).write.mode("overwrite").parquet(f"{folder}/clips")
     clips = spark.read.parquet(f"{folder}/clips")
     if single_files:
         write_clip_files(todo, clips, folder)
     new = clips.select(*CLIP_COLUMNS)
-    metadata = merge_runs(clip_record(done), new) if done is not None else new
+    # ``new`` holds no finished key: a union is the merge.
+    metadata = clip_record(done).unionByName(new) if done is not None else new
     return BuiltClips(metadata, clips)
 
 
@@ -95,6 +98,7 @@ def write_clip_files(utterances: DataFrame, clips: DataFrame, folder: str) -> No
         clips.where(F.col("cloned_audio_fr") != "").select(F.col("cloned_audio_fr").alias("path"), F.col("clip").alias("audio"))
     )
     written = write_audio_files(jobs, folder)
-    failed = written.where(F.col("error") != "").select("path", "error").limit(1).collect()
-    if failed:
-        raise RuntimeError(f"could not write {failed[0]['path']}: {failed[0]['error']}")
+    failed = F.col("error") != ""
+    report = written.agg(F.count_if(failed).alias("n"), F.min(F.when(failed, F.struct("path", "error"))).alias("first")).first()
+    if report.n:
+        raise RuntimeError(f"{report.n} clips not written, such as {report.first['path']}: {report.first['error']}")

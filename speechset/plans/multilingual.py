@@ -13,7 +13,7 @@ from speechset.functions.audio import audio_value, has_samples, resample_audio
 from speechset.functions.naming import indexed_clip_name, indexed_source_name
 from speechset.functions.text import is_empty
 from speechset.functions.tokens import clone_prompt, format_codes
-from speechset.operators.jobs import encode_references, synthesize
+from speechset.operators.jobs import encode_references, spread, synthesize
 from speechset.operators.languages import collapse_languages, expand_languages, language_coverage, require_known
 from speechset.operators.shape import SourceProfile, put_first, pair_order, select_profile
 from speechset.session import new_folder
@@ -32,6 +32,7 @@ def clone_rows(
     open_encoder: Callable[[], Callable],
     open_model: Callable[[], Callable],
     encoder_rate: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """One row per (position, language): ``pos, lang, text, path, clip, error``.
 
@@ -57,7 +58,7 @@ def clone_rows(
             "error": F.when(F.col("error") != "", F.col("error")).when(skip, "no text").otherwise(""),
         }
     ).drop("reference_text", "ref_tokens")
-    made = synthesize(asked, open_model, ["prompt", "lang"], drop=["prompt"])
+    made = synthesize(spread(asked, tasks, "pos", "lang"), open_model, ["prompt", "lang"], drop=["prompt"])
     clip = audio_value(F.col("out_array"), F.col("out_rate"))
     name = F.concat_ws("/", F.lit("cloned_audio"), F.col("lang"), indexed_clip_name(F.col("pos"), F.col("lang")))
     return made.select(
@@ -71,10 +72,10 @@ def clone_rows(
 def wide_metadata(df: DataFrame, clips: DataFrame, langs: Sequence[str], source_lang: str = "en") -> DataFrame:
     """Input rows (without audio) with ``voice_<lang>`` paths and ``voice_<lang>_ok`` flags, in
     canonical order. Only paths and errors are shuffled."""
-    paths = clips.select("pos", "lang", "path")
-    wide = collapse_languages(paths, ["pos"], langs, "path", "voice_")
-    failures = clips.where(F.col("error") != "").groupBy("pos").agg(F.min_by("error", "lang").alias("error"))
-    joined = df.drop("audio").join(wide, "pos", "left").join(failures, "pos", "left")
+    paths = clips.select("pos", "lang", "path", "error")
+    first_error = F.min_by("error", F.when(F.col("error") != "", F.col("lang"))).alias("error")
+    wide = collapse_languages(paths, ["pos"], langs, "path", "voice_", [first_error])
+    joined = df.drop("audio").join(wide, "pos", "left")
     voices = {f"voice_{lang}": F.coalesce(F.col(f"voice_{lang}"), F.lit("")) for lang in langs}
     flags = {f"voice_{lang}_ok": F.coalesce(F.col(f"voice_{lang}"), F.lit("")) != "" for lang in langs}
     result = joined.withColumns({**flags, **voices, "error": F.coalesce(F.col("error"), F.lit(""))})
@@ -95,17 +96,19 @@ def multilingual_clips(
     position: str = "pos",
     encoder_rate: int | None = None,
     folder: str | None = None,
+    tasks: int | None = None,
 ) -> MultilingualClips:
     """Validate the languages, clone every row, and give clips, wide metadata and filled counts.
 
-    ``df`` carries its dense position. The clips are written below ``folder`` once, and the
-    metadata is derived from that table without its audio column.
+    ``df`` carries its dense position; it is read twice, so store the numbered table first. The
+    clips are written below ``folder`` once, and the metadata is derived from that table without its
+    audio column. ``tasks`` spreads the (row, language) work list over that many partitions.
     """
     require_known(langs, profile.languages())
     spark = df.sparkSession
     rows = select_profile(df, profile, keep=[position]).withColumnRenamed(position, "pos")
     path = f"{folder or new_folder(spark, 'multilingual')}/clips"
-    clone_rows(rows, langs, open_encoder, open_model, encoder_rate).write.mode("overwrite").parquet(path)
+    clone_rows(rows, langs, open_encoder, open_model, encoder_rate, tasks).write.mode("overwrite").parquet(path)
     clips = spark.read.parquet(path)
     metadata = wide_metadata(rows, clips, langs)
     coverage = language_coverage(metadata, {lang: f"voice_{lang}" for lang in langs})

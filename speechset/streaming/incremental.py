@@ -74,11 +74,21 @@ def build_arrivals(
 
 
 def compact(spark: SparkSession, output: str, target: str, key: str = "_key", done: str | None = None) -> DataFrame:
-    """The final table: one row per key. A finished row beats a failed one, then the latest batch wins."""
+    """The final table: one row per key. A finished row beats a failed one, then the latest batch wins.
+
+    Only keys built more than once are looked up; the rows themselves, which may carry audio, stay
+    where they are when these are few.
+    """
     built = spark.read.parquet(output)
-    finished = F.expr(done).cast("int") if done else F.lit(1)
-    order = F.struct(F.coalesce(finished, F.lit(0)).alias("finished"), F.col("batch_id"))
-    columns = [c for c in built.columns if c != "batch_id"]
-    last = built.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("_last")).select("_last.*")
-    last.write.mode("overwrite").parquet(target)
+    finished = F.coalesce(F.expr(done), F.lit(False)) if done else F.lit(True)
+    again = (
+        built.groupBy(F.col(key).alias("_again"))
+        .agg(
+            F.count(F.lit(1)).alias("_times"),
+            F.coalesce(F.max(F.when(finished, F.col("batch_id"))), F.max("batch_id")).alias("_winner"),
+        )
+        .where("_times > 1")
+    )
+    kept = built.join(again, F.col(key) == F.col("_again"), "left").where("_winner IS NULL OR _winner = batch_id")
+    kept.drop("batch_id", "_again", "_times", "_winner").write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)

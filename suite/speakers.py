@@ -213,7 +213,7 @@ def q_speaker_overlaps(spark, sf_dir):
 def q_speaker_overlaps_bucketed(spark, sf_dir):
     """The same through the bucketed join, as for a map too large to broadcast."""
     rows = utt(spark, sf_dir).select("doc_id", "original_split", "original_index")
-    found = annotate_speakers(rows, _overlapping_map(spark, sf_dir), bucket_width=64, broadcast_rows=0)
+    found = annotate_speakers(rows, _overlapping_map(spark, sf_dir), broadcast_rows=0)
     return found.select("doc_id", "speaker_id", "speaker_name")
 
 
