@@ -28,7 +28,7 @@ from suite.registry import query
 
 
 @query(
-    """SELECT source, slot, md5(text_en) AS reference_text, md5(text_fr) AS text_fr, md5(text_de) AS text_de,
+    """SELECT source, slot, md5(coalesce(text_en, '')) AS reference_text, md5(text_fr) AS text_fr, md5(text_de) AS text_de,
               source AS speaker_id FROM wide""",
     ("wide",),
 )
