@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from speechset.session import new_folder
 
-# A bucket of consecutive integer keys holds at most this many rows, unless the table is so large
-# that it would need more than MAX_BUCKETS of them; then buckets grow.
-BUCKET_ROWS = 1 << 17
-MAX_BUCKETS = 50_000
+# A piece of consecutive integer keys holds at most this many rows, unless the table is so large that
+# it would need more than MAX_PIECES of them; then pieces grow.
+PIECE_ROWS = 1 << 17
+MAX_PIECES = 50_000
 # Integer keys are called dense while they span at most this many times the row count.
 MAX_SPAN_RATIO = 16
 
@@ -24,7 +23,7 @@ def dense_positions(
     order_by: str | Sequence[str],
     partition_by: Sequence[str] = (),
     out: str = "pos",
-    bucket_rows: int = BUCKET_ROWS,
+    piece_rows: int = PIECE_ROWS,
     partitions: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row within its group, in ``order_by`` order.
@@ -41,33 +40,36 @@ def dense_positions(
         if rows == 0:
             return df.withColumn(out, F.lit(None).cast("bigint"))
         span = high - low + 1
-        if span <= MAX_SPAN_RATIO * max(rows, bucket_rows):
-            width = max(bucket_rows, -(-span // MAX_BUCKETS))
+        if span <= MAX_SPAN_RATIO * max(rows, piece_rows):
+            width = max(piece_rows, -(-span // MAX_PIECES))
             return _by_key_range(df, keys[0], groups, out, low, width)
     return _by_range_partition(df, keys, groups, out, partitions)
 
 
-def _shift(numbered: DataFrame, sizes: DataFrame, groups: list[str], piece: str, out: str) -> DataFrame:
-    """Add to each piece-local position the number of rows in the group's earlier pieces."""
-    earlier = Window.partitionBy(*groups).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("_first") if "_first" in sizes.columns else F.lit(0)
-    keys = [*groups, piece]
-    offsets = sizes.select(
-        *[F.col(k).alias(f"_at_{k}") for k in keys],
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - first).alias("_offset"),
-    )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys])
-    keep = [c for c in numbered.columns if c not in (piece, "_local")]
-    position = (F.col("_local") + F.col("_offset")).cast("bigint").alias(out)
-    return numbered.join(offsets, same).select(*keep, position)
+def _group(groups: list[str]) -> Column:
+    """The group columns as one value that is never null, so that plain equality and the window's
+    own partitioning serve the join as well."""
+    return F.struct(*groups) if groups else F.lit(0)
+
+
+def _shift(numbered: DataFrame, sizes: DataFrame, out: str) -> DataFrame:
+    """Add to each piece-local position the number of rows in the group's earlier pieces. ``sizes``
+    has a row per piece: it is broadcast if it turns out small, and else merged without moving the
+    rows, which are already partitioned and sorted by piece."""
+    earlier = Window.partitionBy("_group").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    offsets = sizes.select("_group", "_piece", (before - F.col("_first")).alias("_offset"))
+    placed = numbered.join(offsets, ["_group", "_piece"])
+    position = (F.col("_local") + F.col("_offset")).cast("bigint")
+    keep = [c for c in numbered.columns if c not in ("_group", "_piece", "_local")]
+    return placed.select(*keep, position.alias(out))
 
 
 def _by_key_range(df: DataFrame, key: str, groups: list[str], out: str, low: int, width: int) -> DataFrame:
-    bucketed = df.withColumn("_bucket", F.expr(f"(`{key}` - {low}L) div {width}L"))
-    sizes = bucketed.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    inside = Window.partitionBy(*groups, "_bucket").orderBy(key)
-    numbered = bucketed.withColumn("_local", F.row_number().over(inside) - 1)
-    return _shift(numbered, sizes, groups, "_bucket", out)
+    pieces = df.withColumns({"_group": _group(groups), "_piece": F.expr(f"(`{key}` - {low}L) div {width}L")})
+    sizes = pieces.groupBy("_group", "_piece").agg(F.count(F.lit(1)).alias("_rows"), F.lit(0).alias("_first"))
+    inside = Window.partitionBy("_group", "_piece").orderBy(key)
+    return _shift(pieces.withColumn("_local", F.row_number().over(inside) - 1), sizes, out)
 
 
 def _by_range_partition(
@@ -81,16 +83,16 @@ def _by_range_partition(
     ordered = df.repartitionByRange(n, *groups, *keys).sortWithinPartitions(*groups, *keys)
     # The upper 31 bits of this id number the partition, the lower 33 the row inside it.
     ordered.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
-    stored = spark.read.parquet(path)
-    numbered = stored.select(
+    numbered = spark.read.parquet(path).select(
         *df.columns,
+        _group(groups).alias("_group"),
         F.shiftright("_id", 33).alias("_piece"),
         F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_local"),
     )
-    sizes = numbered.groupBy(*groups, "_piece").agg(
+    sizes = numbered.groupBy("_group", "_piece").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_local").alias("_first")
     )
-    return _shift(numbered, sizes, groups, "_piece", out)
+    return _shift(numbered, sizes, out)
 
 
 def concat_in_order(

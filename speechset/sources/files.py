@@ -52,29 +52,31 @@ def discover_splits(listing: DataFrame, candidates: Sequence[str] = METADATA_CAN
     none does a candidate in the root count, as split ``train``. A candidate may be a file or the
     folder of part files that Spark writes.
     """
-    parts = F.split("path", "/")
     names = F.array(*[F.lit(c) for c in candidates])
+    parts = F.split("path", "/")
     placed = listing.select(
         parts[0].alias("_first"),
-        F.array_position(names, parts[0]).alias("_root_rank"),
-        F.array_position(names, F.try_element_at(parts, F.lit(2))).alias("_rank"),
-        F.try_element_at(parts, F.lit(2)).alias("_file"),
+        F.nullif(F.array_position(names, parts[0]), F.lit(0)).alias("_root_rank"),
+        F.nullif(F.array_position(names, F.try_element_at(parts, F.lit(2))), F.lit(0)).alias("_rank"),
+    )
+    # One row per top-level entry with a candidate; both cases below read this one aggregate.
+    entries = (
+        placed.where("_rank IS NOT NULL OR _root_rank IS NOT NULL")
+        .groupBy("_first")
+        .agg(F.min(F.when(F.col("_root_rank").isNull(), F.col("_rank"))).alias("_best"), F.min("_root_rank").alias("_root"))
     )
-    below = (
-        placed.where((F.col("_rank") > 0) & (F.col("_root_rank") == 0))
-        .groupBy(F.col("_first").alias("split"))
-        .agg(F.min_by("_file", "_rank").alias("file"))
-        .select("split", F.col("split").alias("folder"), "file")
+    below = entries.where("_best IS NOT NULL").select(
+        F.col("_first").alias("split"),
+        F.col("_first").alias("folder"),
+        F.element_at(names, F.col("_best").cast("int")).alias("file"),
     )
-    root = (
-        placed.where(F.col("_root_rank") > 0)
-        .agg(F.min_by("_first", "_root_rank").alias("file"))
-        .where(F.col("file").isNotNull())
-        .select(F.lit("train").alias("split"), F.lit("").alias("folder"), "file")
+    summary = entries.agg(F.count("_best").alias("_splits"), F.min("_root").alias("_root"))
+    root = summary.where("_splits = 0 AND _root IS NOT NULL").select(
+        F.lit("train").alias("split"),
+        F.lit("").alias("folder"),
+        F.element_at(names, F.col("_root").cast("int")).alias("file"),
     )
-    # Both sides of this condition-free anti join hold at most one row.
-    alone = root.join(below.select("split").limit(1), F.lit(True), "left_anti")
-    return below.unionByName(alone).orderBy("split")
+    return below.unionByName(root).orderBy("split")
 
 
 def list_metadata(spark: SparkSession, root: str) -> DataFrame:

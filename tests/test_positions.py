@@ -22,12 +22,12 @@ def _check(spark, data, **options):
     assert got == _expected(data)
 
 
-def test_one_group_over_many_buckets(spark):
-    _check(spark, {("a", k) for k in range(0, 1000, 3)} | {("b", 7), ("b", 900)}, bucket_rows=16)
+def test_one_group_over_many_pieces(spark):
+    _check(spark, {("a", k) for k in range(0, 1000, 3)} | {("b", 7), ("b", 900)}, piece_rows=16)
 
 
 def test_sparse_keys_take_the_range_path(spark):
-    _check(spark, {("a", k * 10**15) for k in range(-50, 50)} | {("b", 3)}, bucket_rows=1, partitions=7)
+    _check(spark, {("a", k * 10**15) for k in range(-50, 50)} | {("b", 3)}, piece_rows=1, partitions=7)
 
 
 def test_null_group_is_a_group(spark):
@@ -44,7 +44,7 @@ def test_empty_table(spark):
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.sets(st.tuples(st.sampled_from("abc"), st.integers(-300, 300)), min_size=1, max_size=80))
 def test_positions_equal_brute_force(spark, data):
-    _check(spark, data, bucket_rows=32)
+    _check(spark, data, piece_rows=32)
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -65,9 +65,9 @@ def test_range_path_cuts_a_dominant_group(spark):
 
 def test_no_window_over_a_whole_split(spark):
     df = spark.range(1000).selectExpr("if(id % 3 = 0, 'dev', 'eval') AS g", "id AS k")
-    text = plan(dense_positions(df, "k", ["g"], bucket_rows=10))
+    text = plan(dense_positions(df, "k", ["g"], piece_rows=10))
     windows = re.findall(r"row_number\(\) windowspecdefinition\(([^,]*), ([^,]*),", text)
-    assert windows and all("_bucket" in second for _, second in windows)
+    assert windows and all("_piece" in second for _, second in windows)
 
 
 def test_concat_keeps_the_given_order(spark):
