@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -144,16 +145,27 @@ def decode_wav(content: bytes) -> tuple[np.ndarray, int, int]:
     return values.astype(np.float32), rate, channels
 
 
-def decode_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """``path, content`` -> ``path, audio, channels, error``; a bad file becomes an error, not a failure."""
-    for pdf in batches:
-        rows = []
-        for path, content in zip(pdf["path"], pdf["content"]):
+def decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``path, content`` -> ``path, array, sampling_rate, channels, error``; a bad file becomes an
+    error, not a failure."""
+    for batch in batches:
+        arrays, rates, channels, errors = [], [], [], []
+        for content in batch.column("content"):
             try:
-                samples, rate, channels = decode_wav(bytes(content))
-                rows.append((path, {"array": samples, "sampling_rate": rate}, channels, ""))
+                samples, rate, n_channels, error = *decode_wav(content.as_py()), ""
             except Exception as failure:
-                rows.append((path, None, None, f"{type(failure).__name__}: {failure}"))
-        out = pd.DataFrame(rows, columns=["path", "audio", "channels", "error"])
-        out["channels"] = out["channels"].astype("Int32")
-        yield out
+                samples, rate, n_channels, error = None, None, None, f"{type(failure).__name__}: {failure}"
+            arrays.append(samples)
+            rates.append(rate)
+            channels.append(n_channels)
+            errors.append(error)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("path"),
+                pa.array(arrays, pa.list_(pa.float32())),
+                pa.array(rates, pa.int32()),
+                pa.array(channels, pa.int32()),
+                pa.array(errors, pa.string()),
+            ],
+            names=["path", "array", "sampling_rate", "channels", "error"],
+        )

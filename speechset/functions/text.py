@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four separators U+001C..U+001F that also count as blank.
-_SPACE = r"[\s\x1c-\x1f]"
+# The characters that count as white space.
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def text_or_blank(column: Column) -> Column:
@@ -15,7 +18,7 @@ def text_or_blank(column: Column) -> Column:
 
 def is_blank(column: Column) -> Column:
     """Null, empty, or nothing but Unicode white space."""
-    return text_or_blank(column).rlike(rf"(?U)^{_SPACE}*\z")
+    return F.ltrim(text_or_blank(column), F.lit(_SPACES)) == ""
 
 
 def is_empty(column: Column) -> Column:
@@ -28,7 +31,7 @@ def has_text(column: Column) -> Column:
 
 
 def strip(column: Column) -> Column:
-    return F.regexp_replace(column, rf"(?U)^{_SPACE}+|{_SPACE}+\z", "")
+    return F.trim(column, F.lit(_SPACES))
 
 
 def blank_to_null(column: Column) -> Column:

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import Array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -50,52 +51,57 @@ def apply_job(
     """Call a function on the ``inputs`` of every row and append its results as ``outputs``.
 
     ``open_function`` runs once per Python worker and returns the function, so a model is loaded
-    once. The function returns one value per output. Rows that already have an error are passed by;
-    an exception leaves the outputs null and its traceback in ``error``. Columns that are not inputs
-    travel as Arrow data and are never converted; ``drop`` leaves out the ones no longer needed.
-    Filter before this call: predicates are not pushed through Python. Input batches are bounded by
-    the session's Arrow settings, output batches by ``OUTPUT_BYTES``.
+    once. The function returns one value per output. An exception leaves the outputs null and its
+    traceback in ``error``. Rows that already have an error are passed by. Only the inputs of the
+    other rows travel to Python; all other columns stay in the JVM. ``drop`` leaves out columns that
+    are no longer needed. Input batches are bounded by the session's Arrow settings, output batches
+    by ``OUTPUT_BYTES``.
     """
-    if error not in df.columns:
-        df = df.withColumn(error, F.lit(""))
+    known = F.coalesce(F.col(error), F.lit("")) if error in df.columns else F.lit("")
     kept = [c for c in df.columns if c not in drop and c != error]
-    schema = StructType(
-        [df.schema[c] for c in kept] + list(outputs.fields) + [StructField(error, StringType(), True)]
-    )
-    arrow_types = [to_arrow_type(f.dataType) for f in outputs.fields]
+    returned = StructType([*outputs.fields, StructField("_failure", StringType())])
+    arrow_type = to_arrow_type(returned)
     inputs, job = list(inputs), uuid.uuid4().hex
     is_array = [isinstance(df.schema[c].dataType, ArrayType) for c in inputs]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[tuple[Array, ...]]) -> Iterator[Array]:
         cache = _worker_cache()
         if job not in cache:
             cache[job] = open_function()
         function = cache[job]
-        for batch in batches:
-            columns = [batch.column(c) for c in inputs]
-            known_errors = batch.column(error).to_pylist()
-            start, results, errors, size = 0, [], [], 0
-            for i, known in enumerate(known_errors):
-                result, failure = (None,) * len(arrow_types), known or ""
-                if not known:
+        for wanted, *columns in batches:
+            results, size = [], 0
+            for i, call in enumerate(wanted.to_pylist()):
+                result, failure = (None,) * len(outputs), ""
+                if call:
                     try:
                         values = [_value(column[i], array) for column, array in zip(columns, is_array)]
                         result = tuple(function(*values))
                     except Exception:
                         failure = traceback.format_exc()
-                results.append(result)
-                errors.append(failure)
+                results.append((*result, failure))
                 size += sum(getattr(value, "nbytes", 64) for value in result)
-                if size >= OUTPUT_BYTES or i + 1 == batch.num_rows:
-                    part = batch.slice(start, len(results))
-                    produced = [pa.array([r[k] for r in results], type=t) for k, t in enumerate(arrow_types)]
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(c) for c in kept] + produced + [pa.array(errors, type=pa.string())],
-                        names=schema.names,
-                    )
-                    start, results, errors, size = i + 1, [], [], 0
-
-    return df.mapInArrow(run, schema)
+                if size >= OUTPUT_BYTES:
+                    yield _struct_array(results, arrow_type)
+                    results, size = [], 0
+            if results:
+                yield _struct_array(results, arrow_type)
+
+    # A model call must not be repeated or moved by the optimizer.
+    call = F.arrow_udf(run, returned).asNondeterministic()
+    wanted = known == ""
+    result = call(wanted, *[F.when(wanted, F.col(c)) for c in inputs])
+    made = df.withColumn("_result", result)
+    return made.select(
+        *kept,
+        *[F.col(f"_result.{f.name}").alias(f.name) for f in outputs],
+        F.when(wanted, F.col("_result._failure")).otherwise(known).alias(error),
+    )
+
+
+def _struct_array(results: list[tuple], kind: pa.StructType) -> pa.Array:
+    fields = [pa.array([r[k] for r in results], type=kind.field(k).type) for k in range(kind.num_fields)]
+    return pa.StructArray.from_arrays(fields, fields=list(kind))
 
 
 def _value(scalar: pa.Scalar, is_array: bool):

@@ -52,7 +52,7 @@ def clone_rows(
     skip = is_empty(F.col("text"))
     asked = long.withColumns(
         {
-            "prompt": clone_prompt(F.col("reference_text"), F.col("ref_tokens"), F.col("text")),
+            "prompt": F.when(~skip, clone_prompt(F.col("reference_text"), F.col("ref_tokens"), F.col("text"))),
             "_error": F.col("error"),
             # Anything but blank keeps the row from the model.
             "error": F.when(F.col("error") != "", F.col("error")).when(skip, "no text").otherwise(""),

@@ -21,6 +21,8 @@ _SETTINGS = {
     # An audio row can weigh a megabyte: bound an Arrow batch by bytes as well as by rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    # Clip files are small: do not weigh the opening of one like four megabytes of reading.
+    "spark.sql.files.openCostInBytes": str(512 * 1024),
 }
 
 _fallback_roots: dict[str, str] = {}

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechset.constants import METADATA_CANDIDATES
-from speechset.functions.audio import AUDIO_TYPE, decode_files
+from speechset.functions.audio import audio_value, decode_files
 
 
 def relative_to(path: Column, root: str) -> Column:
@@ -42,7 +42,9 @@ def read_audio_files(spark: SparkSession, root: str, pattern: str = "*.wav") ->
         .load(root)
         .select(relative_to(F.col("path"), root).alias("path"), "content")
     )
-    return found.mapInPandas(decode_files, f"path string, audio {AUDIO_TYPE}, channels int, error string")
+    schema = "path string, array array<float>, sampling_rate int, channels int, error string"
+    decoded = found.mapInArrow(decode_files, schema)
+    return decoded.select("path", audio_value(F.col("array"), F.col("sampling_rate")).alias("audio"), "channels", "error")
 
 
 def discover_splits(listing: DataFrame, candidates: Sequence[str] = METADATA_CANDIDATES) -> DataFrame:

@@ -21,7 +21,7 @@ from suite.registry import query
 
 def _last_line(error):
     """The last line of a traceback."""
-    return F.regexp_extract(F.trim(error), r"([^\n]*)\s*\z", 1)
+    return F.substring_index(F.rtrim(error, F.lit("\n")), "\n", -1)
 
 
 @query(
