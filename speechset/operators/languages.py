@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from speechset.functions.naming import voice_clip_name
 from speechset.functions.text import has_text, is_empty
 from speechset.operators.positions import first_per_group
+from speechset.session import BROADCAST_ROWS
 
 
 def literal_list(values: Sequence[str]) -> Column:
@@ -91,9 +92,13 @@ def language_name(lang: Column, names: Mapping[str, str]) -> Column:
 
 
 def first_sentences(catalogue: DataFrame, langs: Sequence[str], n: int, order_by: str) -> DataFrame:
-    """The first ``n`` sentences of each language as ``sample_index`` 0, 1, ...; fewer where there are fewer."""
+    """The first ``n`` sentences of each language as ``sample_index`` 0, 1, ...; fewer where there are
+    fewer. ``order_by`` is unique within a language. The keys are ranked first, so the sort carries no
+    text; at most ``n * len(langs)`` of them are then looked up in the catalogue."""
     wanted = catalogue.where(F.col("lang").isin(*langs))
-    return first_per_group(wanted, n, ["lang"], order_by, out="sample_index")
+    picked = first_per_group(wanted.select("lang", order_by), n, ["lang"], order_by, out="sample_index")
+    few = n * len(langs) <= BROADCAST_ROWS
+    return wanted.join(F.broadcast(picked) if few else picked, ["lang", order_by])
 
 
 def voice_grid(

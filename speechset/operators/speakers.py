@@ -12,6 +12,9 @@ from speechset.constants import SPEAKER_RANGES, UNKNOWN_SPEAKER_ID, UNKNOWN_SPEA
 from speechset.functions.naming import resume_key, speaker_id
 from speechset.session import BROADCAST_ROWS, bounded_rows
 
+# Widest bucket of the join with a large range map, as a power of two.
+MAX_LEVEL = 17
+
 _MAP_SCHEMA = "map_split string, lo bigint, hi bigint, num int, name string"
 
 
@@ -76,10 +79,18 @@ def annotate_speakers(
 def _bucketed_range_join(df: DataFrame, ranges: DataFrame, split_column: str, index_column: str) -> DataFrame:
     """Join on (split, level, bucket). A range of length 2^k to 2^(k+1)-1 has level k and buckets of
     2^k positions, so it lies in at most three of them and a bucket meets only ranges of about its own
-    size: neither long nor short ranges pile up, and no split is one hot key. Each row looks into
+    size: neither long nor short ranges pile up. Levels end at ``MAX_LEVEL``; a longer range lies in
+    one bucket per 2^MAX_LEVEL positions, so that no bucket is a hot key either. Each row looks into
     one bucket per level that occurs. The rows are reduced to their keys here, and the first of
     several matching ranges is chosen per key."""
-    sized = ranges.where("lo <= hi").withColumn("_level", F.length(F.bin(F.col("hi") - F.col("lo") + 1)) - 1)
+    low, high = df.agg(F.min(index_column), F.max(index_column)).first()
+    if low is None:
+        low, high = 0, -1
+    clipped = ranges.withColumns(
+        {"lo": F.greatest("lo", F.lit(low).cast("bigint")), "hi": F.least("hi", F.lit(high).cast("bigint"))}
+    )
+    level = F.least(F.length(F.bin(F.col("hi") - F.col("lo") + 1)) - 1, F.lit(MAX_LEVEL))
+    sized = clipped.where("lo <= hi").withColumn("_level", level)
     levels = sorted(bounded_rows(sized.select("_level").distinct()))
     buckets = sized.select(
         F.col("split").alias("_split"), "lo", "hi", "num", "name", "map_order", "_level",

@@ -2,6 +2,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from speechset.constants import SPEAKER_RANGES
+from speechset.operators import speakers
 from speechset.operators.reports import verify_split
 from speechset.operators.speakers import (
     annotate_speakers,
@@ -95,6 +96,17 @@ def test_range_map_is_broadcast_without_a_shuffle(spark):
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text and "Exchange hashpartitioning" not in text
 
 
+def test_long_ranges_over_capped_buckets(spark, monkeypatch):
+    monkeypatch.setattr(speakers, "MAX_LEVEL", 3)
+    ranges = [("dev", 50, 52, 0, "in"), ("dev", -5, 2**60, 1, "all"), ("eval", 90, 10**9, 2, "tail"), ("eval", 500, 600, 3, "none")]
+    schema = "split string, lo bigint, hi bigint, num int, name string, map_order int"
+    table = spark.createDataFrame([(*r, order) for order, r in enumerate(ranges)], schema)
+    df = spark.sql("SELECT s AS original_split, id AS original_index FROM range(110), VALUES ('dev'), ('eval') AS v(s)")
+    got = {r._key: r.speaker_name for r in annotate_speakers(df, table, broadcast_rows=0).collect()}
+    assert got == {f"{s}:{i}": _first_match(ranges, s, i)[1] or "Unknown" for s in ("dev", "eval") for i in range(110)}
+    assert annotate_speakers(df.where("false"), table, broadcast_rows=0).count() == 0
+
+
 def test_bucketed_path_has_no_nested_loop(spark):
     table = spark.createDataFrame([("dev", 0, 9, 1, "A", 0)], "split string, lo bigint, hi bigint, num int, name string, map_order int")
     text = plan(annotate_speakers(_corpus(spark), table, broadcast_rows=0))
