@@ -8,8 +8,8 @@ import wave
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyarrow import Array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -105,16 +105,18 @@ def resample_samples(x: np.ndarray, rate: int, target: int, zero_crossings: int
 def resample_audio(audio: Column, target: int) -> Column:
     """Bring a clip to ``target`` Hz. Clips that have it already never leave the JVM."""
 
-    @F.pandas_udf("array<float>")
-    def resample(arrays: pd.Series, rates: pd.Series) -> pd.Series:
-        return pd.Series(
-            [None if a is None else resample_samples(a, int(r), target) for a, r in zip(arrays, rates)],
-            dtype=object,
-        )
+    @F.arrow_udf("array<float>")
+    def resample(arrays: Array, rates: Array) -> Array:
+        changed = [
+            resample_samples(clip.values.to_numpy(zero_copy_only=False), rate.as_py(), target) if clip.is_valid else None
+            for clip, rate in zip(arrays, rates)
+        ]
+        return pa.array(changed, type=pa.list_(pa.float32()))
 
     differs = audio["sampling_rate"] != target
     changed = resample(F.when(differs, audio["array"]), F.when(differs, audio["sampling_rate"]))
-    return audio_value(F.when(differs, changed).otherwise(audio["array"]), F.when(audio["sampling_rate"].isNotNull(), F.lit(target)))
+    array = F.when(differs, changed).otherwise(audio["array"])
+    return audio_value(array, F.when(audio["sampling_rate"].isNotNull(), F.lit(target)))
 
 
 def encode_wav(samples: np.ndarray, rate: int) -> bytes:

@@ -144,7 +144,7 @@ def map_sizes(spark, ranges: Sequence[tuple] = SPEAKER_RANGES) -> DataFrame:
 def smallest_speakers(sizes: DataFrame, n: int, speaker: str = "speaker_id", tie_break: str | None = None) -> DataFrame:
     """The ``n`` speakers with the fewest utterances, never the unknown one. Ties go to the earlier
     ``tie_break`` value, or to the smaller id."""
-    unknown = F.col(speaker) == UNKNOWN_SPEAKER_ID
+    unknown = F.coalesce(F.col(speaker) == UNKNOWN_SPEAKER_ID, F.lit(True))
     # Sorting the unknown one last and dropping it after the limit leaves the count below untouched,
     # so that a plan which also uses the sizes elsewhere counts once.
     order = [unknown, "n", *([tie_break] if tie_break else []), speaker]

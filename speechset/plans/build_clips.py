@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechset.constants import CLIP_COLUMNS, ERROR_NO_AUDIO, ERROR_NO_TEXT
 from speechset.functions.audio import AUDIO_TYPE, audio_value, has_samples
 from speechset.functions.naming import cloned_clip_name, source_clip_name
 from speechset.operators.jobs import spread, synthesize
+from speechset.operators.reports import run_summary
 from speechset.operators.resume import completed_rows, pending_rows
 from speechset.operators.shape import clip_record
 from speechset.operators.validity import mark_errors
-from speechset.session import new_folder
-from speechset.sinks.audio_files import write_audio_files
+from speechset.session import materialize, new_folder
+from speechset.sinks.audio_files import require_written, write_audio_files
+from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
+from speechset.sources.files import list_files
+from speechset.sources.metadata import read_prior_metadata
 
 SOURCE_FOLDER = "original_audio_en"
 CLONED_FOLDER = "cloned_audio_fr"
@@ -66,7 +72,8 @@ def build_clips(
     """Build the clips that an earlier run has not finished, and the metadata of both runs.
 
     ``utterances`` has ``_key``, the speaker columns, texts and ``audio``. Each clip is synthesised
-    once: the result is written below ``folder`` before anything else reads it. ``single_files``
+    once: the result is written as a run of its own below ``folder``, where earlier runs stay, before
+    anything else reads it. ``prior_order`` numbers the attempts in ``prior``. ``single_files``
     adds one WAV file per source and per cloned clip. ``tasks`` spreads the work list when the scan's
     partitions hold too many clips each.
     """
@@ -77,8 +84,9 @@ def build_clips(
     if prior is not None:
         done = completed_rows(prior, files, order=prior_order)
         todo = pending_rows(utterances, done)
-    synthesize_clips(spread(todo, tasks, "_key"), open_model).write.mode("overwrite").parquet(f"{folder}/clips")
-    clips = spark.read.parquet(f"{folder}/clips")
+    run = f"{folder}/clips/run=r{uuid.uuid4().hex}"
+    synthesize_clips(spread(todo, tasks, "_key"), open_model).write.parquet(run)
+    clips = spark.read.parquet(run)
     if single_files:
         write_clip_files(todo, clips, folder)
     new = clips.select(*CLIP_COLUMNS)
@@ -87,6 +95,56 @@ def build_clips(
     return BuiltClips(metadata, clips)
 
 
+def stored_clips(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The clips of all runs in ``folder``, or None before the first one."""
+    try:
+        return spark.read.parquet(f"{folder}/clips")
+    except PySparkException as failure:
+        if failure.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def existing_clips(spark: SparkSession, folder: str, single_files: bool = False) -> DataFrame:
+    """Paths of the cloned clips that exist in ``folder``: as files, or in the tables of its runs."""
+    paths = None
+    if single_files:
+        try:
+            found = list_files(spark, folder, "*.wav", [CLONED_FOLDER])
+            paths = found.select(F.col("path").alias("cloned_audio_fr"))
+        except PySparkException as failure:
+            if failure.getCondition() != "PATH_NOT_FOUND":
+                raise
+    else:
+        clips = stored_clips(spark, folder)
+        paths = clips.where("cloned_audio_fr <> ''").select("cloned_audio_fr") if clips is not None else None
+    return paths if paths is not None else spark.createDataFrame([], "cloned_audio_fr string")
+
+
+def build_split(
+    utterances: DataFrame,
+    open_model: Callable[[], Callable],
+    folder: str,
+    single_files: bool = False,
+    tasks: int | None = None,
+) -> DataFrame:
+    """Build one split in ``folder``, going on where the last run stopped; may be called again any time.
+
+    Reads ``metadata.csv`` of the last run, builds what is missing, failed or lost, and writes
+    ``metadata.csv`` and ``metadata.json`` in dataset order. Returns ``ok, errors, total``. The merged
+    metadata is stored in the shared folder before the old file is replaced.
+    """
+    spark = utterances.sparkSession
+    prior = read_prior_metadata(spark, f"{folder}/metadata.csv", CLIP_COLUMNS)
+    files = existing_clips(spark, folder, single_files)
+    built = build_clips(utterances, open_model, prior, files, folder, single_files, tasks=tasks)
+    metadata = materialize(built.metadata, "metadata")
+    order = ["original_split", "original_index"]
+    write_metadata_csv(metadata, f"{folder}/metadata.csv", order)
+    write_metadata_json(metadata, f"{folder}/metadata.json", order)
+    return run_summary(metadata.withColumn("split", F.lit(""))).drop("split")
+
+
 def write_clip_files(utterances: DataFrame, clips: DataFrame, folder: str) -> None:
     """Write source and cloned clips as files; source audio is taken from the utterances' own rows."""
     key = F.col("_key")
@@ -97,8 +155,4 @@ def write_clip_files(utterances: DataFrame, clips: DataFrame, folder: str) -> No
     jobs = sources.select(source_paths.alias("path"), F.col("audio").cast(AUDIO_TYPE).alias("audio")).unionByName(
         clips.where(F.col("cloned_audio_fr") != "").select(F.col("cloned_audio_fr").alias("path"), F.col("clip").alias("audio"))
     )
-    written = write_audio_files(jobs, folder)
-    failed = F.col("error") != ""
-    report = written.agg(F.count_if(failed).alias("n"), F.min(F.when(failed, F.struct("path", "error"))).alias("first")).first()
-    if report.n:
-        raise RuntimeError(f"{report.n} clips not written, such as {report.first['path']}: {report.first['error']}")
+    require_written(write_audio_files(jobs, folder))

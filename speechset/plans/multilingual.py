@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from speechset.constants import ERROR_NO_AUDIO
-from speechset.functions.audio import audio_value, has_samples, resample_audio
+from speechset.functions.audio import AUDIO_TYPE, audio_value, has_samples, resample_audio
 from speechset.functions.naming import indexed_clip_name, indexed_source_name
 from speechset.functions.text import is_empty
 from speechset.functions.tokens import clone_prompt, format_codes
@@ -17,6 +18,7 @@ from speechset.operators.jobs import encode_references, spread, synthesize
 from speechset.operators.languages import collapse_languages, expand_languages, language_coverage, require_known
 from speechset.operators.shape import SourceProfile, put_first, pair_order, select_profile
 from speechset.session import new_folder
+from speechset.sinks.audio_files import require_written, write_audio_files
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,18 @@ def clone_rows(
     )
 
 
+def source_path(lang: str) -> Column:
+    return F.concat_ws("/", F.lit("cloned_audio"), F.lit(lang), indexed_source_name(F.col("pos")))
+
+
+def write_clip_files(df: DataFrame, clips: DataFrame, folder: str, source_lang: str = "en") -> None:
+    """Write the usable source clips and all cloned clips as files below ``folder``."""
+    usable = df.where(has_samples(F.col("audio")))
+    sources = usable.select(source_path(source_lang).alias("path"), F.col("audio").cast(AUDIO_TYPE).alias("audio"))
+    cloned = clips.where("path <> ''").select("path", F.col("clip").alias("audio"))
+    require_written(write_audio_files(sources.unionByName(cloned), folder))
+
+
 def wide_metadata(df: DataFrame, clips: DataFrame, langs: Sequence[str], source_lang: str = "en") -> DataFrame:
     """Input rows (without audio) with ``voice_<lang>`` paths and ``voice_<lang>_ok`` flags, in
     canonical order. Only paths and errors are shuffled."""
@@ -80,9 +94,8 @@ def wide_metadata(df: DataFrame, clips: DataFrame, langs: Sequence[str], source_
     flags = {f"voice_{lang}_ok": F.coalesce(F.col(f"voice_{lang}"), F.lit("")) != "" for lang in langs}
     result = joined.withColumns({**flags, **voices, "error": F.coalesce(F.col("error"), F.lit(""))})
     if source_lang not in langs:
-        source = F.concat_ws("/", F.lit("cloned_audio"), F.lit(source_lang), indexed_source_name(F.col("pos")))
         no_source = F.col("error") == ERROR_NO_AUDIO
-        result = result.withColumn(f"voice_{source_lang}", F.when(no_source, "").otherwise(source))
+        result = result.withColumn(f"voice_{source_lang}", F.when(no_source, "").otherwise(source_path(source_lang)))
     order = [source_lang, *[lang for lang in langs if lang != source_lang]]
     return put_first(result, pair_order(order))
 
@@ -97,19 +110,25 @@ def multilingual_clips(
     encoder_rate: int | None = None,
     folder: str | None = None,
     tasks: int | None = None,
+    single_files: bool = False,
+    source_lang: str = "en",
 ) -> MultilingualClips:
     """Validate the languages, clone every row, and give clips, wide metadata and filled counts.
 
     ``df`` carries its dense position; it is read twice, so store the numbered table first. The
-    clips are written below ``folder`` once, and the metadata is derived from that table without its
+    clips are written as a run of their own below ``folder``, and the metadata is derived from that table without its
     audio column. ``tasks`` spreads the (row, language) work list over that many partitions.
+    ``single_files`` adds one WAV file per source and per cloned clip.
     """
     require_known(langs, profile.languages())
     spark = df.sparkSession
     rows = select_profile(df, profile, keep=[position]).withColumnRenamed(position, "pos")
-    path = f"{folder or new_folder(spark, 'multilingual')}/clips"
-    clone_rows(rows, langs, open_encoder, open_model, encoder_rate, tasks).write.mode("overwrite").parquet(path)
+    folder = folder or new_folder(spark, "multilingual")
+    path = f"{folder}/clips/run=r{uuid.uuid4().hex}"
+    clone_rows(rows, langs, open_encoder, open_model, encoder_rate, tasks).write.parquet(path)
     clips = spark.read.parquet(path)
-    metadata = wide_metadata(rows, clips, langs)
+    if single_files:
+        write_clip_files(rows, clips, folder, source_lang)
+    metadata = wide_metadata(rows, clips, langs, source_lang)
     coverage = language_coverage(metadata, {lang: f"voice_{lang}" for lang in langs})
     return MultilingualClips(metadata, clips, coverage)

@@ -57,3 +57,12 @@ def write_audio_files(df: DataFrame, folder: str, path: str = "path", audio: str
 
     output = StructType.fromDDL(f"{prefix}n_samples bigint")
     return apply_job(flat, open_function, [path, "_array", "_rate"], output, drop=["_array", "_rate"])
+
+
+def require_written(report: DataFrame, path: str = "path") -> None:
+    """Write the files of a ``write_audio_files`` result now; an error if one of them failed."""
+    failed = F.col("error") != ""
+    first = F.min(F.when(failed, F.struct(path, "error"))).alias("first")
+    summary = report.agg(F.count_if(failed).alias("n"), first).first()
+    if summary.n:
+        raise RuntimeError(f"{summary.n} clips not written, such as {summary['first'][0]}: {summary['first'][1]}")

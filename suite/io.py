@@ -6,7 +6,7 @@ from speechset.constants import METADATA_CANDIDATES
 from speechset.operators.shape import SourceProfile, union_splits
 from speechset.plans.publish import publish_dataset
 from speechset.session import new_folder
-from speechset.sinks.audio_files import write_audio_files
+from speechset.sinks.audio_files import require_written, write_audio_files
 from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
 from speechset.sinks.publish import dataset_manifest, write_dataset
 from speechset.sources.files import discover_splits, list_files, read_audio_files, relative_to
@@ -124,8 +124,7 @@ def q_prior_metadata(spark, sf_dir):
 def _write_clips(spark, sf_dir):
     folder = new_folder(spark, "clips")
     paths = audio(spark, sf_dir).withColumn("path", F.format_string("audio/clip_%d.wav", "doc_id"))
-    report = write_audio_files(paths, folder)
-    report.write.parquet(new_folder(spark, "clip-report"))
+    require_written(write_audio_files(paths, folder))
     return folder
 
 
@@ -243,7 +242,7 @@ def q_job_publish_audio(spark, sf_dir):
     folder = _write_output_folder(spark, sf_dir, rows.drop("label"))
     present = rows.where("label < 9").join(audio(spark, sf_dir), "doc_id")
     clips = present.select(F.concat_ws("/", "original_split", "voice_fr").alias("path"), "audio")
-    write_audio_files(clips, folder).write.parquet(new_folder(spark, "clip-report"))
+    require_written(write_audio_files(clips, folder))
     target = new_folder(spark, "published")
     publish_dataset(spark, folder, target, embed=True)
     back = spark.read.parquet(f"{target}/data")

@@ -8,7 +8,8 @@ from speechset.functions.naming import resume_key
 from speechset.operators.jobs import synthesize
 from speechset.operators.positions import dense_positions
 from speechset.operators.shape import SourceProfile
-from speechset.plans.build_clips import build_clips
+from speechset.operators.reports import run_summary
+from speechset.plans.build_clips import build_clips, build_split, stored_clips
 from speechset.plans.multilingual import multilingual_clips
 from speechset.plans.sampled_test_set import sampled_test_set
 from speechset.plans.voice_grid import speaker_language_grid
@@ -84,6 +85,31 @@ def q_job_build_clips(spark, sf_dir):
     return built.metadata.withColumns(hashed).drop("speaker_name")
 
 
+@query(
+    """WITH state AS (SELECT lang = 'fr' AND a.doc_id IS NOT NULL AS usable, sampling_rate = 24000 AS first
+                      FROM utt LEFT JOIN audio a USING (doc_id))
+       SELECT 'first' AS run, count(*) FILTER (WHERE usable AND first) AS ok,
+              count(*) FILTER (WHERE NOT (usable AND coalesce(first, false))) AS errors, count(*) AS total FROM state
+       UNION ALL SELECT 'second', count(*) FILTER (WHERE usable), count(*) FILTER (WHERE NOT usable), count(*) FROM state
+       UNION ALL SELECT 'built again', count(*) FILTER (WHERE usable AND NOT first),
+              count(*) FILTER (WHERE NOT usable), count(*) FILTER (WHERE NOT (usable AND coalesce(first, false))) FROM state""",
+    ("utt", "audio"),
+)
+def q_job_restart(spark, sf_dir):
+    """Two runs in one folder: the second model also takes the clips that the first one refused."""
+    rows, folder = _utterances(spark, sf_dir), new_folder(spark, "split")
+
+    def named(summary, run):
+        return summary.select(F.lit(run).alias("run"), "ok", "errors", "total")
+
+    first = materialize(named(build_split(rows, open_length_model, folder), "first"))
+    earlier = stored_clips(spark, folder).select("run").distinct()
+    second = materialize(named(build_split(rows, open_text_model, folder), "second"))
+    last_run = stored_clips(spark, folder).join(earlier, "run", "left_anti")
+    again = run_summary(last_run.withColumn("split", F.lit("")))
+    return first.unionByName(second).unionByName(named(again, "built again"))
+
+
 _PROFILE = SourceProfile(
     audio="clip",
     reference_text="body",

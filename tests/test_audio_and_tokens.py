@@ -92,7 +92,7 @@ def test_resample_column(spark):
     df = _audio(spark, ([1.0] * 30, 24000), ([0.5, 0.25], 16000), None, ([], 24000))
     got = df.select("i", resample_audio(F.col("audio"), 16000).alias("a")).orderBy("i").collect()
     assert len(got[0].a.array) == 20 and got[0].a.sampling_rate == 16000
-    assert got[1].a == ([0.5, 0.25], 16000) or tuple(got[1].a) == ([0.5, 0.25], 16000)
+    assert tuple(got[1].a) == ([0.5, 0.25], 16000)
     assert got[2].a is None and got[3].a.array == []
 
 

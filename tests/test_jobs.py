@@ -10,7 +10,7 @@ from speechset.functions.audio import AUDIO_TYPE
 from speechset.operators import jobs
 from speechset.operators.jobs import apply_job, cfg_weight, spread, synthesize
 from speechset.operators.shape import SourceProfile
-from speechset.plans.build_clips import build_clips
+from speechset.plans.build_clips import build_clips, build_split
 from speechset.plans.multilingual import multilingual_clips
 from speechset.plans.sampled_test_set import sampled_test_set
 from speechset.sinks.metadata import write_metadata_csv
@@ -114,6 +114,38 @@ def test_build_and_resume(spark, tmp_path):
     assert merged["dev:0"].original_index == 0 and merged["dev:0"].text_fr == "bonjour"
 
 
+@pytest.mark.parametrize("single_files", [False, True])
+def test_a_split_is_built_over_several_runs(spark, tmp_path, single_files):
+    folder = str(tmp_path / "train")
+    calls = str(tmp_path / "calls")
+    os.mkdir(calls)
+
+    def open_logged():
+        import uuid
+
+        def speak(text, *rest):
+            open(f"{calls}/{uuid.uuid4().hex}", "w").close()
+            if text == "fail" and len(os.listdir(calls)) < 4:
+                raise RuntimeError("busy")
+            return np.zeros(len(text)), 24000
+
+        return speak
+
+    def run():
+        return rows(build_split(_utterances(spark), open_logged, folder, single_files))
+
+    assert run() == [(2, 3, 5)] and len(os.listdir(calls)) == 3
+    first = {r._key: r for r in read_prior_metadata(spark, f"{folder}/metadata.csv", CLIP_COLUMNS).collect()}
+    assert run() == [(3, 2, 5)] and len(os.listdir(calls)) == 4
+    assert run() == [(3, 2, 5)] and len(os.listdir(calls)) == 4
+    last = {r._key: r for r in read_prior_metadata(spark, f"{folder}/metadata.csv", CLIP_COLUMNS).collect()}
+    assert last["dev:0"] == first["dev:0"] and set(last) == {f"dev:{i}" for i in range(5)}
+    assert spark.read.json(f"{folder}/metadata.json").count() == 5
+    if single_files:
+        os.remove(f"{folder}/cloned_audio_fr/cloned_dev_0_fr.wav")
+        assert run() == [(3, 2, 5)] and len(os.listdir(calls)) == 5
+
+
 def test_empty_result_gives_a_blank_path(spark):
     built = build_clips(_utterances(spark).where("_key = 'dev:0'"), lambda: lambda *a: (np.zeros(0), 24000))
     row = built.metadata.first()
@@ -149,7 +181,12 @@ def test_multilingual(spark, tmp_path):
 
         return speak
 
-    made = multilingual_clips(df, profile, ["fr", "de"], open_encoder, open_model, tasks=3)
+    folder = str(tmp_path / "out")
+    os.mkdir(f"{log}/log")
+    log = f"{log}/log"
+    made = multilingual_clips(df, profile, ["fr", "de"], open_encoder, open_model, tasks=3, folder=folder, single_files=True)
+    files = {r.path for r in list_files(spark, folder, "*.wav").collect()}
+    assert files == {f"cloned_audio/en/original_0000{i}.wav" for i in (0, 1, 3)} | {f"cloned_audio/{x}/cloned_00000_{x}.wav" for x in ("fr", "de")}
     assert len(os.listdir(log)) == 3  # once per usable row, not per language
     assert [c for c in made.metadata.columns][:6] == ["voice_en", "text_fr", "voice_fr", "text_de", "voice_de", "pos"]
     got = {r.pos: r for r in made.metadata.collect()}

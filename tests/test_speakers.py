@@ -123,6 +123,9 @@ def test_ties_and_unknown(spark):
     assert [r.speaker_id for r in smallest_speakers(speaker_sizes(df), 2).collect()] == ["a", "b"]
     counts = {r.split: r["count"] for r in speaker_split(df, 2).groupBy("split").count().collect()}
     assert counts == {"test": 4, "train": 12}
+    with_null = df.union(spark.createDataFrame([(None, 0)], "speaker_id string, i int"))
+    counts = {r.split: r["count"] for r in speaker_split(with_null, 2).groupBy("split").count().collect()}
+    assert counts == {"test": 4, "train": 13}
 
 
 def test_no_test_speakers(spark):
