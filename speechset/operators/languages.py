@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from speechset.functions.naming import voice_clip_name
 from speechset.functions.text import has_text, is_empty
 from speechset.operators.positions import first_per_group
-from speechset.session import BROADCAST_ROWS
+from speechset.session import BROADCAST_ROWS, small_table
 
 
 def literal_list(values: Sequence[str]) -> Column:
@@ -81,7 +81,7 @@ def language_coverage(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 def languages_without_text(catalogue: DataFrame, langs: Sequence[str]) -> DataFrame:
     """Requested languages for which the catalogue has no sentence."""
     spark = catalogue.sparkSession
-    requested = spark.createDataFrame([(lang,) for lang in langs], "lang string")
+    requested = small_table(spark, [(lang,) for lang in langs], "lang string")
     present = catalogue.where(~is_empty(F.col("text"))).select("lang").distinct()
     return requested.join(present, "lang", "left_anti")
 

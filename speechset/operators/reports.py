@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from speechset.functions.text import has_text
+from speechset.session import small_table
 
 
 def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
@@ -50,7 +51,7 @@ def verify_split(
     if isinstance(expected_test, DataFrame):
         expected = expected_test.select(F.col(speaker).alias("_expected"))
     else:
-        expected = df.sparkSession.createDataFrame([(s,) for s in expected_test], "_expected string")
+        expected = small_table(df.sparkSession, [(s,) for s in expected_test], "_expected string")
     per_speaker = df.groupBy(speaker).agg(
         F.count_if(F.col(split) == "test").alias("_test"),
         F.count_if(F.col(split) == "train").alias("_train"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from speechset.constants import SPEAKER_RANGES, UNKNOWN_SPEAKER_ID, UNKNOWN_SPEAKER_NAME
 from speechset.functions.naming import resume_key, speaker_id
-from speechset.session import BROADCAST_ROWS, bounded_rows
+from speechset.session import BROADCAST_ROWS, bounded_rows, small_table
 
 # Widest bucket of the join with a large range map, as a power of two.
 MAX_LEVEL = 17
@@ -70,7 +70,7 @@ def annotate_speakers(
         ranges = [(r["split"], r["lo"], r["hi"], r["num"], r["name"]) for r in rows]
     elif len(ranges) > BROADCAST_ROWS:
         raise ValueError("pass a range map of this size as a DataFrame")
-    table = spark.createDataFrame(disjoint_ranges(ranges), _MAP_SCHEMA)
+    table = small_table(spark, disjoint_ranges(ranges), _MAP_SCHEMA)
     inside = (F.col(split_column) == F.col("map_split")) & F.col(index_column).between(F.col("lo"), F.col("hi"))
     matched = df.join(F.broadcast(table), inside, "left").drop("map_split", "lo", "hi")
     return _with_speaker_columns(matched, split_column, index_column)
@@ -135,7 +135,7 @@ def map_sizes(spark, ranges: Sequence[tuple] = SPEAKER_RANGES) -> DataFrame:
     """Utterances per speaker as the range map states them, with the speaker's place in the map."""
     rows = [(order, num, hi - lo + 1) for order, (_, lo, hi, num, _) in enumerate(ranges)]
     return (
-        spark.createDataFrame(rows, "map_order int, num int, width bigint")
+        small_table(spark, rows, "map_order int, num int, width bigint")
         .groupBy(speaker_id(F.col("num")).alias("speaker_id"))
         .agg(F.sum("width").alias("n"), F.min("map_order").alias("map_order"))
     )

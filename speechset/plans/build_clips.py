@@ -18,7 +18,7 @@ from speechset.operators.reports import run_summary
 from speechset.operators.resume import completed_rows, pending_rows
 from speechset.operators.shape import clip_record
 from speechset.operators.validity import mark_errors
-from speechset.session import materialize, new_folder
+from speechset.session import materialize, new_folder, small_table
 from speechset.sinks.audio_files import require_written, write_audio_files
 from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
 from speechset.sources.files import list_files
@@ -118,7 +118,7 @@ def existing_clips(spark: SparkSession, folder: str, single_files: bool = False)
     else:
         clips = stored_clips(spark, folder)
         paths = clips.where("cloned_audio_fr <> ''").select("cloned_audio_fr") if clips is not None else None
-    return paths if paths is not None else spark.createDataFrame([], "cloned_audio_fr string")
+    return paths if paths is not None else small_table(spark, [], "cloned_audio_fr string")
 
 
 def build_split(

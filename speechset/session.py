@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Largest table that is ever broadcast by an explicit hint, in rows, and largest list the driver reads.
 BROADCAST_ROWS = 10_000
@@ -70,6 +74,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A short list from the driver as a local relation, whose size the optimizer knows."""
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    columns = [pa.array([row[i] for row in rows], type=field.type) for i, field in enumerate(fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=fields))
+
+
 def bounded_rows(df: DataFrame, limit: int = LIST_ROWS) -> list:
     """Rows of a small table on the driver; an error, never a cut, when it is larger than ``limit``."""
     rows = df.limit(limit + 1).collect()

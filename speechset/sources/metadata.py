@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from speechset.session import small_table
+
 log = logging.getLogger(__name__)
 
 # Fields may hold quotes, line breaks and outer spaces; quotes are doubled.
@@ -47,7 +49,7 @@ def read_prior_metadata(spark: SparkSession, path: str, columns: list[str]) -> D
         return read_metadata_csv(spark, path, found.columns)
     except (PySparkException, ValueError) as failure:
         log.warning("no usable earlier run at %s (%s); starting fresh", path, str(failure).splitlines()[0])
-        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in columns]))
+        return small_table(spark, [], ", ".join(f"`{c}` string" for c in columns))
 
 
 def read_metadata_json(spark: SparkSession, path: str, schema: str, array: bool = False) -> DataFrame:

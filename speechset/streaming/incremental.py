@@ -9,6 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from speechset.session import small_table
+
 log = logging.getLogger(__name__)
 
 
@@ -60,7 +62,7 @@ def build_arrivals(
             except Exception as failure:
                 report = f"{type(failure).__name__}: {failure}"
                 log.warning("publishing after batch %s failed: %s", batch_id, report)
-            log_row = session.createDataFrame([(batch_id, report)], "batch_id bigint, report string")
+            log_row = small_table(session, [(batch_id, report)], "batch_id bigint, report string")
             log_row.write.mode("overwrite").json(f"{output}_publish_log/run={batch_id}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(arrivals)

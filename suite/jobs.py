@@ -13,7 +13,7 @@ from speechset.plans.build_clips import build_clips, build_split, stored_clips
 from speechset.plans.multilingual import multilingual_clips
 from speechset.plans.sampled_test_set import sampled_test_set
 from speechset.plans.voice_grid import speaker_language_grid
-from speechset.session import bounded_list, materialize, new_folder
+from speechset.session import bounded_list, materialize, new_folder, small_table
 from speechset.streaming.incremental import build_arrivals, compact
 from suite.fixtures import ALL_LANGS, TARGET_LANGS, audio, prior, table, utt
 from suite.models import open_length_model, open_peak_encoder, open_prompt_model, open_text_model
@@ -266,7 +266,7 @@ def q_incremental(spark, sf_dir):
     final = compact(spark, output, new_folder(spark, "final"), "doc_id")
     failed = spark.read.json(f"{output}_publish_log").where("report <> 'published'")
     totals = [("final", final, "doc_id"), ("failed batches", failed, "batch_id")]
-    report = spark.createDataFrame(states, "step string, n_rows bigint, n_keys bigint")
+    report = small_table(spark, states, "step string, n_rows bigint, n_keys bigint")
     for step, df, key in totals:
         sizes = df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(key).alias("n_keys"))
         report = report.unionByName(sizes.select(F.lit(step).alias("step"), "n_rows", "n_keys"))
