@@ -23,21 +23,25 @@ def _documents_with_audio(spark, sf_dir):
 
 
 @query(
-    """SELECT 'struct' AS layout, doc_id, CAST(len("array") AS BIGINT) AS n_samples, sampling_rate FROM documents LEFT JOIN audio USING (doc_id)
-       UNION ALL
-       SELECT 'columns', doc_id, CAST(len("array") AS BIGINT), sampling_rate FROM documents LEFT JOIN audio USING (doc_id)
-       UNION ALL SELECT 'absent', doc_id, NULL, NULL FROM documents""",
+    """WITH found AS (SELECT doc_id, coalesce(CAST(len("array") AS BIGINT), -1) AS n_samples, coalesce(sampling_rate, -1) AS sampling_rate
+                      FROM documents LEFT JOIN audio USING (doc_id))
+       SELECT 'struct' AS layout, * FROM found
+       UNION ALL SELECT 'columns', * FROM found
+       UNION ALL SELECT 'absent', doc_id, -1, -1 FROM documents""",
     ("audio",),
 )
 def q_audio_extract(spark, sf_dir):
-    """One audio value from a struct column, from two columns, and from neither."""
+    """One audio value from a struct column, from two columns, and from neither. Nulls are shown as -1."""
     nested = _documents_with_audio(spark, sf_dir)
     flat = nested.select("doc_id", F.col("audio.array").alias("samples"), F.col("audio.sampling_rate").alias("rate"))
 
     def report(df, layout, value):
         one = df.select("doc_id", value.alias("value"))
         return one.select(
-            F.lit(layout).alias("layout"), "doc_id", sample_count(F.col("value")).alias("n_samples"), F.col("value.sampling_rate")
+            F.lit(layout).alias("layout"),
+            "doc_id",
+            F.coalesce(sample_count(F.col("value")), F.lit(-1)).alias("n_samples"),
+            F.coalesce(F.col("value.sampling_rate"), F.lit(-1)).alias("sampling_rate"),
         )
 
     parts = [

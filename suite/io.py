@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from speechset.constants import METADATA_CANDIDATES
+from speechset.functions.audio import sample_count
 from speechset.operators.shape import SourceProfile, union_splits
 from speechset.plans.publish import publish_dataset
 from speechset.session import new_folder
@@ -229,12 +230,13 @@ def q_job_publish(spark, sf_dir):
 
 @query(
     """SELECT CASE WHEN doc_id % 2 = 0 THEN 'dev' ELSE 'eval' END AS split, doc_id,
-              CASE WHEN label < 9 THEN CAST(len(embedding) AS BIGINT) END AS n_samples,
+              CASE WHEN label < 9 THEN CAST(len(embedding) AS BIGINT) ELSE -1 END AS n_samples,
               CASE WHEN label < 9 THEN '' ELSE 'FileNotFoundError' END AS failure
        FROM (SELECT *, vec_id AS doc_id FROM embeddings)""",
 )
 def q_job_publish_audio(spark, sf_dir):
-    """Publish with the audio read into the dataset; a path without a file gives null and a reason."""
+    """Publish with the audio read into the dataset; a path without a file gives null (shown as -1) and a
+    reason."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
     split = F.when(F.col("doc_id") % 2 == 0, "dev").otherwise("eval")
     path = F.format_string("voices/clip_%d.wav", "doc_id")
@@ -249,6 +251,6 @@ def q_job_publish_audio(spark, sf_dir):
     return back.select(
         "split",
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.when(F.col("voice_fr.array").isNotNull(), F.size("voice_fr.array")).cast("bigint").alias("n_samples"),
+        F.coalesce(sample_count(F.col("voice_fr")), F.lit(-1)).alias("n_samples"),
         F.regexp_extract("voice_fr_error", r"(\w+Error)\b", 1).alias("failure"),
     )

@@ -26,18 +26,18 @@ def _last_line(error):
 
 
 @query(
-    """SELECT doc_id, CASE WHEN sampling_rate = 24000 THEN CAST(length(text) AS BIGINT) END AS n_samples,
+    """SELECT doc_id, CASE WHEN sampling_rate = 24000 THEN CAST(length(text) AS BIGINT) ELSE -1 END AS n_samples,
               CASE WHEN sampling_rate = 24000 THEN '' ELSE 'ValueError: unsupported rate 16000' END AS error
        FROM documents JOIN audio USING (doc_id)""",
     ("audio",),
 )
 def q_synthesis_job(spark, sf_dir):
-    """A user function on every row; its failures become errors and the run goes on."""
+    """A user function on every row; its failures become errors (no samples, shown as -1) and the run goes on."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     clips = audio(spark, sf_dir).select("doc_id", F.col("audio.array").alias("samples"), F.col("audio.sampling_rate").alias("rate"))
     rows = docs.join(clips, "doc_id")
     made = synthesize(rows, open_length_model, ["text", "samples", "rate"], drop=["text", "samples", "rate"])
-    n = F.when(F.col("out_array").isNotNull(), F.size("out_array")).cast("bigint")
+    n = F.when(F.col("out_array").isNotNull(), F.size("out_array")).otherwise(-1).cast("bigint")
     return made.select("doc_id", n.alias("n_samples"), _last_line(F.col("error")).alias("error"))
 
 
@@ -152,14 +152,14 @@ _CLONED = """
     f"""WITH {_CLONED}
     SELECT pos, target AS lang, md5(CASE WHEN has_text THEN text ELSE '' END) AS text,
            CASE WHEN made THEN printf('cloned_audio/%s/cloned_%05d_%s.wav', target, pos, target) ELSE '' END AS path,
-           CASE WHEN made THEN CAST(2 * length(text) + mark_chars + 66 AS BIGINT) END AS n_samples, error
+           CASE WHEN made THEN CAST(2 * length(text) + mark_chars + 66 AS BIGINT) ELSE -1 END AS n_samples, error
     FROM results""",
     ("audio", "codes"),
 )
 def q_job_multilingual(spark, sf_dir):
     """Clips of every row in three languages: the reference is encoded once, then the languages fan out."""
     clips = _multilingual(spark, sf_dir).clips
-    n = F.when(F.col("clip").isNotNull(), F.size("clip.array")).cast("bigint")
+    n = F.when(F.col("clip").isNotNull(), F.size("clip.array")).otherwise(-1).cast("bigint")
     return clips.select(
         "pos", "lang", F.md5("text").alias("text"), "path", n.alias("n_samples"), _last_line(F.col("error")).alias("error")
     )

@@ -7,7 +7,6 @@ from speechset.operators.positions import concat_in_order, dense_positions, firs
 from speechset.operators.reports import distinct_set, distinct_values, split_counts
 from speechset.operators.speakers import (
     annotate_speakers,
-    label_split,
     smallest_speakers,
     speaker_sizes,
     test_rows,
