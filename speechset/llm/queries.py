@@ -59,3 +59,34 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", *[f"counts.{c}" for c in counts], "verdict.base_failed", "verdict.kept", "verdict.distance"
     )
+
+
+@query()
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from speechset.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(
+    r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    starts AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0),
+    s AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 3], ' ')) AS g FROM starts),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id),
+    e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+        WHERE 100 * k >= 80 * (nx.n + ny.n - k)),
+    reach(doc_id, r) AS (SELECT doc_id, doc_id FROM w UNION SELECT reach.doc_id, e.y FROM reach JOIN e ON reach.r = e.x)
+    SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+    FROM w LEFT JOIN n ON n.doc_id = w.doc_id
+    JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = w.doc_id
+    """
+)
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from speechset.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
