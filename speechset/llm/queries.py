@@ -90,3 +90,19 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from speechset.llm.neardup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from speechset.llm.toxicity import PREDICTED_FROM, fit, held_out, is_toxic, with_scores
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    scored = with_scores(docs.select("doc_id", "lang", "text"), model)
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"),
+        is_toxic(model, F.col("score"), F.col("lang")).alias("toxic_by_lang"),
+    )
