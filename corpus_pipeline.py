@@ -12,9 +12,14 @@ _ROOT = str(pathlib.Path(__file__).resolve().parent)
 if _ROOT not in sys.path:
     sys.path.insert(0, _ROOT)
 
+import public_tokenizers  # noqa: E402
+
 from speechset.llm.frames import prepare, table  # noqa: E402
+from speechset.llm.neardup import first_of_groups  # noqa: E402
+from speechset.llm.packing import pack  # noqa: E402
 from speechset.llm.quality import quality_kept  # noqa: E402
 from speechset.llm.substrings import remove_repeats  # noqa: E402
+from speechset.llm.toxicity import fit, without_toxic  # noqa: E402
 from speechset.session import new_folder  # noqa: E402
 
 # SQL has no estimate of covariance determinants and no trained classifier.
@@ -27,6 +32,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_kept(docs)
 
 
+def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not call toxic; it learns from the labels of those that came here."""
+    prepare(spark)
+    return without_toxic(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the smallest id."""
+    prepare(spark)
+    return first_of_groups(docs)
+
+
 def remove_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the words of repeated windows; a text that loses all its words is empty."""
     prepare(spark)
@@ -41,9 +58,18 @@ def _recount(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast(kind)).select(*docs.columns)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their token ids and their place in a sequence of 2048 tokens."""
+    prepare(spark)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), ids=True)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", keep_good),
+    ("toxicity", keep_civil),
+    ("MinHash near-dedup", keep_first_copies),
     ("substring dedup", remove_substrings),
+    ("best-fit packing", pack_sequences),
 ]
 
 
