@@ -106,3 +106,79 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"),
         is_toxic(model, F.col("score"), F.col("lang")).alias("toxic_by_lang"),
     )
+
+
+@query()
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from speechset.llm.bytebpe import decoded, encoded
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return decoded(encoded(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+
+
+@query()
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from speechset.llm.fingerprints import with_edits
+
+    return with_edits(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH t AS (SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, role, replace(coalesce(text, ''), '<|', '< |') AS text,
+        coalesce(CAST(floor(turn / 128.0) AS BIGINT), -1) AS part FROM conversations),
+    s AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role IS NOT NULL AND role <> 'system'),
+    shown AS (SELECT t.conv_id, perspective, part, turn, coalesce(role, '') AS k, text,
+        CASE WHEN role = 'system' THEN '<|im_start|>system' WHEN role = perspective THEN '<|im_start|>assistant'
+            WHEN role IS NULL THEN '<|im_start|>user'
+            ELSE '<|im_start|>user name=' || regexp_replace(role, '[^A-Za-z0-9_-]', '_', 'g') END || chr(10) AS head,
+        text || '<|im_end|>' || chr(10) AS body, coalesce(role = perspective, false) AS mine
+        FROM t JOIN s ON s.conv_id IS NOT DISTINCT FROM t.conv_id),
+    placed AS (SELECT *, CAST(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part
+        ORDER BY turn, k, text ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop FROM shown)
+    SELECT conv_id, perspective, part, CAST(count(*) AS INTEGER) AS n_turns,
+        string_agg(head || body, '' ORDER BY turn, k, text) AS rendered,
+        coalesce(string_agg((stop - length(body)) || '-' || (stop - 1), ' ' ORDER BY turn, k, text) FILTER (mine), '') AS mask
+    FROM placed GROUP BY conv_id, perspective, part
+    """
+)
+def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from speechset.llm.chat import rotate
+
+    spans = F.transform("mask", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
+    return rotate(table(spark, sf_dir, "conversations")).withColumn("mask", F.array_join(spans, " "))
+
+
+def _license_sql() -> str:
+    from speechset.llm.licenses import SHINGLE, TEMPLATES, size_class, stride, template_words
+
+    rows = []
+    for name, text in TEMPLATES.items():
+        tokens = template_words(text)
+        size = size_class(len(tokens) - SHINGLE + 1)
+        rows.append(f"('{name}', '{' '.join(tokens)}', {size}, {stride(size)})")
+    return rf"""
+    WITH t AS (SELECT license, string_split(words, ' ') AS ws, size, step
+        FROM (VALUES {', '.join(rows)}) AS v(license, words, size, step)),
+    tr AS (SELECT DISTINCT license, size, step, array_to_string(ws[i:i + 4], ' ') AS run
+        FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM t)),
+    n AS (SELECT license, CAST(count(*) AS INTEGER) AS n_shingles FROM tr GROUP BY license),
+    w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\p{{L}}\p{{N}}]+') AS ws FROM documents),
+    dr AS (SELECT doc_id, i - 1 AS i, array_to_string(ws[i:i + 4], ' ') AS run
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+    met AS (SELECT doc_id, license, size, step, i, run FROM dr JOIN tr USING (run)),
+    wins AS (SELECT doc_id, license, run, step,
+        unnest(range(greatest(0, CAST(ceil((i - (size + step - 2)) / CAST(step AS DOUBLE)) AS BIGINT)), i // step + 1)) AS k FROM met),
+    f AS (SELECT doc_id, license, k * step AS start, count(DISTINCT run) AS n_found FROM wins GROUP BY ALL)
+    SELECT doc_id, license, n_shingles, CAST(max(n_found) AS INTEGER) AS n_found, CAST(min(start) AS INTEGER) AS first_word
+    FROM f JOIN n USING (license) WHERE 100 * n_found >= 80 * n_shingles GROUP BY doc_id, license, n_shingles
+    """
+
+
+@query(_license_sql())
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from speechset.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))

@@ -7,8 +7,9 @@ certain goes to the library whole. The ids are the same either way.
 
 from __future__ import annotations
 
+import sys
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 REMEMBERED = 400_000  # words a worker remembers before it starts afresh
 _BATCH = 1024
@@ -16,22 +17,30 @@ _open: dict[tuple[str, str], "TextEncoder"] = {}
 
 
 def encoder(path: str, spaces: str) -> "TextEncoder":
-    """The encoder of a vocabulary file, opened once in a Python worker. ``spaces`` says what becomes of
-    white space: "dropped", or "joined" where a space belongs to the word after it."""
+    """The encoder of a vocabulary file of the tokenizers library, opened once in a Python worker.
+    ``spaces`` says what becomes of white space: "dropped", or "joined" where a space belongs to the word
+    after it."""
     key = (path, spaces)
     if key not in _open:
-        _open[key] = TextEncoder(path, spaces)
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+
+        def many(texts: list[str]) -> list[bytes]:
+            return [packed(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        _open[key] = TextEncoder(many, spaces)
     return _open[key]
 
 
 class TextEncoder:
-    def __init__(self, path: str, spaces: str):
-        from tokenizers import Tokenizer
+    """Encodes texts with ``many``, a function from texts to their packed ids, word by word."""
 
+    def __init__(self, many: Callable[[list[str]], list[bytes]], spaces: str):
         if spaces not in ("dropped", "joined"):
             raise ValueError(f"spaces {spaces!r}")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.many = many
         self.joined = spaces == "joined"
         self.alone: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
@@ -76,21 +85,17 @@ class TextEncoder:
                 return False
         for i in range(0, len(new), _BATCH):
             part = new[i : i + _BATCH]
-            found = self.tokenizer.encode_batch_fast([before + w for w in part], add_special_tokens=False)
-            for word, encoding in zip(part, found):
-                known[word] = _packed(encoding.ids)
+            known.update(zip(part, self.many([before + w for w in part])))
         return True
 
     def _whole(self, text: str) -> bytes:
-        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return self.many([text])[0]
 
 
-def _packed(ids: Iterable[int]) -> bytes:
+def packed(ids: Iterable[int]) -> bytes:
     out = array("I", ids)
     if out.itemsize != 4:
         raise RuntimeError("unsigned ints of four bytes are assumed")
-    import sys
-
     if sys.byteorder == "big":
         out.byteswap()
     return out.tobytes()
