@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechset.llm.frames import texts
-from speechset.session import materialize, small_table
+from speechset.session import small_table
 
 SHINGLE = 5
 BANDS = 48
@@ -75,22 +75,31 @@ def _sample(hashes: Column, band: int) -> Column:
     return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(value)))
 
 
-def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """license, size class, its runs as text, and its samples (band, sample)."""
+def template_runs(templates: dict[str, str]) -> list[tuple]:
+    """license, number of distinct runs, size class, and each run as words."""
     rows = []
     for name, text in templates.items():
         tokens = template_words(text)
-        if len(tokens) < SHINGLE:
+        runs = [tuple(tokens[i : i + SHINGLE]) for i in range(len(tokens) - SHINGLE + 1)]
+        if not runs:
             raise ValueError(f"template {name} has under {SHINGLE} words")
-        rows.append((name, " ".join(tokens), len({tuple(tokens[i : i + SHINGLE]) for i in range(len(tokens) - SHINGLE + 1)}), len(tokens)))
-    table = small_table(spark, rows, "license string, words string, n_shingles int, n_words int")
-    tokens = F.split("words", " ")
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(tokens) - SHINGLE), lambda i: F.concat_ws(" ", F.slice(tokens, i + 1, SHINGLE))))
-    spread = F.col("n_words") - SHINGLE + 1
-    sizes = sorted({size_class(r[3] - SHINGLE + 1) for r in rows})
-    size = F.coalesce(*[F.when(spread <= s, F.lit(s)) for s in sizes]) if sizes else F.lit(1)
-    samples = F.array(*[_sample(shingle_hashes(tokens), b) for b in range(BANDS)])
-    return table.select("license", "n_shingles", size.alias("size"), runs.alias("runs"), samples.alias("samples"), shingle_hashes(tokens).alias("hashes"))
+        rows += [(name, len(set(runs)), size_class(len(runs)), *run) for run in dict.fromkeys(runs)]
+    return rows
+
+
+def template_samples(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """license, n_shingles, size, band, sample, and the hash of the run that gave the sample."""
+    parts = [f"w{k}" for k in range(SHINGLE)]
+    runs = small_table(spark, rows, "license string, n_shingles int, size int, " + ", ".join(f"{p} string" for p in parts))
+    spread = runs.withColumn("h", F.xxhash64(*parts)).withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))))
+    mixed = F.col("h").bitwiseXOR(F.xxhash64(F.lit("band"), F.col("band")))
+    return spread.groupBy("license", "n_shingles", "size", "band").agg(F.min(mixed).alias("sample"), F.min_by("h", mixed).alias("probe"))
+
+
+def _once(df: DataFrame, name: str, value: Column, *keep: str) -> DataFrame:
+    """``value`` as a column that later filters cannot pull apart: as the one row of a generator it is
+    computed once a row, where a plain column would be put, unfinished, into every place that uses it."""
+    return df.select(*keep, F.explode(F.array(value)).alias(name))
 
 
 def _open_windows(size: int, probe: Column) -> Column:
@@ -105,27 +114,25 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, id_col: str = "
     """Per id and license found: n_shingles of the template, n_found (the most of them in one window),
     and first_word, where the first window with enough of them starts."""
     spark = df.sparkSession
-    known = template_table(spark, TEMPLATES if templates is None else templates)
-    # Templates are a parameter: a row each comes to the driver, to become literals of the filters.
-    listed = known.select("size", "samples").collect()
-    by_size: dict[int, set[int]] = {}
-    for row in listed:
-        values = by_size.setdefault(row["size"], set())
-        values.update(row["samples"])
+    rows = template_runs(TEMPLATES if templates is None else templates)
     schema = "doc_id bigint, license string, n_shingles int, n_found int, first_word int"
-    if not by_size:
+    if not rows:
         return spark.createDataFrame([], schema)
-    # A sample is a run's hash xor its band's value: undo that to get the runs themselves.
-    bands = small_table(spark, [(b,) for b in range(BANDS)], "band int").select("band", F.xxhash64(F.lit("band"), "band").alias("value"))
-    probes = known.select("size", F.posexplode("samples").alias("band", "sample")).join(F.broadcast(bands), "band")
-    probe_rows = probes.select("size", F.col("sample").bitwiseXOR(F.col("value")).alias("h")).distinct().collect()
-    of_size = {s: [r["h"] for r in probe_rows if r["size"] == s] for s in by_size}
-    longs = lambda values: F.array(*[F.lit(v).cast("bigint") for v in values])
-
-    docs = texts(df, id_col, text_col).select("doc_id", words(F.col("text")).alias("w"))
-    hashed = docs.where(F.size("w") >= SHINGLE).withColumn("h", shingle_hashes(F.col("w")))
-    near = hashed.where(F.arrays_overlap("h", longs(sorted({h for hs in of_size.values() for h in hs}))))
-    windows = [_open_windows(size, longs(sorted(of_size[size]))) for size in sorted(by_size)]
+    # Templates are a parameter: BANDS rows for each come to the driver, to become literals of the filters.
+    listed = template_samples(spark, rows).orderBy("license", "band").collect()
+    of_size: dict[int, set[int]] = {}
+    own: dict[str, list] = {}
+    for r in listed:
+        of_size.setdefault(r["size"], set()).add(r["probe"])
+        own.setdefault(r["license"], [r["license"], r["n_shingles"], r["size"], []])[3].append(r["sample"])
+    table = [(*o, [" ".join(r[3:]) for r in rows if r[0] == o[0]]) for o in own.values()]
+    own_table = small_table(spark, table, "license string, n_shingles int, t_size int, theirs array<bigint>, runs array<string>")
+    longs = lambda values: F.array(*[F.lit(v).cast("bigint") for v in sorted(values)])
+
+    docs = _once(texts(df, id_col, text_col), "w", words(F.col("text")), "doc_id")
+    hashed = _once(docs.where(F.size("w") >= SHINGLE), "h", shingle_hashes(F.col("w")), "doc_id", "w")
+    near = hashed.where(F.arrays_overlap("h", longs(set().union(*of_size.values()))))
+    windows = [_open_windows(size, longs(probes)) for size, probes in sorted(of_size.items())]
     spread = near.select("doc_id", "w", "h", F.explode(F.concat(*windows)).alias("win")).select(
         "doc_id",
         F.col("win.size").alias("size"),
@@ -136,9 +143,8 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, id_col: str = "
     samples = F.array(*[_sample(F.col("h"), b) for b in range(BANDS)])
     banded = spread.select("doc_id", "size", "start", "w", samples.alias("mine"))
     # A row a template: the list's length is part of the call.
-    own = known.select("license", "n_shingles", F.col("size").alias("t_size"), "runs", F.col("samples").alias("theirs"))
     hit = F.exists(F.zip_with("mine", "theirs", lambda a, b: a == b), lambda x: x)
-    met = banded.join(F.broadcast(own), (F.col("size") == F.col("t_size")) & hit)
+    met = banded.join(F.broadcast(own_table), (F.col("size") == F.col("t_size")) & hit)
     found = F.size(
         F.array_intersect(
             F.transform(F.sequence(F.lit(0), F.size("w") - SHINGLE), lambda i: F.concat_ws(" ", F.slice(F.col("w"), i + 1, SHINGLE))),
