@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from speechset.llm.frames import fresh, quoted, slices, texts
+from speechset.llm.frames import fresh, quoted, slices
 from speechset.llm.words import Words, cover, grams, hash_ranges, mix
 
 WINDOW = 35
@@ -41,11 +41,12 @@ GROUP_BYTES = 4 << 20  # packed strings that a bucket task looks at together, un
 _KEY = ["_a", "_b"]
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    """doc_id and text with a key that is never null and tells equal ids with different texts apart."""
-    return df.select(
-        F.coalesce("doc_id", F.lit(0)).alias("_a"), F.xxhash64("doc_id", "text").alias("_b"), "text"
-    )
+def _keyed(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with a key that is never null and tells equal ids with different texts apart. All steps
+    join on this one table, so that its rows are shuffled once and the exchange is used again."""
+    names = [fresh(df, "_a"), fresh(df, "_b")]
+    id_, text = quoted(id_col).cast("bigint"), quoted(text_col).cast("string")
+    return df.withColumns({names[0]: F.coalesce(id_, F.lit(0)), names[1]: F.xxhash64(id_, text), text_col: text}), names
 
 
 def runs_of(words: Words, size: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -81,35 +82,35 @@ def runs_of(words: Words, size: int, m: int) -> tuple[np.ndarray, np.ndarray, np
     return first, count, least[first].astype(np.int64), inner
 
 
-def _places(df: DataFrame) -> DataFrame:
+def _places(df: DataFrame, text_col: str, key: list[str]) -> DataFrame:
     """A row per super-k-mer: key of the text, first window, number of windows, minimiser."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            words = Words(part.column("text"))
+        for part in slices(batches, text_col):
+            words = Words(part.column(text_col))
             first, count, least, inner = runs_of(words, WINDOW, MINIMISER)
             row = words.row[first]
             yield pa.RecordBatch.from_arrays(
-                [part.column(c).take(pa.array(row)) for c in _KEY]
+                [part.column(c).take(pa.array(row)) for c in key]
                 + [pa.array((first - words.first[row]).astype(np.int32)), pa.array(count.astype(np.int32)),
                    pa.array(least), pa.array(inner.astype(np.int32))],
                 names=[*_KEY, "first", "n", "least", "inner"],
             )
 
-    return df.mapInArrow(run, "_a bigint, _b bigint, first int, n int, least bigint, inner int")
+    return df.select(*[quoted(c) for c in (*key, text_col)]).mapInArrow(run, "_a bigint, _b bigint, first int, n int, least bigint, inner int")
 
 
 def _id_of(packed: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(packed, digest_size=8).digest(), "little", signed=True)
 
 
-def _packing(batches: Iterator[pa.RecordBatch], places: bool) -> Iterator[pa.RecordBatch]:
+def _packing(batches: Iterator[pa.RecordBatch], text_col: str, key: list[str], runs_col: str, places: bool) -> Iterator[pa.RecordBatch]:
     """From texts with their list of super-k-mers: the packed strings, equal ones of a batch once with
     their number; or, with ``places``, where each string stands in its text."""
-    for part in slices(batches):
-        words = Words(part.column("text"))
+    for part in slices(batches, text_col):
+        words = Words(part.column(text_col))
         text, start, end = words.joined()
-        listed = part.column("runs")
+        listed = part.column(runs_col)
         row = np.repeat(np.arange(part.num_rows), np.diff(listed.offsets.to_numpy()))
         runs = listed.flatten()
         at = runs.field("first").to_numpy().astype(np.int64)
@@ -131,7 +132,7 @@ def _packing(batches: Iterator[pa.RecordBatch], places: bool) -> Iterator[pa.Rec
         if places:
             ids = [_id_of(s) for s in strings]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket), pa.array(ids, pa.int64())] + [part.column(c).take(pa.array(row)) for c in _KEY] + [pa.array(at.astype(np.int32))],
+                [pa.array(bucket), pa.array(ids, pa.int64())] + [part.column(c).take(pa.array(row)) for c in key] + [pa.array(at.astype(np.int32))],
                 names=["bucket", "packed_id", *_KEY, "first"],
             )
         else:
@@ -219,20 +220,24 @@ def _verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """Per text with repeated windows: its key and the list of word ranges (``at``, ``length``) to remove."""
-    keyed = _keyed(docs)
-    places = _places(keyed)
+def repeated_ranges(keyed: DataFrame, text_col: str, key: list[str]) -> DataFrame:
+    """Per text with repeated windows: its key (_a, _b) and the word ranges (``at``, ``length``) to remove."""
+    places = _places(keyed, text_col, key)
     counts = places.groupBy("least").agg((F.count(F.lit(1)) + F.max("inner")).alias("_n")).where("_n > 1")
     open_runs = places.join(counts, "least").select(
         *_KEY, F.struct("first", "n", "least", (F.col("_n") > HOT).alias("hot")).alias("run")
     )
     # A text's own runs: bounded by the text. Rows that repeat a key have the same runs.
-    listed = open_runs.groupBy(*_KEY).agg(F.array_distinct(F.collect_list("run")).alias("runs"))
-    loaded = keyed.join(listed, _KEY).select(*_KEY, "text", "runs")
-    packed = loaded.mapInArrow(lambda b: _packing(b, False), "bucket bigint, packed binary, copies bigint")
-    spots = loaded.mapInArrow(lambda b: _packing(b, True), "bucket bigint, packed_id bigint, _a bigint, _b bigint, first int")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = fresh(keyed, "_runs")
+    listed = open_runs.groupBy(*_KEY).agg(F.array_distinct(F.collect_list("run")).alias(runs))
+    loaded = keyed.join(_renamed(listed, key), key)
+    packed = loaded.mapInArrow(
+        lambda b: _packing(b, text_col, key, runs, False), "bucket bigint, packed binary, copies bigint"
+    )
+    spots = loaded.mapInArrow(
+        lambda b: _packing(b, text_col, key, runs, True), "bucket bigint, packed_id bigint, _a bigint, _b bigint, first int"
+    )
+    n = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = packed.repartition(n, "bucket").sortWithinPartitions("bucket")
     verdicts = ordered.mapInArrow(_verdicts, "bucket bigint, packed_id bigint, skip int, length int")
     ranges = spots.join(verdicts, ["bucket", "packed_id"]).select(
@@ -241,6 +246,10 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     return ranges.groupBy(*_KEY).agg(F.collect_list("range").alias("ranges"))
 
 
+def _renamed(df: DataFrame, key: list[str]) -> DataFrame:
+    return df.withColumnsRenamed(dict(zip(_KEY, key)))
+
+
 def _strip(words: Words, listed: pa.ListArray) -> np.ndarray:
     """Which words of a column lie in the ranges listed for their row."""
     listed = listed.fill_null([]) if listed.null_count else listed
@@ -256,30 +265,20 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Remove every word that a repeated window covers. The text column becomes the kept words joined by
     single spaces (a text that loses nothing stays as it is); counts are added as the struct ``out`` (n_words,
     n_removed, kept: the joined kept words) if a name is given. A null text stays null."""
-    narrow = texts(df, id_col, text_col)
-    ranges = repeated_ranges(narrow)
     names = df.columns
-    mine = {c: fresh(df, c) for c in ("_a", "_b", "_text")}
-    keyed = df.withColumns(
-        {
-            mine["_text"]: quoted(text_col).cast("string"),
-            mine["_a"]: F.coalesce(quoted(id_col).cast("bigint"), F.lit(0)),
-            mine["_b"]: F.xxhash64(quoted(id_col).cast("bigint"), quoted(text_col).cast("string")),
-        }
-    )
-    listed = ranges.select(F.col("_a").alias(mine["_a"]), F.col("_b").alias(mine["_b"]), "ranges")
+    keyed, key = _keyed(df, id_col, text_col)
     range_name = fresh(keyed, "_ranges")
-    joined = keyed.join(listed.withColumnRenamed("ranges", range_name), [mine["_a"], mine["_b"]], "left")
-    joined = joined.select(*[quoted(c) for c in names], mine["_text"], range_name)
+    listed = _renamed(repeated_ranges(keyed, text_col, key), key).withColumnRenamed("ranges", range_name)
+    joined = keyed.join(listed, key, "left").select(*[quoted(c) for c in names], *key, range_name)
     added = {f: fresh(joined, f) for f in ("_words", "_removed", "_kept")}
     kinds = ["bigint", "bigint", "string"]
     schema = StructType(
-        [*df.schema, *StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in zip(added.values(), kinds)))]
+        [*keyed.select(*[quoted(c) for c in names]).schema, *StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in zip(added.values(), kinds)))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, mine["_text"]):
-            words = Words(part.column(mine["_text"]))
+        for part in slices(batches, text_col):
+            words = Words(part.column(text_col))
             gone = _strip(words, part.column(range_name))
             removed = np.bincount(words.row[gone], minlength=part.num_rows)
             kept = kept_texts(words, ~gone)
@@ -288,7 +287,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *added.values()])
 
     done = joined.mapInArrow(run, schema)
-    changed = F.when(F.col(added["_removed"]) > 0, F.col(added["_kept"])).otherwise(quoted(text_col).cast("string"))
+    changed = F.when(F.col(added["_removed"]) > 0, F.col(added["_kept"])).otherwise(quoted(text_col))
     result = [changed.alias(c) if c == text_col else quoted(c) for c in names]
     if out:
         fields = zip(added.values(), ("n_words", "n_removed", "kept"))
