@@ -182,3 +182,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from speechset.llm.licenses import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from speechset.llm.tokenfile import read_documents, write_tokens
+    from speechset.session import new_folder
+
+    path = new_folder(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return read_documents(spark, path)

@@ -26,9 +26,9 @@ import numpy as np
 BLOCK = 4096
 LANES = 1024  # blocks that advance together
 RENEW = 1024
-SLOTS = 2048
+SLOTS = 1024
 LEVELS = 8  # of confidence
-LOW_CLASSES = 32  # the low half is spelled by the class of the high half
+LOW_CLASSES = 8  # the low half is spelled by the class of the high half
 _ONE = 1 << 16
 _WINDOW = np.uint64((1 << 48) - 1)
 _SETTLED, _SMALL = np.uint64(1 << 32), np.uint64(1 << 24)
@@ -139,7 +139,7 @@ class _Spelling:
 
     def __init__(self, lanes: int, classes: int):
         self.classes = classes
-        self.counts = np.zeros((lanes * classes, 256), np.int32)
+        self.counts = np.zeros((lanes * classes, 256), np.uint16)  # up to BLOCK
         self.upto = np.zeros((lanes * classes, 257), np.int32)
         self.upto[:] = np.arange(257) * 256
 
@@ -166,7 +166,7 @@ class _Spelling:
 
 class _Model:
     def __init__(self, lanes: int):
-        self.next = [np.zeros(lanes * SLOTS, np.int32) for _ in range(2)]
+        self.next = [np.zeros(lanes * SLOTS, np.uint16) for _ in range(2)]
         self.sure = [np.zeros(lanes * SLOTS, np.int8) for _ in range(2)]
         self.last = np.zeros((2, lanes), np.int64)
         self.decide = [_Mixed(lanes, (LEVELS, 2 * LEVELS, 1)), _Mixed(lanes, (LEVELS, LEVELS, 1))]
@@ -180,7 +180,7 @@ class _Model:
         one, two = self.last[0][lanes], self.last[1][lanes]
         base = lanes * SLOTS
         self.slots = [base + (((one * 40503 + two * 24593) >> 3) ^ one) % SLOTS, base + one % SLOTS]
-        self.guess = [n[s] for n, s in zip(self.next, self.slots)]
+        self.guess = [n[s].astype(np.int64) for n, s in zip(self.next, self.slots)]
         self.level = [c[s].astype(np.int64) for c, s in zip(self.sure, self.slots)]
         self.same = (self.guess[0] == self.guess[1]).astype(np.int64)
 
@@ -226,17 +226,15 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
         lanes = np.arange(np.searchsorted(-lengths, -step))  # blocks longer than ``step``
         x = ids[step, : len(lanes)]
         model.begin(lanes, step)
-        left = lanes
+        left, hit = lanes, np.zeros(len(lanes), bool)
         for order in range(2):
             ask = left if order == 0 else left[model.same[left] == 0]
             yes = model.guess[order][ask] == x[ask]
             p = model.decide[order].chance(ask, model.contexts(order, ask))
             coder.put(ask, np.where(yes, 0, p), np.where(yes, p, _ONE - p))
             model.decide[order].learn(yes)
-            if order == 0:
-                left = ask[~yes]
-            else:
-                left = np.setdiff1d(left, ask[yes], assume_unique=True)
+            hit[ask] = yes
+            left = left[~hit[left]]
         high, low = x[left] >> 8, x[left] & 255
         coder.put(left, *model.high.bounds(left, high))
         model.high.learn(left, high)
@@ -267,7 +265,7 @@ def _decode(payloads: list[bytes], lengths: np.ndarray) -> np.ndarray:
         lanes = np.arange(np.searchsorted(-lengths, -step))
         x = np.zeros(len(lanes), np.int64)
         model.begin(lanes, step)
-        left = lanes
+        left, hit = lanes, np.zeros(len(lanes), bool)
         for order in range(2):
             ask = left if order == 0 else left[model.same[left] == 0]
             p = model.decide[order].chance(ask, model.contexts(order, ask))
@@ -275,10 +273,8 @@ def _decode(payloads: list[bytes], lengths: np.ndarray) -> np.ndarray:
             coder.take(ask, np.where(yes, 0, p), np.where(yes, p, _ONE - p))
             model.decide[order].learn(yes)
             x[ask[yes]] = model.guess[order][ask[yes]]
-            if order == 0:
-                left = ask[~yes]
-            else:
-                left = np.setdiff1d(left, ask[yes], assume_unique=True)
+            hit[ask] = yes
+            left = left[~hit[left]]
         high = model.high.find(left, coder.where(left))
         coder.take(left, *model.high.bounds(left, high))
         model.high.learn(left, high)
