@@ -7,12 +7,18 @@ certain goes to the library whole. The ids are the same either way.
 
 from __future__ import annotations
 
+import os
 import sys
 from array import array
 from collections.abc import Callable, Iterable
 
-REMEMBERED = 400_000  # words a worker remembers before it starts afresh
-_BATCH = 1024
+import numpy as np
+
+# A task has one core: the library's own threads would only fight over it.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+REMEMBERED = 300_000  # words a worker remembers before it starts afresh, with the last such lot at hand
+_BATCH = 256
 _open: dict[tuple[str, str], "TextEncoder"] = {}
 
 
@@ -27,13 +33,35 @@ def encoder(path: str, spaces: str) -> "TextEncoder":
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-        def many(texts: list[str]) -> list[bytes]:
-            return [packed(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-        _open[key] = TextEncoder(many, spaces)
+        _open[key] = TextEncoder(_Library(tokenizer, spaces), spaces)
     return _open[key]
 
 
+class _Library:
+    """Packed ids of texts by the tokenizers library. Many words go through it as one text, with a zero
+    character between them that is a token of its own, which costs less than a call a word."""
+
+    def __init__(self, tokenizer, spaces: str):
+        self.tokenizer = tokenizer
+        self.between = " \x00" if spaces == "joined" else " \x00 "
+        self.lead = " " if spaces == "joined" else ""
+        self.mark = np.array(tokenizer.encode(self.between, add_special_tokens=False).ids)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(texts) > 3 and all(t.startswith(self.lead) and "\x00" not in t for t in texts):
+            ids = np.array(self._encode([self.between.join(texts)])[0], "<u4")
+            n = len(self.mark)
+            ends = np.flatnonzero(ids == self.mark[-1])
+            if len(ends) == len(texts) - 1:
+                data = ids.tobytes()
+                starts, stops = [0, *(ends + 1).tolist()], [*(ends + 1 - n).tolist(), len(ids)]
+                return [data[4 * a : 4 * b] for a, b in zip(starts, stops)]
+        return [packed(i) for i in self._encode(texts)]
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 class TextEncoder:
     """Encodes texts with ``many``, a function from texts to their packed ids, word by word."""
 
@@ -44,6 +72,7 @@ class TextEncoder:
         self.joined = spaces == "joined"
         self.alone: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
+        self.past: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # the lot before, by what stands before a word
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
@@ -73,16 +102,22 @@ class TextEncoder:
     def _learn(self, known: dict[str, bytes], words: list[str], before: str, checked: bool = True) -> bool:
         """Encode the words not yet known. False if one of them has white space at an end, or is empty:
         then what surrounds it matters."""
-        new = [w for w in set(words) if w not in known]
+        unique = set(words)
+        new = [w for w in unique if w not in known]
         if not new:
             return True
         if checked and any(not w or w[0].isspace() or w[-1].isspace() for w in new):
             return False
+        past = self.past[before]
         if len(known) + len(new) > REMEMBERED:
+            past.clear()
+            past.update(known)
             known.clear()
-            new = list(set(words))
-            if checked and any(not w or w[0].isspace() or w[-1].isspace() for w in new):
-                return False
+            new = list(unique)
+        for word in new:
+            if word in past:
+                known[word] = past[word]
+        new = [w for w in new if w not in known]
         for i in range(0, len(new), _BATCH):
             part = new[i : i + _BATCH]
             known.update(zip(part, self.many([before + w for w in part])))
