@@ -3,15 +3,19 @@
 A text's set is its distinct word shingles, lower-cased (A-Z). Two texts are linked when the
 intersection of their sets holds at least 80 percent of the union; linked texts form components.
 
-* ``HASHES`` MinHash samples of each set make ``BANDS`` bucket keys, and are folded into an odd sketch: a
+* MinHash samples of each set make ``BANDS`` bucket keys, and ``HASHES`` of them are folded into an odd sketch: a
   bitmap whose bits hold the parity of the samples that fall on them. The exclusive or of two sketches
   has few ones when the sets are alike, which estimates high similarities closely. Sketches only rule
-  out pairs far below the threshold (``SURE_BELOW``, over six standard deviations away); the others are
+  out pairs well below the threshold (``SURE_BELOW``, over four standard deviations away); the others are
   confirmed on the full sets.
 * Texts with equal sets are one vertex, so exact copies cost a row each and no pairs.
 * In a bucket every vertex is first compared with the smallest one only. Buckets that then still hold
-  several components get new leaders for ``ROUNDS`` rounds, and at last all pairs across components, so
-  that no link of the bucket is lost; members of one component are never paired again.
+  several components get new leaders for ``ROUNDS`` rounds. At last pairs across components are checked,
+  so that no link of the bucket is lost; members of one component are never paired again. Shingles that
+  at most ``RARE`` of the remaining vertices have are rare. Two sets that share no rare shingle have at most
+  the smaller number of frequent ones in common; only if that could be enough are they a pair. All
+  others that could be linked meet at a rare shingle, whose list is short. So the many versions of one
+  text, each too far from the others, make no pairs.
 * The chance that a pair at the threshold shares no bucket is (1 - 0.8**4)**32, about 5e-8.
 
 Cases: a null or wordless text has an empty set and is linked with nothing; a text shorter than a
@@ -35,10 +39,11 @@ from speechset.session import materialize
 SHINGLE = 4
 PERCENT = 80
 BANDS, ROWS = 32, 4
-HASHES = BANDS * ROWS
-SKETCH_WORDS = 8  # of 64 bits
-SURE_BELOW = 0.55
+HASHES = 512  # samples in a sketch; the first BANDS * ROWS make the bucket keys
+SKETCH_WORDS = 16  # of 64 bits
+SURE_BELOW = 0.71
 ROUNDS = 2
+RARE = 64
 SALT_ROWS = 256  # members that are compared with one copy of their leader's text
 
 _random = np.random.Generator(np.random.PCG64(7))
@@ -82,7 +87,8 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 s2[full] = np.add.reduceat(mix(keys ^ _FLIP[0]), at)
                 for i in range(HASHES):
                     least = mix(np.minimum.reduceat((keys ^ _FLIP[i]) * _ODD[i], at) ^ _FLIP[-1 - i])
-                    bands[full, i // ROWS] = mix(bands[full, i // ROWS] + least)
+                    if i < BANDS * ROWS:
+                        bands[full, i // ROWS] = mix(bands[full, i // ROWS] + least)
                     bit = least % np.uint64(64 * SKETCH_WORDS)
                     sketch[full, (bit >> np.uint64(6)).astype(int)] ^= np.uint64(1) << (bit & np.uint64(63))
             lists = lambda x: pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * x.shape[1], pa.array(x.astype(np.int64).ravel()))
@@ -181,7 +187,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Buckets of one vertex say nothing: only the others are kept, with their smallest vertex.
     heads = buckets.groupBy("key").agg(F.min(F.struct("v", "n")).alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1")
     crowded = materialize(buckets.join(heads, "key").select("key", "v", "n", "head"), "buckets")
-    known = materialize(vertices.join(crowded.select(F.col("v").alias("doc_id")).distinct(), "doc_id").select("doc_id", "th", "n", "sketch"), "known")
+    known = materialize(vertices.join(crowded.select(F.col("v").alias("doc_id")).distinct(), "doc_id").select("doc_id", "th", "n", "sketch", "bands"), "known")
     loaded = materialize(_texts_of(docs, known), "texts")
     labels = materialize(known.select(F.col("doc_id").alias("v"), F.col("doc_id").alias("c")), "labels")
     tested = None
@@ -197,8 +203,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 chief = here.where("c = lo").groupBy("key").agg(F.min_by("v", F.xxhash64("v", F.lit(turn))).alias("leader"))
                 raw = here.where("c <> lo").join(chief, "key").select("leader", F.col("v").alias("member"))
             else:
-                other = here.select("key", F.col("v").alias("leader"), F.col("c").alias("d"), F.col("n").alias("m"))
-                raw = here.join(other, "key").where((F.col("c") < F.col("d")) & sizes_allow(F.col("n"), F.col("m"))).select("leader", F.col("v").alias("member"))
+                left = materialize(here.select("v", "c").distinct(), "left")
+                common = _common_shingles(left, loaded, size)
+                raw = _across(here, known, common).unionByName(_sharing(common, known))
         pairs = raw.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["leader", "member"], "left_anti")
@@ -222,6 +229,49 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return result.unionByName(nameless).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _common_shingles(left: DataFrame, loaded: DataFrame, size: int) -> DataFrame:
+    """(v, c, h, found): the shingles that several vertices have, with the number of these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, limit=1 << 20):
+            keys, offsets = shingle_sets(part.column("text"), size)
+            row = pa.array(np.repeat(np.arange(part.num_rows), np.diff(offsets)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("v").take(row), part.column("c").take(row), pa.array(keys.astype(np.int64))], names=["v", "c", "h"]
+            )
+
+    texts_left = left.join(loaded.select(F.col("doc_id").alias("v"), "text"), "v").select("v", "c", "text")
+    every = texts_left.mapInArrow(run, "v bigint, c bigint, h bigint")
+    counts = every.groupBy("h").agg(F.count(F.lit(1)).alias("found")).where("found > 1")
+    return materialize(every.join(counts, "h").select("v", "c", "h", "found"), "common")
+
+
+def _sharing(common: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs across components that share a rare shingle, and whose sketches are alike."""
+    shared = common.where(F.col("found") <= RARE).join(known.select(F.col("doc_id").alias("v"), "n", "sketch"), "v")
+    other = shared.select(F.col("h").alias("k"), F.col("v").alias("leader"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("sketch").alias("s"))
+    alike = (F.col("c") < F.col("d")) & sizes_allow(F.col("n"), F.col("m")) & (similarity(F.col("sketch"), F.col("s")) >= SURE_BELOW)
+    return shared.join(other, (F.col("h") == F.col("k")) & alike).select("leader", F.col("v").alias("member"))
+
+
+def _across(here: DataFrame, known: DataFrame, common: DataFrame) -> DataFrame:
+    """Pairs of one bucket and two components that could be linked by their frequent shingles alone. All is
+    compared in the join itself, which gives only pairs that are alike, and each in the first band it shares."""
+    frequent = common.where(F.col("found") > RARE).groupBy(F.col("v").alias("doc_id")).agg(F.count(F.lit(1)).alias("frequent"))
+    sized = known.join(frequent, "doc_id").select(F.col("doc_id").alias("v"), "n", "sketch", "bands", "frequent")
+    full = here.select("key", "v", "c").join(sized, "v")
+    other = full.select(F.col("key").alias("k"), F.col("v").alias("leader"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("sketch").alias("s"), F.col("bands").alias("b"), F.col("frequent").alias("f"))
+    shared = F.array_position(F.zip_with("bands", "b", lambda x, y: x == y), F.lit(True))
+    alike = (
+        (F.col("c") < F.col("d"))
+        & sizes_allow(F.col("n"), F.col("m"))
+        & ((100 + PERCENT) * F.least("frequent", "f") >= PERCENT * (F.col("n") + F.col("m")))
+        & (similarity(F.col("sketch"), F.col("s")) >= SURE_BELOW)
+        & (F.get("bands", shared.cast("int") - 1) == F.col("key"))
+    )
+    return full.join(other, (F.col("key") == F.col("k")) & alike).select("leader", F.col("v").alias("member"))
+
+
 def _texts_of(docs: DataFrame, known: DataFrame) -> DataFrame:
     """The texts that may need checking, each once."""
     found = docs.join(known.select("doc_id", "th"), ["doc_id", "th"])
