@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import math
+import struct
 import wave
 from collections.abc import Iterator
 
@@ -131,12 +132,35 @@ def encode_wav(samples: np.ndarray, rate: int) -> bytes:
     return buffer.getvalue()
 
 
-def decode_wav(content: bytes) -> tuple[np.ndarray, int, int]:
-    """Samples in -1..1 (channels interleaved), rate and channel count of a PCM WAV file."""
-    with wave.open(io.BytesIO(content)) as src:
-        width, rate, channels = src.getsampwidth(), src.getframerate(), src.getnchannels()
-        raw = src.readframes(src.getnframes())
-    if width == 1:
+def _wav_chunks(content: bytes) -> tuple[bytes, bytes]:
+    """The format and the data chunk of a WAV file."""
+    if content[:4] != b"RIFF" or content[8:12] != b"WAVE":
+        raise wave.Error("not a WAV file")
+    found, at = {}, 12
+    while at + 8 <= len(content) and not {b"fmt ", b"data"} <= found.keys():
+        name, size = content[at : at + 4], int.from_bytes(content[at + 4 : at + 8], "little")
+        found[name] = content[at + 8 : at + 8 + size]
+        at += 8 + size + (size & 1)
+    if not {b"fmt ", b"data"} <= found.keys():
+        raise wave.Error("a WAV file without format or data")
+    return found[b"fmt "], found[b"data"]
+
+
+def decode_wav(content: bytes, mix: bool = True) -> tuple[np.ndarray, int, int]:
+    """Samples in -1..1, rate and channel count of a WAV file of whole numbers or floats, plain or
+    extensible. Several channels are mixed to their mean, or with ``mix=False`` stay side by side as
+    rows of (frames, channels)."""
+    head, raw = _wav_chunks(content)
+    kind, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", head)
+    if kind == 0xFFFE:  # extensible: the real format stands first in the sub-format
+        kind = int.from_bytes(head[24:26], "little")
+    width = bits // 8
+    raw = raw[: len(raw) // (width * channels) * (width * channels)]
+    if kind == 3 and width in (4, 8):
+        values = np.frombuffer(raw, f"<f{width}").astype(np.float32)
+    elif kind != 1 or width not in (1, 2, 3, 4):
+        raise wave.Error(f"WAV format {kind} with {bits} bits")
+    elif width == 1:
         values = (np.frombuffer(raw, np.uint8).astype(np.float32) - 128.0) / 128.0
     elif width == 3:
         parts = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
@@ -144,6 +168,9 @@ def decode_wav(content: bytes) -> tuple[np.ndarray, int, int]:
         values = signed.astype(np.float32) / float(1 << 23)
     else:
         values = np.frombuffer(raw, f"<i{width}").astype(np.float32) / float(1 << (8 * width - 1))
+    if channels > 1:
+        values = values.reshape(-1, channels)
+        values = values.mean(axis=1, dtype=np.float64).astype(np.float32) if mix else values
     return values.astype(np.float32), rate, channels
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import traceback
 import types as pytypes
-import uuid
+from collections import OrderedDict
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import Array
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -21,6 +23,8 @@ from speechset.constants import CFG_FLOOR
 
 # Results that are held before an output batch is handed on.
 OUTPUT_BYTES = 32 * 1024 * 1024
+# Models that a Python worker keeps open; the one used longest ago goes first.
+OPEN_MODELS = 2
 
 
 def cfg_weight(column: Column) -> Column:
@@ -28,10 +32,16 @@ def cfg_weight(column: Column) -> Column:
     return F.greatest(column, F.lit(CFG_FLOOR))
 
 
-def _worker_cache() -> dict:
-    """A dict that lives as long as the Python worker process."""
+def _opened(job: str, open_function: Callable[[], Callable]) -> Callable:
+    """The function of a job, opened once in a Python worker for as long as it stays among the last used."""
     holder = sys.modules.setdefault("_speechset_worker", pytypes.ModuleType("_speechset_worker"))
-    return holder.__dict__.setdefault("opened", {})
+    cache: OrderedDict = holder.__dict__.setdefault("opened", OrderedDict())
+    if job not in cache:
+        while len(cache) >= OPEN_MODELS:
+            cache.popitem(last=False)
+        cache[job] = open_function()
+    cache.move_to_end(job)
+    return cache[job]
 
 
 def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
@@ -47,11 +57,14 @@ def apply_job(
     outputs: StructType,
     drop: Sequence[str] = (),
     error: str = "error",
+    batch: int | None = None,
 ) -> DataFrame:
     """Call a function on the ``inputs`` of every row and append its results as ``outputs``.
 
     ``open_function`` runs once per Python worker and returns the function, so a model is loaded
-    once. The function returns one value per output. An exception leaves the outputs null and its
+    once, also over several calls with the same opener (compared by its serialised content). With
+    ``batch`` the function takes a list of up to so many input tuples and returns as many results; an
+    exception then counts for the whole list. Otherwise the function returns one value per output. An exception leaves the outputs null and its
     traceback in ``error``. Rows that already have an error are passed by. Only the inputs of the
     other rows travel to Python; all other columns stay in the JVM. ``drop`` leaves out columns that
     are no longer needed. Input batches are bounded by the session's Arrow settings, output batches
@@ -61,24 +74,14 @@ def apply_job(
     kept = [c for c in df.columns if c not in drop and c != error]
     returned = StructType([*outputs.fields, StructField("_failure", StringType())])
     arrow_type = to_arrow_type(returned)
-    inputs, job = list(inputs), uuid.uuid4().hex
+    inputs, job = list(inputs), hashlib.sha256(cloudpickle.dumps(open_function)).hexdigest()
     is_array = [isinstance(df.schema[c].dataType, ArrayType) for c in inputs]
 
     def run(batches: Iterator[tuple[Array, ...]]) -> Iterator[Array]:
-        cache = _worker_cache()
-        if job not in cache:
-            cache[job] = open_function()
-        function = cache[job]
+        function = _opened(job, open_function)
         for wanted, *columns in batches:
             results, size = [], 0
-            for i, call in enumerate(wanted.to_pylist()):
-                result, failure = (None,) * len(outputs), ""
-                if call:
-                    try:
-                        values = [_value(column[i], array) for column, array in zip(columns, is_array)]
-                        result = tuple(function(*values))
-                    except Exception:
-                        failure = traceback.format_exc()
+            for (*result, failure) in _results(function, wanted, columns):
                 results.append((*result, failure))
                 size += sum(getattr(value, "nbytes", 64) for value in result)
                 if size >= OUTPUT_BYTES:
@@ -87,6 +90,24 @@ def apply_job(
             if results:
                 yield _struct_array(results, arrow_type)
 
+    def _results(function: Callable, wanted: Array, columns: list[Array]) -> Iterator[tuple]:
+        nothing, flags = (None,) * len(outputs), wanted.to_pylist()
+        step = batch or 1
+        for at in range(0, len(flags), step):
+            rows = [i for i in range(at, min(at + step, len(flags))) if flags[i]]
+            found, failure = [nothing] * len(rows), ""
+            if rows:
+                try:
+                    given = [tuple(_value(c[i], array) for c, array in zip(columns, is_array)) for i in rows]
+                    found = [tuple(r) for r in (function(given) if batch else [function(*given[0])])]
+                    if len(found) != len(rows):
+                        raise ValueError(f"{len(found)} results for {len(rows)} inputs")
+                except Exception:
+                    found, failure = [nothing] * len(rows), traceback.format_exc()
+            by_row = dict(zip(rows, found))
+            for i in range(at, min(at + step, len(flags))):
+                yield (*by_row.get(i, nothing), failure if flags[i] else "")
+
     # A model call must not be repeated or moved by the optimizer.
     call = F.arrow_udf(run, returned).asNondeterministic()
     wanted = known == ""

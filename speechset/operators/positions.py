@@ -30,20 +30,21 @@ def dense_positions(
 
     ``order_by`` must be unique within a group. A group may hold most of the table: it is cut into
     ordered pieces that are numbered in parallel, and each piece is shifted by the size of the
-    pieces before it. One dense integer key is cut into equal key ranges; any other key is cut by
-    range partitioning.
+    pieces before it. One dense integer key is cut into equal key ranges (three passes over the
+    input: bounds, sizes, rows); any other key is cut by range partitioning. Either way no row is
+    lost: null keys come first, in any order among themselves.
     """
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     groups = list(partition_by)
     if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, (ByteType, ShortType, IntegerType, LongType)):
-        low, high, rows = df.agg(F.min(keys[0]), F.max(keys[0]), F.count(keys[0])).first()
-        if rows == 0:
-            return df.withColumn(out, F.lit(None).cast("bigint"))
+        bounds = df.agg(F.min(keys[0]), F.max(keys[0]), F.count(keys[0]), F.count(F.lit(1))).first()
+        low, high, filled, rows = bounds
+        low, high = low or 0, high or 0
         span = high - low + 1
-        if span <= MAX_SPAN_RATIO * max(rows, piece_rows):
+        if span <= MAX_SPAN_RATIO * max(filled, piece_rows):
             width = max(piece_rows, -(-span // MAX_PIECES))
-            return _by_key_range(df, keys[0], groups, out, low, width)
-    return _by_range_partition(df, keys, groups, out, partitions)
+            return _by_key_range(df, keys[0], groups, out, low, width, -(-(rows - filled) // piece_rows))
+    return _by_range_partition(df, keys, groups, out, partitions, piece_rows)
 
 
 def _group(groups: list[str]) -> Column:
@@ -65,20 +66,26 @@ def _shift(numbered: DataFrame, sizes: DataFrame, out: str) -> DataFrame:
     return placed.select(*keep, position.alias(out))
 
 
-def _by_key_range(df: DataFrame, key: str, groups: list[str], out: str, low: int, width: int) -> DataFrame:
-    pieces = df.withColumns({"_group": _group(groups), "_piece": F.expr(f"(`{key}` - {low}L) div {width}L")})
+def _by_key_range(
+    df: DataFrame, key: str, groups: list[str], out: str, low: int, width: int, null_pieces: int
+) -> DataFrame:
+    """Rows without a key are dealt over ``null_pieces`` pieces before the first range, by their content."""
+    without = F.pmod(F.xxhash64(*df.columns), F.lit(max(null_pieces, 1))) - max(null_pieces, 1)
+    piece = F.coalesce(F.expr(f"(`{key}` - {low}L) div {width}L"), without)
+    pieces = df.withColumns({"_group": _group(groups), "_piece": piece})
     sizes = pieces.groupBy("_group", "_piece").agg(F.count(F.lit(1)).alias("_rows"), F.lit(0).alias("_first"))
     inside = Window.partitionBy("_group", "_piece").orderBy(key)
     return _shift(pieces.withColumn("_local", F.row_number().over(inside) - 1), sizes, out)
 
 
 def _by_range_partition(
-    df: DataFrame, keys: list[str], groups: list[str], out: str, partitions: int | None
+    df: DataFrame, keys: list[str], groups: list[str], out: str, partitions: int | None, piece_rows: int
 ) -> DataFrame:
     """Range-partition once and keep the result as a table: sampled bounds differ between two runs,
     so the sizes and the rows must come from the same one."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many partitions as the rows need, and never fewer than the session would use.
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // piece_rows))
     path = new_folder(spark, "ordered")
     ordered = df.repartitionByRange(n, *groups, *keys).sortWithinPartitions(*groups, *keys)
     # The upper 31 bits of this id number the partition, the lower 33 the row inside it.

@@ -20,7 +20,9 @@ def completed_rows(
     if files is not None:
         done = done.join(files.select(path), path, "left_semi")
     if order is None:
-        return done.dropDuplicates([key]).select(*prior.columns)
+        # No order between attempts: the largest row, so that the choice does not depend on chance.
+        one = done.groupBy(key).agg(F.max(F.struct(*prior.columns)).alias("_last"))
+        return one.select("_last.*")
     last = done.groupBy(key).agg(F.max_by(F.struct(*prior.columns), order).alias("_last"))
     return last.select("_last.*")
 
@@ -30,11 +32,17 @@ def pending_rows(df: DataFrame, completed: DataFrame, key: str = "_key") -> Data
 
 
 def merge_runs(completed: DataFrame, new: DataFrame, key: str = "_key") -> DataFrame:
-    """Completed rows as they were, and the new rows of all other keys."""
+    """Completed rows as they were, and the new rows of all other keys. The result follows its two
+    sides: to leave out what is no longer wanted, ask ``wanted_rows`` for the completed side first."""
     fresh = new.join(completed.select(key), key, "left_anti")
     return completed.unionByName(fresh, allowMissingColumns=True)
 
 
+def wanted_rows(completed: DataFrame, df: DataFrame, key: str = "_key") -> DataFrame:
+    """The completed rows whose key the present input still has."""
+    return completed.join(df.select(key), key, "left_semi")
+
+
 def resume_progress(df: DataFrame, completed: DataFrame, key: str = "_key") -> DataFrame:
     """``completed, total, pending`` over the input rows."""
     flags = df.select(key).join(completed.select(F.col(key).alias("_done")), F.col(key) == F.col("_done"), "left")

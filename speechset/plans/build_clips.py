@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -15,7 +16,7 @@ from speechset.functions.audio import AUDIO_TYPE, audio_value, has_samples
 from speechset.functions.naming import cloned_clip_name, source_clip_name
 from speechset.operators.jobs import spread, synthesize
 from speechset.operators.reports import run_summary
-from speechset.operators.resume import completed_rows, pending_rows
+from speechset.operators.resume import completed_rows, pending_rows, wanted_rows
 from speechset.operators.shape import clip_record
 from speechset.operators.validity import mark_errors
 from speechset.session import materialize, new_folder, small_table
@@ -69,7 +70,8 @@ def build_clips(
     prior_order: str | None = None,
     tasks: int | None = None,
 ) -> BuiltClips:
-    """Build the clips that an earlier run has not finished, and the metadata of both runs.
+    """Build the clips that an earlier run has not finished, and the metadata of both runs. The result
+    has the keys of ``utterances``: finished rows that the input no longer has stay out.
 
     ``utterances`` has ``_key``, the speaker columns, texts and ``audio``. Each clip is synthesised
     once: the result is written as a run of its own below ``folder``, where earlier runs stay, before
@@ -82,9 +84,10 @@ def build_clips(
     todo = utterances
     done = None
     if prior is not None:
-        done = completed_rows(prior, files, order=prior_order)
+        done = wanted_rows(completed_rows(prior, files, order=prior_order), utterances)
         todo = pending_rows(utterances, done)
-    run = f"{folder}/clips/run=r{uuid.uuid4().hex}"
+    # Run names ascend with time, so that the newest attempt can be told from older ones.
+    run = f"{folder}/clips/run=r{time.time_ns():020d}-{uuid.uuid4().hex}"
     synthesize_clips(spread(todo, tasks, "_key"), open_model).write.parquet(run)
     clips = spark.read.parquet(run)
     if single_files:
@@ -105,6 +108,18 @@ def stored_clips(spark: SparkSession, folder: str) -> DataFrame | None:
         return None
 
 
+def finished_clips(spark: SparkSession, folder: str) -> DataFrame | None:
+    """One row per finished key with its clip: of several runs the newest. Only keys that were built more
+    than once are looked up; the clips themselves stay where they are while these are few."""
+    stored = stored_clips(spark, folder)
+    if stored is None:
+        return None
+    done = stored.where(F.col("cloned_audio_fr") != "")
+    again = done.groupBy(F.col("_key").alias("_again")).agg(F.count(F.lit(1)).alias("_times"), F.max("run").alias("_newest"))
+    kept = done.join(again.where("_times > 1").drop("_times"), F.col("_key") == F.col("_again"), "left")
+    return kept.where("_newest IS NULL OR _newest = run").drop("_again", "_newest", "run")
+
+
 def existing_clips(spark: SparkSession, folder: str, single_files: bool = False) -> DataFrame:
     """Paths of the cloned clips that exist in ``folder``: as files, or in the tables of its runs."""
     paths = None
@@ -130,18 +145,23 @@ def build_split(
 ) -> DataFrame:
     """Build one split in ``folder``, going on where the last run stopped; may be called again any time.
 
-    Reads ``metadata.csv`` of the last run, builds what is missing, failed or lost, and writes
-    ``metadata.csv`` and ``metadata.json`` in dataset order. Returns ``ok, errors, total``. The merged
-    metadata is stored in the shared folder before the old file is replaced.
+    What is finished is read from the committed clips of all runs, the newest attempt of a key first;
+    ``metadata.csv`` and ``metadata.json`` are exports in dataset order, and losing them costs nothing.
+    (A folder without committed clips is resumed from its ``metadata.csv``.) With ``single_files`` a clip
+    whose file is gone is built again. Returns ``ok, errors, total`` of the given utterances.
     """
     spark = utterances.sparkSession
-    prior = read_prior_metadata(spark, f"{folder}/metadata.csv", CLIP_COLUMNS)
-    files = existing_clips(spark, folder, single_files)
-    built = build_clips(utterances, open_model, prior, files, folder, single_files, tasks=tasks)
+    stored = stored_clips(spark, folder)
+    files = existing_clips(spark, folder, single_files) if single_files or stored is None else None
+    if stored is not None:
+        prior, order = stored.drop("clip"), "run"
+    else:
+        prior, order = read_prior_metadata(spark, f"{folder}/metadata.csv", CLIP_COLUMNS), None
+    built = build_clips(utterances, open_model, prior, files, folder, single_files, order, tasks)
     metadata = materialize(built.metadata, "metadata")
-    order = ["original_split", "original_index"]
-    write_metadata_csv(metadata, f"{folder}/metadata.csv", order)
-    write_metadata_json(metadata, f"{folder}/metadata.json", order)
+    order_by = ["original_split", "original_index"]
+    write_metadata_csv(metadata, f"{folder}/metadata.csv", order_by)
+    write_metadata_json(metadata, f"{folder}/metadata.json", order_by)
     return run_summary(metadata.withColumn("split", F.lit(""))).drop("split")
 
 

@@ -47,6 +47,8 @@ def clone_rows(
     if encoder_rate:
         usable = usable.withColumn("audio", resample_audio(F.col("audio"), encoder_rate))
     texts = {lang: f"text_{lang}" for lang in langs}
+    # A language without a text column has blank texts, and so blank voices.
+    usable = usable.withColumns({c: F.lit("") for c in texts.values() if c not in usable.columns})
     narrow = usable.select("pos", "audio", "reference_text", *dict.fromkeys(texts.values()), "error")
     encoded = encode_references(narrow, open_encoder)
     tokens = encoded.withColumn("ref_tokens", format_codes(F.col("ref_codes"))).drop("ref_codes")

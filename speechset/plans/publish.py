@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from speechset.functions.audio import declare_audio
 from speechset.operators.shape import audio_path_columns, publishable, union_splits
+from speechset.plans.build_clips import finished_clips
 from speechset.session import bounded_rows
 from speechset.sinks.publish import dataset_manifest, embed_audio, write_dataset
 from speechset.sources.files import discover_splits, list_metadata
@@ -40,3 +43,31 @@ def publish_dataset(spark: SparkSession, folder: str, target: str, embed: bool =
     manifest = dataset_manifest(written, paths=paths)
     manifest.write.mode("overwrite").json(f"{target}/manifest")
     return manifest
+
+
+def publish_built(spark: SparkSession, splits: dict[str, str], target: str, rate: int | None = None) -> DataFrame:
+    """Publish the finished clips of split folders as ``build_split`` left them, audio included, to
+    ``target/data``; returns the manifest, which is also written to ``target/manifest``.
+
+    ``splits`` names the folder of each split. The audio goes from the stored clips into the dataset
+    without a shuffle and without a file per clip; paths of files that were never written are left
+    out, and ``rate`` is declared in the audio column. The manifest counts rates, not samples.
+    """
+    parts = []
+    for split, folder in sorted(splits.items()):
+        clips = finished_clips(spark, folder)
+        if clips is not None:
+            named = clips.drop("audio_en", "cloned_audio_fr", "error").withColumnRenamed("clip", "cloned_audio_fr")
+            parts.append(named.withColumn("split", F.lit(split)))
+    if not parts:
+        raise FileNotFoundError(f"no built clips in {sorted(splits.values())}")
+    dataset = parts[0]
+    for part in parts[1:]:
+        dataset = dataset.unionByName(part)
+    write_dataset(declare_audio(dataset, "cloned_audio_fr", rate), f"{target}/data", rebalance=False)
+    written = spark.read.parquet(f"{target}/data")
+    counted = written.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("cloned_audio_fr.sampling_rate").alias("n_cloned_audio_fr")
+    )
+    counted.write.mode("overwrite").json(f"{target}/manifest")
+    return counted

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -61,6 +60,15 @@ def shared_root(spark: SparkSession) -> str:
     return _fallback_roots[app]
 
 
+def qualified(folder: str) -> str:
+    """``folder`` with its scheme and host, as Spark and every task must name it: a path without a scheme
+    is on the session's default file system, not on the disk of whoever opens it."""
+    spark = SparkSession.active()
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return store.makeQualified(path).toString().rstrip("/")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -91,8 +99,3 @@ def bounded_rows(df: DataFrame, limit: int = LIST_ROWS) -> list:
 
 def bounded_list(df: DataFrame, column: str, limit: int = LIST_ROWS) -> list:
     return [row[0] for row in bounded_rows(df.select(column), limit)]
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that at most ``limit`` rows exist."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

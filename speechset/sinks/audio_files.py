@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from speechset.functions.audio import encode_wav
 from speechset.operators.jobs import apply_job
+from speechset.session import qualified
 
 
 def open_filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -43,9 +44,10 @@ def write_audio_files(df: DataFrame, folder: str, path: str = "path", audio: str
     The files appear when the result is computed; computing it again writes the same files.
     """
     flat = df.withColumns({"_array": F.col(audio)["array"], "_rate": F.col(audio)["sampling_rate"]}).drop(audio)
+    target = qualified(folder)
 
     def open_function() -> Callable:
-        store, base = open_filesystem(folder)
+        store, base = open_filesystem(target)
 
         def write(name, samples, rate):
             if samples is None or not name:

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from speechset.functions.audio import AUDIO_TYPE, decode_wav
 from speechset.operators.jobs import apply_job
+from speechset.session import qualified
 from speechset.sinks.audio_files import open_filesystem
 
 
@@ -17,11 +18,13 @@ def embed_audio(df: DataFrame, column: str) -> DataFrame:
     """Replace a path column by the audio it points to. Each task opens the files of its own rows, so
     no audio is shuffled. A missing file gives null and the reason in ``<column>_error``."""
 
+    default = qualified("/")
+
     def open_function() -> Callable:
         def load(path):
             if path is None:
                 return None, None
-            store, plain = open_filesystem(path)
+            store, plain = open_filesystem(default + path if path.startswith("/") else path)
             with store.open_input_stream(plain) as src:
                 samples, rate, _ = decode_wav(src.read())
             return samples, rate

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import urlparse
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +10,16 @@ from pyspark.sql import functions as F
 
 from speechset.constants import METADATA_CANDIDATES
 from speechset.functions.audio import audio_value, decode_files
+from speechset.session import qualified
 
 
 def relative_to(path: Column, root: str) -> Column:
-    """``path`` below ``root``; scheme and host of either do not matter."""
-    base = urlparse(root).path.rstrip("/") + "/"
-    return F.substr(path, F.locate(base, path) + F.lit(len(base)))
+    """``path`` below ``root``, named as given or as the session's file systems name it; null for any
+    other path."""
+    result = F.lit(None).cast("string")
+    for base in (root.rstrip("/") + "/", qualified(root) + "/"):
+        result = F.when(path.startswith(base), F.substr(path, F.lit(len(base) + 1))).otherwise(result)
+    return result
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*", paths: Sequence[str] | None = None) -> DataFrame:

@@ -41,13 +41,17 @@ def read_typed_csv(spark: SparkSession, path: str, schema: str | None = None) ->
 
 
 def read_prior_metadata(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Metadata of an earlier run; an empty table and a warning if it cannot be read."""
+    """Metadata of an earlier run; an empty table and a warning if there is none or its header lacks the
+    needed columns. Any other fault (permission, network) is the caller's to see."""
     try:
         found = spark.read.options(**CSV_OPTIONS).csv(path)
         if not {"_key", "cloned_audio_fr"} <= set(found.columns):
             raise ValueError(f"columns {found.columns}")
         return read_metadata_csv(spark, path, found.columns)
     except (PySparkException, ValueError) as failure:
+        absent = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+        if isinstance(failure, PySparkException) and failure.getCondition() not in absent:
+            raise
         log.warning("no usable earlier run at %s (%s); starting fresh", path, str(failure).splitlines()[0])
         return small_table(spark, [], ", ".join(f"`{c}` string" for c in columns))
 

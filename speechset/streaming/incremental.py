@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from speechset.session import small_table
@@ -24,6 +24,13 @@ def read_batches(spark: SparkSession, output: str) -> DataFrame | None:
         return None
 
 
+def first_of_keys(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, chosen by a digest of its content; all rows whose key is null."""
+    content = F.xxhash64(*[c for c in df.columns if c != key])
+    rank = F.row_number().over(Window.partitionBy(key, F.when(F.col(key).isNull(), content)).orderBy(content))
+    return df.withColumn("_rank", rank).where((F.col("_rank") == 1) | F.col(key).isNull()).drop("_rank")
+
+
 def build_arrivals(
     spark: SparkSession,
     arrivals: str,
@@ -47,7 +54,9 @@ def build_arrivals(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        todo = batch.dropDuplicates([key])
+        # Of rows that repeat a key the smallest counts, whatever the order of arrival; rows without a
+        # key are all kept.
+        todo = first_of_keys(batch, key)
         built = read_batches(session, output)
         if built is not None:
             finished = built.where(F.col("batch_id") != batch_id)

@@ -10,13 +10,14 @@ from speechset.operators.positions import dense_positions
 from speechset.operators.shape import SourceProfile
 from speechset.operators.reports import run_summary
 from speechset.plans.build_clips import build_clips, build_split, stored_clips
+from speechset.plans.publish import publish_built
 from speechset.plans.multilingual import multilingual_clips
 from speechset.plans.sampled_test_set import sampled_test_set
 from speechset.plans.voice_grid import speaker_language_grid
 from speechset.session import bounded_list, materialize, new_folder, small_table
 from speechset.streaming.incremental import build_arrivals, compact
 from suite.fixtures import ALL_LANGS, TARGET_LANGS, audio, prior, table, utt
-from suite.models import open_length_model, open_peak_encoder, open_prompt_model, open_text_model
+from suite.models import open_length_model, open_peak_encoder, open_prompt_model, open_quarter_model, open_text_model
 from suite.registry import query
 
 
@@ -86,17 +87,22 @@ def q_job_build_clips(spark, sf_dir):
 
 
 @query(
-    """WITH state AS (SELECT lang = 'fr' AND a.doc_id IS NOT NULL AS usable, sampling_rate = 24000 AS first
+    """WITH state AS (SELECT original_split, lang = 'fr' AND a.doc_id IS NOT NULL AS usable, sampling_rate = 24000 AS first
                       FROM utt LEFT JOIN audio a USING (doc_id))
        SELECT 'first' AS run, count(*) FILTER (WHERE usable AND first) AS ok,
               count(*) FILTER (WHERE NOT (usable AND coalesce(first, false))) AS errors, count(*) AS total FROM state
        UNION ALL SELECT 'second', count(*) FILTER (WHERE usable), count(*) FILTER (WHERE NOT usable), count(*) FROM state
        UNION ALL SELECT 'built again', count(*) FILTER (WHERE usable AND NOT first),
-              count(*) FILTER (WHERE NOT usable), count(*) FILTER (WHERE NOT (usable AND coalesce(first, false))) FROM state""",
+              count(*) FILTER (WHERE NOT usable), count(*) FILTER (WHERE NOT (usable AND coalesce(first, false))) FROM state
+       UNION ALL SELECT 'metadata lost', count(*) FILTER (WHERE usable), count(*) FILTER (WHERE NOT usable), count(*) FROM state
+       UNION ALL SELECT 'built after the loss', 0, count(*) FILTER (WHERE NOT usable), count(*) FILTER (WHERE NOT usable) FROM state
+       UNION ALL SELECT 'fewer rows', count(*) FILTER (WHERE usable AND original_split = 'dev'),
+              count(*) FILTER (WHERE NOT usable AND original_split = 'dev'), count(*) FILTER (WHERE original_split = 'dev') FROM state""",
     ("utt", "audio"),
 )
 def q_job_restart(spark, sf_dir):
-    """Two runs in one folder: the second model also takes the clips that the first one refused."""
+    """Runs in one folder: the second model also takes the clips that the first one refused; then the
+    metadata files are gone, and at last the input has only one of the splits."""
     rows, folder = _utterances(spark, sf_dir), new_folder(spark, "split")
 
     def named(summary, run):
@@ -106,8 +112,40 @@ def q_job_restart(spark, sf_dir):
     earlier = stored_clips(spark, folder).select("run").distinct()
     second = materialize(named(build_split(rows, open_text_model, folder), "second"))
     last_run = stored_clips(spark, folder).join(earlier, "run", "left_anti")
-    again = run_summary(last_run.withColumn("split", F.lit("")))
-    return first.unionByName(second).unionByName(named(again, "built again"))
+    again = materialize(named(run_summary(last_run.withColumn("split", F.lit(""))), "built again"))
+
+    seen = stored_clips(spark, folder).select("run").distinct()
+    for export in ("csv", "json"):
+        small_table(spark, [], "nothing string").write.mode("overwrite").parquet(f"{folder}/metadata.{export}")
+    seen = materialize(seen)
+    third = materialize(named(build_split(rows, open_text_model, folder), "metadata lost"))
+    after = run_summary(stored_clips(spark, folder).join(seen, "run", "left_anti").withColumn("split", F.lit("")))
+    after = materialize(named(after, "built after the loss"))
+    fewer = materialize(named(build_split(rows.where("original_split = 'dev'"), open_text_model, folder), "fewer rows"))
+    return first.unionByName(second).unionByName(again).unionByName(third).unionByName(after).unionByName(fewer)
+
+
+@query(
+    """SELECT original_split AS split, original_split || ':' || original_index AS _key, md5(text) AS text_fr,
+              CAST(round(24000 * 0.5, 0) AS BIGINT) AS half_rate, CAST(length(text) AS BIGINT) AS n_samples,
+              CAST(0.25 * length(text) AS DOUBLE) AS sample_sum
+       FROM utt JOIN audio a USING (doc_id) WHERE lang = 'fr'""",
+    ("utt", "audio"),
+)
+def q_job_publish_built(spark, sf_dir):
+    """Build both splits, publish the stored clips with their audio, and read the dataset back."""
+    rows, home = _utterances(spark, sf_dir), new_folder(spark, "corpus")
+    splits = {name: f"{home}/{name}" for name in ("dev", "eval")}
+    for name, folder in splits.items():
+        build_split(rows.where(F.col("original_split") == name), open_quarter_model, folder)
+    publish_built(spark, splits, f"{home}/published", rate=24000)
+    clips = spark.read.parquet(f"{home}/published/data")
+    samples = F.col("cloned_audio_fr.array")
+    total = F.aggregate(samples, F.lit(0.0), lambda a, x: a + x)
+    return clips.select(
+        "split", "_key", F.md5("text_fr").alias("text_fr"), (F.col("cloned_audio_fr.sampling_rate") / 2).cast("bigint").alias("half_rate"),
+        F.size(samples).cast("bigint").alias("n_samples"), total.alias("sample_sum"),
+    )
 
 
 _PROFILE = SourceProfile(

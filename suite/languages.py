@@ -83,18 +83,19 @@ _FIRST_TEN = """SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_i
                 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 10"""
 
 
-@query(f"SELECT lang, sample_index, md5(text) AS text FROM ({_FIRST_TEN})")
+@query(
+    """SELECT lang, row_number() OVER (PARTITION BY lang, doc_id // 1000 ORDER BY doc_id) - 1 AS sample_index, md5(text) AS text
+       FROM documents""",
+)
 def q_catalogue(spark, sf_dir):
-    """A catalogue file of the first ten documents per language, written and read back."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    ten = first_sentences(docs, ALL_LANGS, 10, "doc_id")
-    # At most ten sentences of four languages: the arrays and the single map are bounded.
-    lists = ten.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("sample_index", "text"))).alias("rows"))
-    entries = lists.select(F.struct("lang", F.col("rows.text").alias("texts")).alias("entry"))
-    catalogue = entries.agg(F.map_from_entries(F.collect_list("entry")).alias("catalogue"))
+    """Catalogue files of all documents, one for each thousand ids and language, written and read back."""
+    docs = table(spark, sf_dir, "documents").select("lang", F.floor(F.col("doc_id") / 1000).alias("block"), "doc_id", "text")
+    # A file holds at most a thousand sentences of one language, however many documents there are.
+    lists = docs.groupBy("block", "lang").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("rows"))
+    catalogue = lists.select("block", F.to_json(F.create_map("lang", F.col("rows.text"))).alias("value"), F.col("lang").alias("part"))
     path = new_folder(spark, "catalogue")
-    catalogue.select(F.to_json("catalogue").alias("value")).write.text(path)
-    return read_catalogue(spark, path).withColumn("text", F.md5("text"))
+    catalogue.write.partitionBy("block", "part").text(path)
+    return read_catalogue(spark, f"{path}/*/*").withColumn("text", F.md5("text"))
 
 
 @query(

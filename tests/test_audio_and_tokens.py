@@ -1,4 +1,5 @@
 import io
+import struct
 import wave
 
 import numpy as np
@@ -115,8 +116,23 @@ def test_sample_widths_and_channels(width):
         out.setsampwidth(width)
         out.setframerate(8000)
         out.writeframes(raw)
-    samples, rate, channels = decode_wav(buffer.getvalue())
-    assert samples.tolist() == values.tolist() and (rate, channels) == (8000, 2)
+    samples, rate, channels = decode_wav(buffer.getvalue(), mix=False)
+    assert samples.ravel().tolist() == values.tolist() and (rate, channels) == (8000, 2)
+    mixed, _, _ = decode_wav(buffer.getvalue())
+    assert mixed.tolist() == [-0.75, 0.25]
+
+
+@pytest.mark.parametrize("extensible", [False, True])
+@pytest.mark.parametrize("kind", ["<f4", "<f8"])
+def test_float_files(kind, extensible):
+    values = np.array([0.25, -1.0, 0.5], kind)
+    width = values.itemsize
+    head = struct.pack("<HHIIHH", 0xFFFE if extensible else 3, 1, 16000, 16000 * width, width, 8 * width)
+    if extensible:
+        head += struct.pack("<HHI", 22, 8 * width, 4) + struct.pack("<H", 3) + bytes(14)
+    body = b"WAVEfmt " + struct.pack("<I", len(head)) + head + b"data" + struct.pack("<I", values.nbytes) + values.tobytes()
+    samples, rate, channels = decode_wav(b"RIFF" + struct.pack("<I", len(body)) + body)
+    assert samples.tolist() == [0.25, -1.0, 0.5] and (rate, channels) == (16000, 1)
 
 
 def test_parse_codes(spark):

@@ -11,12 +11,12 @@ from speechset.operators import jobs
 from speechset.operators.jobs import apply_job, cfg_weight, spread, synthesize
 from speechset.operators.shape import SourceProfile
 from speechset.plans.build_clips import build_clips, build_split
-from speechset.plans.multilingual import multilingual_clips
+from speechset.plans.multilingual import clone_rows, multilingual_clips
 from speechset.plans.sampled_test_set import sampled_test_set
 from speechset.sinks.metadata import write_metadata_csv
 from speechset.sources.files import list_files
 from speechset.sources.metadata import read_prior_metadata
-from speechset.streaming.incremental import build_arrivals, compact
+from speechset.streaming.incremental import build_arrivals, compact, first_of_keys
 from tests.conftest import rows
 
 
@@ -272,3 +272,48 @@ def test_compact_prefers_finished_rows(spark, tmp_path):
     spark.createDataFrame([("a", "bad"), ("b", "worse"), ("c", "bad")], "_key string, error string").write.parquet(f"{output}/batch_id=1")
     final = compact(spark, output, str(tmp_path / "final"), done="error = ''")
     assert rows(final) == [("a", ""), ("b", "worse"), ("c", "bad")]
+
+
+def test_one_opener_is_opened_once_in_a_worker(spark, tmp_path):
+    log = str(tmp_path)
+
+    def open_counted():
+        import uuid
+
+        open(f"{log}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return lambda text: (len(text),)
+
+    df = spark.createDataFrame([("a",), ("bb",)], "text string").coalesce(1)
+    schema = StructType.fromDDL("n bigint")
+    for _ in range(4):
+        assert sorted(r.n for r in apply_job(df, open_counted, ["text"], schema).collect()) == [1, 2]
+    opened = [name.split("-")[0] for name in os.listdir(log)]
+    assert len(opened) == len(set(opened))
+
+
+def test_a_function_can_take_batches(spark):
+    def open_lengths():
+        def lengths(given):
+            if any(text == "bad" for (text,) in given):
+                raise ValueError("bad batch")
+            return [(len(text),) for (text,) in given]
+
+        return lengths
+
+    df = spark.createDataFrame([(i, "x" * i) for i in range(5)] + [(5, "bad")], "i int, text string").coalesce(1).orderBy("i")
+    made = apply_job(df, open_lengths, ["text"], StructType.fromDDL("n bigint"), batch=2)
+    got = {r.i: (r.n, "bad batch" in r.error) for r in made.collect()}
+    assert got == {0: (0, False), 1: (1, False), 2: (2, False), 3: (3, False), 4: (None, True), 5: (None, True)}
+
+
+def test_stream_batches_choose_among_repeated_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 3), ("b", 4)], "_key string, n int")
+    once, again = rows(first_of_keys(df, "_key")), rows(first_of_keys(df.orderBy(F.desc("n")), "_key"))
+    assert once == again and len(once) == 4 and once.count((None, 3)) == 2
+
+
+def test_a_language_without_texts_has_blank_voices(spark):
+    audio = F.struct(F.array(F.lit(0.5)).cast("array<float>").alias("array"), F.lit(8000).alias("sampling_rate"))
+    df = spark.createDataFrame([(0, "hi", "salut")], "pos bigint, reference_text string, text_fr string").withColumn("audio", audio)
+    made = clone_rows(df, ["fr", "de"], lambda: lambda s, r: [1], lambda: lambda prompt, lang: (np.zeros(3), 8000))
+    assert rows(made, "lang", "path", "error") == [("de", "", ""), ("fr", "cloned_audio/fr/cloned_00000_fr.wav", "")]

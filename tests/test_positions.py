@@ -1,7 +1,9 @@
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from speechset.operators.positions import concat_in_order, dense_positions, first_per_group, first_rows, seeded_sample
 from tests.conftest import plan, rows
@@ -96,3 +98,15 @@ def test_sample_does_not_depend_on_partitioning(spark):
     many = rows(seeded_sample(spark.range(0, 500, 1, 9).orderBy("id", ascending=False), 20, "id", seed=3))
     assert one == many and [r[1] for r in sorted(one, key=lambda r: r[1])] == list(range(20))
     assert one != rows(seeded_sample(spark.range(500), 20, "id", seed=4))
+
+
+@pytest.mark.parametrize("how", ["key range", "small pieces", "range partitions"])
+def test_rows_without_a_key_come_first_and_none_is_lost(spark, how):
+    data = [("a", 1), ("a", None), ("a", 3), ("a", None), ("b", None), ("b", 7), ("c", None)]
+    df = spark.createDataFrame(data, "g string, k int")
+    if how == "range partitions":
+        df = df.withColumn("k", F.col("k").cast("double"))
+    got = dense_positions(df, "k", ["g"], piece_rows=1 if how == "small pieces" else 100, partitions=3)
+    found = sorted((r.g, r.pos, r.k) for r in got.collect() if r.k is not None)
+    assert found == [("a", 2, 1), ("a", 3, 3), ("b", 1, 7)]
+    assert sorted((r.g, r.pos) for r in got.collect()) == [("a", 0), ("a", 1), ("a", 2), ("a", 3), ("b", 0), ("b", 1), ("c", 0)]

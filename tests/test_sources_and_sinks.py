@@ -5,9 +5,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from speechset.functions.audio import AUDIO_TYPE
+from speechset.functions.audio import AUDIO_TYPE, encode_wav
 from speechset.plans.publish import load_published_form, publish_dataset
-from speechset.session import bounded_list, materialize, shared_root
+from speechset.session import bounded_list, materialize, qualified, shared_root
 from speechset.sinks.audio_files import open_filesystem, put_file, require_written, write_audio_files
 from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
 from speechset.sinks.publish import embed_audio, write_dataset
@@ -197,3 +197,17 @@ def test_bounded_list_never_cuts(spark):
     assert bounded_list(spark.range(3), "id", 3) == [0, 1, 2]
     with pytest.raises(ValueError, match="more than 2 rows"):
         bounded_list(spark.range(3), "id", 2)
+
+
+@pytest.mark.parametrize("home", ["clips/clips", "a#b", "with space"])
+def test_relative_paths_of_odd_roots(spark, tmp_path, home):
+    root = tmp_path / home
+    (root / "clips").mkdir(parents=True)
+    (root / "clips" / "a.wav").write_bytes(encode_wav(np.zeros(2), 8000))
+    assert rows(list_files(spark, str(root), "*.wav"), "path") == [("clips/a.wav",)]
+    assert rows(read_audio_files(spark, str(root)), "path") == [("clips/a.wav",)]
+
+
+def test_a_folder_without_a_scheme_is_on_the_default_file_system(spark):
+    assert qualified("/tmp/x/") == "file:/tmp/x"
+    assert qualified("file:///tmp/x") == "file:/tmp/x"
