@@ -26,6 +26,8 @@ from speechset.llm.frames import slices, texts
 from speechset.llm.tokens import TextEncoder, packed
 
 _NEVER = 1 << 62
+_NEAR = 16
+_PIECES = 200_000  # pieces whose ids a worker remembers
 _open: dict[tuple[str, str], "ByteBpe"] = {}
 
 
@@ -55,11 +57,18 @@ class ByteBpe:
             self._grow(token, self.bytes_of[token])
         sizes: dict[bytes, set[int]] = {}
         for data in ranks:
-            if len(data) > 1:
-                sizes.setdefault(data[-2:], set()).add(len(data))
-        # By the last two bytes: lengths of the tokens that end so, longest first.
-        self.lengths = {end: tuple(sorted(found, reverse=True)) for end, found in sizes.items()}
+            if len(data) > 2:
+                sizes.setdefault(data[-3:], {2}).add(len(data))
+        # By the last three bytes: lengths of the tokens that end so, longest first, that fit in a prefix of
+        # each size up to _NEAR, and at last of any size; and two, for a token of the last two.
+        self.lengths = {
+            end: [tuple(n for n in sorted(found, reverse=True) if n <= size) for size in (*range(_NEAR), _NEVER)]
+            for end, found in sizes.items()
+        }
+        # Tokens that merges can make; the others are only ever a whole piece.
+        self.usable = {b: i for b, i in ranks.items() if i in self.left_edge}
         self._fit: dict[tuple[int, int], bool] = {}
+        self._pieces: dict[str, bytes] = {}
         self._text = TextEncoder(self._many, "joined")
 
     def _grow(self, token: int, data: bytes) -> None:
@@ -108,17 +117,22 @@ class ByteBpe:
 
     def extend(self, last: list[int], data: bytes) -> None:
         """Add the last token of each prefix of ``data`` that is longer than ``last``."""
-        ranks, edges, fits = self.ranks, self.left_edge, self.stays_apart
+        ranks, usable, lengths, known = self.ranks, self.usable, self.lengths, self._fit
         for end in range(len(last) + 1, len(data) + 1):
-            for size in self.lengths.get(data[end - 2 : end], ()) if end > 1 else ():
-                if size > end:
+            options = lengths.get(data[end - 3 : end]) if end > 2 else None
+            for size in options[min(end, _NEAR)] if options else (2,):
+                token = usable.get(data[end - size : end]) if size <= end else None
+                if token is None:
                     continue
-                token = ranks.get(data[end - size : end])
-                if token is not None and token in edges and (size == end or fits(last[end - size - 1], token)):
-                    last.append(token)
+                if size == end:
+                    break
+                before = last[end - size - 1]
+                fits = known.get((before, token))
+                if self.stays_apart(before, token) if fits is None else fits:
                     break
             else:
-                last.append(ranks[data[end - 1 : end]])
+                token = ranks[data[end - 1 : end]]
+            last.append(token)
 
     def read(self, last: list[int]) -> list[int]:
         """The encoding that a prefix table stands for."""
@@ -140,7 +154,18 @@ class ByteBpe:
         return self.read(last)
 
     def _many(self, parts: list[str]) -> list[bytes]:
-        return [packed([i for m in self.split(p) for i in self.piece(m.encode())]) for p in parts]
+        known, out = self._pieces, []
+        for part in parts:
+            ids = []
+            for match in self.split(part):
+                own = known.get(match)
+                if own is None:
+                    if len(known) >= _PIECES:
+                        known.clear()
+                    own = known[match] = packed(self.piece(match.encode()))
+                ids.append(own)
+            out.append(b"".join(ids))
+        return out
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
