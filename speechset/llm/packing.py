@@ -85,8 +85,9 @@ def best_fit_moves(counts: dict[int, int], capacity: int) -> tuple[list[tuple[in
         while left:
             at = bisect_left(gaps, size)  # the successor
             if at == len(gaps):
-                first, n, gap = opened, left, capacity
-                opened += left
+                # As many new sequences as these documents fill, or one; later sweeps find the rest of them.
+                first, n, gap = opened, max(left // (capacity // size), 1), capacity
+                opened += n
             else:
                 gap = gaps[at]
                 first, held = runs[gap].popleft()
