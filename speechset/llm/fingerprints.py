@@ -40,7 +40,7 @@ def _rolled(points: np.ndarray, size: int) -> np.ndarray:
     while left:
         if left & 1:  # append a block of the present width to what is hashed so far
             part = np.zeros(len(points), np.uint64)
-            part[: len(points) - done] = power[done:]
+            part[: max(len(points) - done, 0)] = power[done:]
             total = total * base + part
             done += width
         left >>= 1
