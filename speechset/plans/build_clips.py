@@ -85,7 +85,7 @@ def build_clips(
     done = None
     if prior is not None:
         done = wanted_rows(completed_rows(prior, files, order=prior_order), utterances)
-        todo = pending_rows(utterances, done)
+        todo = _pending(utterances, done)
     # Run names ascend with time, so that the newest attempt can be told from older ones.
     run = f"{folder}/clips/run=r{time.time_ns():020d}-{uuid.uuid4().hex}"
     synthesize_clips(spread(todo, tasks, "_key"), open_model).write.parquet(run)
@@ -98,6 +98,17 @@ def build_clips(
     return BuiltClips(metadata, clips)
 
 
+def _pending(utterances: DataFrame, done: DataFrame) -> DataFrame:
+    """The utterances left to do. Keys are resolved without the audio, and the rows then meet the shorter of
+    the two key lists: Spark broadcasts it while it is small, so that audio stays where it is both after
+    a run that did little and after one that did nearly all."""
+    finished = materialize(done.select("_key"), "finished")
+    left = materialize(pending_rows(utterances.select("_key"), finished), "pending")
+    if left.count() < finished.count():
+        return utterances.join(left, "_key", "left_semi")
+    return pending_rows(utterances, finished)
+
+
 def stored_clips(spark: SparkSession, folder: str) -> DataFrame | None:
     """The clips of all runs in ``folder``, or None before the first one."""
     try:
