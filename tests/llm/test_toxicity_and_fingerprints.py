@@ -82,6 +82,15 @@ def test_shared_passages_share_a_hash():
         assert set(a["hash"].tolist()) & set(b["hash"].tolist())
 
 
+def test_half_edits_of_short_texts_are_seen():
+    r = random.Random(7)
+    draw = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    for n in range(77, 303):
+        text, after = draw(n), draw(r.choice([0, 5, n, 400]))
+        a, b = winnow([text, text[: n - n // 2] + after[: n // 2]])
+        assert likeness(a, b) > 0
+
+
 def test_edits_of_every_row(llm):
     r = random.Random(9)
     texts = ODD_TEXTS + ["".join(r.choice("abc é\n") for _ in range(r.randrange(400))) for _ in range(60)]
