@@ -7,12 +7,17 @@ no say, however long the text.
 
 The classifier is fitted on the driver, on a bounded sample of labelled rows: up to ``POSITIVES`` and
 ``NEGATIVES`` texts of at most ``SAMPLE_CHARS`` characters, chosen by a hash of their id. A quarter of them is
-kept out of the training and sets the scale of the score and the threshold of each language. A score
+kept out of the training. The scale of the score and the threshold of each language come from all labelled
+rows that are neither held out nor trained on, whole texts, however many: Spark counts their outputs in
+bins by language and label. Each label's counts are weighted to its share among all labelled rows that are
+not held out, since the training takes more of the one than of the other. A language with fewer than
+``LEAST`` of these rows of either label has no threshold of its own and takes ``PREDICTED_FROM``. A score
 depends on the text alone; the language only chooses the threshold of the verdict.
 
 Scoring is a pass over whole texts in Arrow batches, without a shuffle. The model is of fixed size.
 
-Cases: null and wordless texts get the score of a text without known words. Unlabelled and null labels
+Cases: without rows of both labels that are not trained on, the trained ones set scale and thresholds too.
+Rows that repeat an id count once. Null and wordless texts get the score of a text without known words. Unlabelled and null labels
 do not train. Without both labels in the sample every score is the share of the label that is there
 (0 without any). A null id is scored like any other. Other columns are carried along.
 """
@@ -30,6 +35,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from speechset.llm.frames import fresh, quoted, slices
 from speechset.llm.words import column_bytes, hash_ranges, mix
+from speechset.session import small_table
 
 POSITIVES, NEGATIVES = 2000, 3000
 SAMPLE_CHARS = 20_000
@@ -38,6 +44,8 @@ SIZE = 8  # of an embedding
 WIDTHS, FILTERS = (1, 2, 3), 8
 EPOCHS, BATCH, RATE = 4, 32, 0.05
 PREDICTED_FROM = 0.7
+LEAST = 10  # rows of each label that give a language its own threshold
+BINS, FINE = 4096, 256  # bins of outputs, and how many of them the classes' medians lie apart in the sample
 
 _SPLIT = np.ones(256, bool)  # bytes that separate words: all but letters, digits and parts of UTF-8
 _SPLIT[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -177,37 +185,39 @@ class Classifier:
                     self.vectors[t][rows_t] -= RATE * total / np.sqrt(squares[3][t][rows_t])
         self.shift = out_shift
 
-    def calibrate(self, texts: list[str], labels: np.ndarray, langs: list[str | None]) -> None:
+    def calibrate(self, counts: list[tuple[str | None, int, int, int, int]], unit: float) -> None:
         """Set the scale of the score so that ``PREDICTED_FROM`` lies where the labels part best, and a
-        threshold for each language in the same way."""
-        z = np.concatenate([self.raw(*buckets_of(pa.array([t], pa.string()))) for t in texts]).astype(float)
-        cut, width = best_cut(z, labels)
-        self.scale = 8.0 / max(width, 1e-6)
-        self.shift = float(np.log(PREDICTED_FROM / (1 - PREDICTED_FROM)) - self.scale * cut)
-        score = 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -30, 30)))
-        logit = np.log(score / (1 - score))
-        for lang in sorted({l for l in langs if l is not None}):
-            mine = np.array([l == lang for l in langs])
-            own = PREDICTED_FROM
-            if 10 <= labels[mine].sum() <= mine.sum() - 10:
-                own = float(1 / (1 + np.exp(-best_cut(logit[mine], labels[mine])[0])))
-            self.thresholds[lang] = own
-
-
-def best_cut(z: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """The value that parts the labels with the best F1, in the middle of the widest stretch with that F1,
-    and the distance between the classes' medians as a scale."""
-    order = np.argsort(z, kind="stable")
-    z, labels = z[order], labels[order]
-    above = labels[::-1].cumsum()[::-1]  # positives at or above each value
-    f1 = 2 * above / (np.arange(len(z), 0, -1) + labels.sum())
-    before = np.concatenate([[z[0] - 1], z[:-1]])
-    gap = np.where(z > before, z - before, -1.0)
-    best = np.flatnonzero(gap > 0)
-    best = best[f1[best] >= f1[best].max() - 1e-12]
-    i = best[np.argmax(gap[best])]
-    width = abs(np.median(z[labels == 1]) - np.median(z[labels == 0]))
-    return float((z[i] + before[i]) / 2), float(width)
+        threshold for each language in the same way. ``counts`` holds language, label, bin of ``unit``, and
+        the number of rows there: all, and those not trained on."""
+        own: dict[str, np.ndarray] = {}
+        every = np.zeros((2, 2, BINS))  # all or not trained on; label; bin
+        for lang, y, at, *found in counts:
+            every[:, y, at] += found
+            if lang is not None:
+                own.setdefault(lang, np.zeros((2, 2, BINS)))[:, y, at] += found
+        free = int(every[1].sum(axis=1).min() > 0)
+        share = lambda c: c[free] * (c[0].sum(axis=1) / c[free].sum(axis=1))[:, None]
+        cut, width = best_cut(share(every))
+        self.scale = 8.0 / max(width * unit, 1e-6)
+        self.shift = float(np.log(PREDICTED_FROM / (1 - PREDICTED_FROM)) - self.scale * cut * unit)
+        for lang, mine in sorted(own.items()):
+            if mine[free].sum(axis=1).min() >= LEAST:
+                z = self.scale * best_cut(share(mine))[0] * unit + self.shift
+                self.thresholds[lang] = float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+
+
+def best_cut(counts: np.ndarray) -> tuple[float, float]:
+    """From the weights of both labels (0, 1) in each bin: the place, in bins, that parts the labels with the
+    best F1, in the middle of the widest empty stretch with that F1, and the distance between the classes' medians."""
+    bins = np.flatnonzero(counts.sum(axis=0))
+    other, toxic = counts[:, bins]
+    above = lambda x: x[::-1].cumsum()[::-1]  # at or above each bin
+    f1 = 2 * above(toxic) / (above(toxic + other) + toxic.sum())
+    before = np.concatenate([[bins[0] - FINE], bins[:-1] + 1])  # where the bin below ends
+    best = np.flatnonzero(f1 >= f1.max() - 1e-12)
+    i = best[np.argmax((bins - before)[best])]
+    median = [bins[np.searchsorted(c.cumsum(), c.sum() / 2)] for c in (other, toxic)]
+    return float((bins[i] + before[i]) / 2), float(abs(median[1] - median[0]))
 
 
 def held_out(id_column: Column) -> Column:
@@ -216,7 +226,7 @@ def held_out(id_column: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> Classifier:
-    """Train and calibrate on the bounded sample of rows that are not held out."""
+    """Train on the bounded sample of rows that are not held out, calibrate on all others that are not."""
     known = labels.select(quoted(id_col).cast("bigint").alias("i"), quoted(label_col).cast("int").alias("y"))
     known = known.where(F.col("y").isin(0, 1) & F.col("i").isNotNull() & ~held_out(F.col("i")))
     known = known.groupBy("i").agg(F.max("y").alias("y"))
@@ -238,12 +248,31 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if min(y[apart].sum(), (1 - y[apart]).sum(), y[~apart].sum(), (1 - y[~apart]).sum()) < 1:
         apart = np.zeros(len(y), bool)
     train = np.flatnonzero(~apart)
-    check = np.flatnonzero(apart) if apart.any() else train
     model.train([rows[i]["t"] for i in train], y[train])
-    model.calibrate([rows[i]["t"] for i in check], y[check], [rows[i]["l"] for i in check])
+    z = np.concatenate([model.raw(*buckets_of(pa.array([r["t"]], pa.string()))) for r in rows]).astype(float)
+    unit = max(abs(np.median(z[y == 1]) - np.median(z[y == 0])), np.ptp(z) / 16, 1e-6) / FINE
+    # At most POSITIVES + NEGATIVES ids are broadcast.
+    taken = small_table(docs.sparkSession, [(rows[i]["i"],) for i in train], "i bigint").withColumn("taken", F.lit(1))
+    scored = _binned(texts.where(F.col("i").isNotNull() & ~held_out(F.col("i"))), model, unit)
+    once = scored.join(known, "i").groupBy("i").agg(F.min(F.struct("bin", "l", "y")).alias("s")).select("i", "s.*")
+    marked = once.join(F.broadcast(taken), "i", "left")
+    # As many rows as languages, labels and bins come to the driver.
+    counts = marked.groupBy("l", "y", "bin").agg(F.count(F.lit(1)), F.sum(F.when(F.col("taken").isNull(), 1).otherwise(0)))
+    model.calibrate([tuple(c) for c in counts.collect()], unit)
     return model
 
 
+def _binned(rows: DataFrame, model: Classifier, unit: float) -> DataFrame:
+    """i, l and the bin of the output of each text t; rows stay where they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "t"):
+            bins = np.clip(np.floor(model.raw(*buckets_of(part.column("t"))).astype(float) / unit), 0, BINS - 1)
+            yield pa.RecordBatch.from_arrays([part.column("i"), part.column("l"), pa.array(bins.astype(np.int32))], names=["i", "l", "bin"])
+
+    return rows.mapInArrow(run, "i bigint, l string, bin int")
+
+
 def with_scores(df: DataFrame, model: Classifier, text_col: str = "text", out: str = "score") -> DataFrame:
     """Add the score of each text; rows stay where they are."""
     text = fresh(df, "_text")

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from speechset.llm import toxicity
 from speechset.llm.fingerprints import as_text, fingerprints, followed, likeness, winnow, with_edits
 from speechset.llm.frames import texts as narrow
 from speechset.llm.toxicity import fit, held_out, is_toxic, with_scores, without_toxic
@@ -45,6 +46,16 @@ def test_held_out_rows_are_told_apart(llm):
     assert 80 <= verdicts.where("v").count() <= 120
 
 
+def test_thresholds_come_from_all_rows_not_trained_on(llm, monkeypatch):
+    monkeypatch.setattr(toxicity, "POSITIVES", 30)
+    monkeypatch.setattr(toxicity, "NEGATIVES", 40)
+    docs, labels = labelled(llm)
+    model = fit(docs, labels)  # about 8 toxic texts of the sample are not trained on
+    assert set(model.thresholds) == {"en", "fr"} and any(t != toxicity.PREDICTED_FROM for t in model.thresholds.values())
+    few = docs.withColumn("lang", F.when(F.col("doc_id") < 25, "es").otherwise(F.col("lang")))
+    assert set(fit(few, labels).thresholds) == {"en", "fr"}  # 'es' has 5 toxic texts and takes the overall threshold
+
+
 def test_odd_texts_and_missing_labels(llm):
     docs, labels = labelled(llm, 60)
     model = fit(docs, labels)
