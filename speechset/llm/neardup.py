@@ -25,14 +25,16 @@ texts (that with the smallest hash) stands for all. A row without an id is linke
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from speechset.llm.frames import quoted, slices, texts
+from speechset.llm.frames import fresh, quoted, slices, texts
 from speechset.llm.words import Words, grams, mix
 from speechset.session import materialize
 
@@ -278,7 +280,59 @@ def _texts_of(docs: DataFrame, known: DataFrame) -> DataFrame:
     return found.groupBy("doc_id").agg(F.max("text").alias("text"))
 
 
-def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` without those that are near-duplicates of a text with a smaller id."""
-    gone = near_duplicates(df, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return df.join(gone, quoted(id_col).cast("bigint") == F.col("_gone"), "left_anti")
+def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, once: bool = False) -> DataFrame:
+    """The rows of ``df`` without those that are near-duplicates of a text with a smaller id. With ``once``,
+    one row of each id that stays (of the text that stands for the id), and of the rows without an id one
+    of each set that no row with an id has; those with an empty set all stay."""
+    gone_id, again_id = fresh(df, "_gone"), fresh(df, "_again")
+    gone = near_duplicates(df, id_col, text_col, size).where("NOT kept").select(F.col("doc_id").alias(gone_id))
+    own = quoted(id_col).cast("bigint")
+    if not once:
+        return df.join(gone, own == F.col(gone_id), "left_anti")
+    gone = materialize(gone, "gone")
+    again = df.where(own.isNotNull()).groupBy(own.alias(again_id)).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    again = materialize(again.select(again_id), "again")
+    rows = df.where(own.isNotNull()).join(gone, own == F.col(gone_id), "left_anti")
+    many = rows.join(again, own == F.col(again_id), "left_semi")
+    result = rows.join(again, own == F.col(again_id), "left_anti").unionByName(_one_of_each(many, df, text_col, own))
+    nameless = df.where(own.isNull())
+    if not nameless.limit(1).count():
+        return result
+    keys = [fresh(df, k) for k in ("_n", "_s1", "_s2")]
+    taken = _keyed(df.where(own.isNotNull()).select(quoted(text_col).alias("text")), "text", ["_n", "_s1", "_s2"], size).drop("text").distinct()
+    keyed = _keyed(nameless, text_col, keys, size)
+    theirs = [fresh(df, f"_t{i}") for i in range(3)]
+    same = [F.col(k) == F.col(t) for k, t in zip(keys, theirs)]
+    free = keyed.where(F.col(keys[0]) > 0).join(taken.toDF(*theirs), same, "left_anti")
+    wordless = keyed.where(F.col(keys[0]) == 0).select(*[quoted(c) for c in df.columns])
+    return result.unionByName(wordless).unionByName(_one_of_each(free, df, text_col, *[F.col(k) for k in keys]))
+
+
+def _one_of_each(rows: DataFrame, df: DataFrame, text_col: str, *keys: Column) -> DataFrame:
+    """One row of each key, with the columns of ``df``: by the hash of its text, then of all that can be hashed.
+    Each task passes on one row a key, so no group is gathered."""
+    hashed = [quoted(f.name) for f in df.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    order = F.struct(F.xxhash64(quoted(text_col).cast("string")), F.xxhash64(*hashed))
+    whole = F.struct(*[quoted(c) for c in df.columns])
+    found = rows.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min_by(whole, order).alias("_row"))
+    return found.select(*[F.col("_row").getField(c).alias(c) for c in df.columns])
+
+
+def _keyed(df: DataFrame, text_col: str, keys: list[str], size: int) -> DataFrame:
+    """Add the three numbers that identify the set of each row's text; rows stay where they are."""
+    text, names = fresh(df, "_text"), list(df.columns)
+    kinds = [StructField(k, LongType()) for k in keys]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text, limit=1 << 20):
+            found, offsets = shingle_sets(part.column(text), size)
+            n = np.diff(offsets)
+            sums = np.zeros((2, len(n)), np.uint64)
+            full = np.flatnonzero(n)
+            if len(full):
+                sums[0, full] = np.add.reduceat(mix(found), offsets[full])
+                sums[1, full] = np.add.reduceat(mix(found ^ _FLIP[0]), offsets[full])
+            columns = [part.column(i) for i in range(len(names))] + [pa.array(x.astype(np.int64)) for x in (n, *sums)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *keys])
+
+    return df.withColumn(text, quoted(text_col).cast("string")).mapInArrow(run, StructType([*df.schema, *kinds]))

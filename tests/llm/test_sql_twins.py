@@ -77,3 +77,13 @@ def test_pipeline_takes_odd_documents(llm):
     for _, stage in corpus_pipeline.STAGES:
         df = stage(llm, df, DATA)
         df.count()
+
+
+def test_repeated_rows_leave_the_pipeline_once(llm):
+    twice, alone, nameless = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    df = documents(llm, [twice, alone, nameless, twice, None])
+    df = df.unionByName(df).withColumn("doc_id", F.when(F.col("doc_id") < 2, F.col("doc_id")))
+    first = corpus_pipeline.keep_first_copies(llm, df, DATA)
+    assert first.columns == df.columns
+    left = corpus_pipeline.remove_substrings(llm, first, DATA).select("doc_id", "text").collect()
+    assert sorted(map(tuple, left), key=str) == sorted([(0, twice), (1, alone), (None, nameless), (None, None), (None, None)], key=str)
