@@ -22,6 +22,9 @@ from speechset.llm.substrings import remove_repeats  # noqa: E402
 from speechset.llm.toxicity import fit, without_toxic  # noqa: E402
 from speechset.session import new_folder  # noqa: E402
 
+# Words of a shingle in the near-duplicate stage; the four of op9's contract bind that query only.
+SHINGLE = 5
+
 # SQL has no estimate of covariance determinants and no trained classifier.
 ORACLE_SQL = None
 
@@ -41,7 +44,7 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id, in one row however often it is repeated."""
     prepare(spark)
-    return first_of_groups(docs, once=True)
+    return first_of_groups(docs, size=SHINGLE, once=True)
 
 
 def remove_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

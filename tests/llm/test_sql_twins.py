@@ -87,3 +87,13 @@ def test_repeated_rows_leave_the_pipeline_once(llm):
     assert first.columns == df.columns
     left = corpus_pipeline.remove_substrings(llm, first, DATA).select("doc_id", "text").collect()
     assert sorted(map(tuple, left), key=str) == sorted([(0, twice), (1, alone), (None, nameless), (None, None), (None, None)], key=str)
+
+
+def test_near_duplicate_stage_compares_runs_of_five_words(llm):
+    base = [f"w{i}" for i in range(200)]
+    edit = lambda n: " ".join("new" + w if i % 40 == 20 and i < 40 * n else w for i, w in enumerate(base))
+    # Five changed words: 177 of 217 runs of four words are common, but only 171 of 221 of five.
+    df = documents(llm, [" ".join(base), edit(5)])
+    assert corpus_pipeline.keep_first_copies(llm, df, DATA).count() == 2
+    assert corpus_pipeline.first_of_groups(df).count() == 1
+    assert corpus_pipeline.keep_first_copies(llm, documents(llm, [" ".join(base), edit(3)]), DATA).count() == 1
