@@ -176,11 +176,12 @@ class ByteBpe:
 
 
 class EditableText:
-    """A text with its pieces and their ids, kept up to date through appends and edits."""
+    """A text with its pieces, their ids and prefix tables, kept up to date through appends and edits. A piece
+    that keeps its first bytes keeps their part of its table: a cut drops its end, an append extends it."""
 
     def __init__(self, bpe: ByteBpe, text: str = ""):
         self.bpe, self.text = bpe, ""
-        self.pieces: list[tuple[int, int, list[int]]] = []  # start, end, ids
+        self.pieces: list[tuple[int, int, list[int], list[int]]] = []  # start, end, ids, last token of each prefix
         self.replace(0, 0, text)
 
     def append(self, more: str) -> None:
@@ -193,22 +194,28 @@ class EditableText:
         shift = len(new) - (stop - start)
         self.text = self.text[:start] + new + self.text[stop:]
         kept = 0
-        for a, b, _ in self.pieces:
+        for a, b, *_ in self.pieces:
             if max(b + 2, a + 3) > start:
                 break
             kept += 1
-        later = {a + shift: i for i, (a, _, _) in enumerate(self.pieces) if a >= stop}
+        later = {a + shift: i for i, (a, *_) in enumerate(self.pieces) if a >= stop}
+        opened = {a: (b, last) for a, b, _, last in self.pieces[kept:] if a < start}
         fresh, at = [], self.pieces[kept - 1][1] if kept else 0
         while at < len(self.text) and not (at >= start + len(new) and at in later):
             end = self.bpe.match(self.text, at).end()
-            fresh.append((at, end, self.bpe.piece(self.text[at:end].encode())))
+            b, last = opened.get(at, (at, []))
+            del last[len(self.text[at : min(b, start, end)].encode()) :]
+            data = self.text[at:end].encode()
+            self.bpe.extend(last, data)
+            whole = self.bpe.ranks.get(data)
+            fresh.append((at, end, self.bpe.read(last) if whole is None else [whole], last))
             at = end
         rest = self.pieces[later[at] :] if at in later and at < len(self.text) else []
-        self.pieces = self.pieces[:kept] + fresh + [(a + shift, b + shift, ids) for a, b, ids in rest]
+        self.pieces = self.pieces[:kept] + fresh + [(a + shift, b + shift, *own) for a, b, *own in rest]
 
     @property
     def ids(self) -> list[int]:
-        return [i for _, _, ids in self.pieces for i in ids]
+        return [i for _, _, ids, _ in self.pieces for i in ids]
 
 
 def encoded(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -72,6 +72,16 @@ def test_edits_and_appends_stay_exact(reference, text, edits, tail):
     assert held.ids == reference(held.text)
 
 
+def test_open_pieces_keep_their_prefix_tables(reference):
+    held = EditableText(codec(RANKS, public_tokenizers.PATTERN), "internationalis")
+    table = held.pieces[-1][3]
+    before = list(table)
+    held.append("ationalaaaa")
+    assert held.pieces[-1][3] is table and table[: len(before)] == before and held.ids == reference(held.text)
+    held.replace(7, len(held.text), "")
+    assert held.pieces[-1][3] is table and table == before[:7] and held.ids == reference(held.text)
+
+
 def test_prefix_tables_grow_byte_by_byte(reference):
     bpe, last = codec(RANKS, public_tokenizers.PATTERN), []
     data = b"internationalisationalaaaaaaaab"
