@@ -58,11 +58,3 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
-
-
-def struct_of(schema: str) -> pa.Schema:
-    """The Arrow schema of a DDL string."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(schema))

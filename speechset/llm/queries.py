@@ -193,3 +193,118 @@ def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=2)
     return read_documents(spark, path)
+
+
+# The rules of the contract.
+URL_RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+def _url_sql() -> str:
+    rows = []
+    for rule, action in URL_RULES:
+        host, path = rule[: rule.index("/")], rule[rule.index("/") :]
+        rows.append(f"('{rule}', '{host}', '{path}', '{action}')")
+    return rf"""
+    WITH r(rule, rule_host, rule_path, action) AS (VALUES {', '.join(rows)}),
+    u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    p AS (SELECT row_number() OVER () AS n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+    SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN r
+        ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(rule) DESC) = 1
+    """
+
+
+@query(_url_sql())
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from speechset.llm.urlfilter import judge
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge(pages, URL_RULES).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
+@query(
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+    total AS (SELECT count(*) FILTER (len(ts) > 0) AS big_n, CAST(sum(len(ts)) AS BIGINT) AS big_l FROM d),
+    m AS (SELECT rid, doc_id, 100 - 50 + ((50 * len(ts) * big_n) // big_l) AS m FROM d, total WHERE len(ts) > 0),
+    tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM d) GROUP BY rid, term),
+    w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM tf, total GROUP BY term),
+    q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    s AS (SELECT item_id, rid, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+        FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (rid) GROUP BY item_id, rid)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM s JOIN m USING (rid) WHERE score > 0 QUALIFY rank <= 50
+    """
+)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from speechset.llm.lexsearch import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and ids of the rebuilt conversations: the first h turns of conversation c - c % 5, then c's own from the h-th on."""
+    from speechset.session import materialize
+
+    size = materialize(turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    h, base = F.crc32(F.col("conv_id").cast("string")) % 9, F.col("conv_id") - F.col("conv_id") % 5
+    heads_of = size.select(F.col("conv_id").alias("base"), F.col("size").alias("base_size"))
+    shift = size.withColumns({"h": h, "base": base}).join(heads_of, "base", "left")
+    shift = shift.select("conv_id", "h", F.least("h", F.coalesce("base_size", F.lit(0))).alias("before"))
+    own = turns.join(shift, "conv_id").where("pos >= h").withColumn("pos", F.col("pos") - F.col("h") + F.col("before"))
+    near = F.array(*[F.expr(f"try_add(conv_id, {d}L)") for d in range(-4, 5)])
+    first = turns.where((F.col("pos") < 8) & (F.col("conv_id") == base)).withColumn("to", F.explode(near))
+    first = first.where((F.col("to") - F.col("to") % 5 == F.col("conv_id")) & (F.col("pos") < F.crc32(F.col("to").cast("string")) % 9))
+    heads = first.withColumn("conv_id", F.col("to")).drop("to").join(size.select("conv_id"), "conv_id", "left_semi")
+    return materialize(heads.unionByName(own.select(*heads.columns)), "rebuilt"), size.select("conv_id")
+
+
+# Unsigned crc32 of a decimal id, a bit at a time: each digit is followed by eight shifts.
+_CRC_SQL = """xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END,
+        CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
+
+
+@query(
+    """
+    WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(md5(coalesce(role, '')) || coalesce(text, ''))) - 1 AS pos,
+        md5(md5(coalesce(role, '')) || coalesce(text, '')) AS k, strlen(coalesce(text, '')) AS n_bytes
+        FROM conversations WHERE conv_id IS NOT NULL),
+    h AS (SELECT conv_id, conv_id - conv_id % 5 AS base, HASHES AS h, count(*) AS size FROM t GROUP BY conv_id),
+    heads AS (SELECT h.conv_id, t.pos, t.k, t.n_bytes FROM h JOIN t ON t.conv_id = h.base AND t.pos < h.h),
+    own AS (SELECT t.conv_id, t.pos - h.h + least(h.h, coalesce(b.size, 0)) AS pos, t.k, t.n_bytes
+        FROM t JOIN h USING (conv_id) LEFT JOIN h b ON b.conv_id = h.base WHERE t.pos >= h.h),
+    r AS (SELECT * FROM heads UNION ALL SELECT * FROM own),
+    c AS (SELECT h.conv_id, coalesce(list(k ORDER BY pos) FILTER (k IS NOT NULL), []) AS ks,
+        coalesce(list(n_bytes ORDER BY pos) FILTER (k IS NOT NULL), []) AS bs FROM h LEFT JOIN r USING (conv_id) GROUP BY h.conv_id),
+    p AS (SELECT conv_id, d AS depth, md5(array_to_string(ks[1:d], ',')) AS path, CASE WHEN d > 0 THEN bs[d] ELSE 0 END AS n_bytes,
+        d = len(ks) AS ended FROM (SELECT *, unnest(range(len(ks) + 1)) AS d FROM c)),
+    n AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n_bytes) AS n_bytes,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256 FROM p GROUP BY depth, path),
+    up AS (SELECT DISTINCT a.depth, a.path, b.path AS above FROM p a JOIN p b ON b.conv_id = a.conv_id AND b.depth = a.depth - 1),
+    kids AS (SELECT depth - 1 AS depth, above AS path, count(*) AS n_children FROM up GROUP BY depth, above),
+    below AS (SELECT DISTINCT a.depth, a.path, b.depth AS depth2, b.path AS path2 FROM p a JOIN p b ON b.conv_id = a.conv_id AND b.depth >= a.depth),
+    sums AS (SELECT b.depth, b.path, count(*) FILTER (coalesce(k.n_children, 0) = 0) AS n_leaves, sum((n.n_convs - 1) * n.n_bytes) AS saved_tokens
+        FROM below b JOIN n ON n.depth = depth2 AND n.path = path2 LEFT JOIN kids k ON k.depth = depth2 AND k.path = path2 GROUP BY b.depth, b.path)
+    SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(kids.n_children, 0) AS BIGINT) AS n_children,
+        n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM n JOIN sums ON sums.depth = n.depth AND sums.path = n.path LEFT JOIN kids ON kids.depth = n.depth AND kids.path = n.path
+    LEFT JOIN up ON up.depth = n.depth AND up.path = n.path LEFT JOIN n a ON a.depth = n.depth - 1 AND a.path = up.above
+    """.replace("HASHES", f"{_CRC_SQL} % 9")
+)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from speechset.llm.trie import prefix_trie, turn_keys, with_end_digests
+
+    turns, members = rebuilt(turn_keys(table(spark, sf_dir, "conversations")))
+    return with_end_digests(prefix_trie(turns, members)).drop("path_a", "path_b")
