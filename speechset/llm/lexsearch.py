@@ -4,7 +4,7 @@ A document is a vector of term impacts, a query the vector of its terms' weights
 product. Both sides are multiplied by the square root of the weight, so that frequent terms add little length.
 
 * Documents are ordered by the length of their vector, over the terms that any query of the block has, by a
-  range partitioning, so that a bucket (one Arrow batch of a task) holds vectors of about the same length.
+  range partitioning, so that a bucket (some thousand documents in a row of a task) holds vectors of about the same length.
 * By Cauchy and Schwarz no score in a bucket exceeds the query's length times the longest vector's. A bucket
   below the query's threshold, the score of its k-th best document so far, is passed over.
 * Inside a bucket the heaviest coordinates of the query are multiplied out; what the other coordinates can add is at
@@ -32,6 +32,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +48,9 @@ BLOCK_BYTES = 4 << 20
 SEEDS = 1024
 # Share of a query's squared length that its focus coordinates hold.
 FOCUS = 0.5
-# Documents of a task that searches.
+# Documents of a task that searches, and coordinates of a bucket.
 TASK_ROWS = 100_000
+BUCKET_TERMS = 1 << 19
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -112,7 +114,8 @@ def _count_terms(vocabulary: Vocabulary):
     """Per document: the number of its terms, and how often each term of the vocabulary occurs."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n_before, size = 0, len(vocabulary.hashes)
+        # A number for each row that no other has, the same when the task runs again.
+        n_before, size = TaskContext.get().partitionId() << 33, len(vocabulary.hashes)
         for batch in slices(batches):
             words = term_words(batch.column("text"))
             term = vocabulary.find(words)
@@ -212,14 +215,24 @@ class Query:
 MARGIN = 1 + 1e-9
 
 
+def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds ``BUCKET_TERMS`` coordinates at most, or a single longer vector."""
+    for batch in batches:
+        ends = _flat(batch.column("terms"))[1][1:]
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + BUCKET_TERMS, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def _search(queries: list[np.ndarray], weights: np.ndarray, floors: list[int], k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = [Query(terms, weights) for terms in queries]
         best = [Best(k, floor) for floor in floors]
         root = np.sqrt(weights.astype(np.float64))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _buckets(batches):
             n = batch.num_rows
             length = batch.column("length").to_numpy()
             ids = batch.column("doc_id")
@@ -321,8 +334,11 @@ def _search_block(read: DataFrame, block: list[tuple], k: int, kind: str) -> Dat
         _impacts(weights, n_docs, n_terms), "doc_id bigint, place bigint, length double, terms array<int>, impacts array<int>"
     )
     found = "query int, doc_id bigint, score bigint"
-    longest = vectors.orderBy(F.desc("length"), "place").limit(SEEDS)
-    seeds = _top(longest.mapInArrow(_search(queries, weights, [0] * len(queries), k), found), k)
+    # The place of the last of them is enough to filter by: no vector is moved for it.
+    longest = vectors.select("length", "place").orderBy(F.desc("length"), "place").limit(SEEDS)
+    length, place = longest.agg(F.min(F.struct("length", -F.col("place"))).alias("last")).select("last.*").first()
+    is_long = (F.col("length") > length) | ((F.col("length") == length) & (F.col("place") <= -(place or 0)))
+    seeds = _top(vectors.where(is_long).mapInArrow(_search(queries, weights, [0] * len(queries), k), found), k)
     floors = [0] * len(queries)
     for row in seeds.where(F.col("rank") == k).collect():  # at most a row a query of the block
         floors[row["query"]] = row["score"]
