@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from speechset.constants import SPEAKER_RANGES, UNKNOWN_SPEAKER_ID, UNKNOWN_SPEAKER_NAME
 from speechset.functions.naming import resume_key, speaker_id
-from speechset.session import BROADCAST_ROWS, bounded_rows, small_table
+from speechset.operators.ranges import first_wins
+from speechset.session import BROADCAST_ROWS, bounded_rows, materialize, small_table
 
 # Widest bucket of the join with a large range map, as a power of two.
 MAX_LEVEL = 17
@@ -58,18 +59,20 @@ def annotate_speakers(
 
     Ranges are inclusive; where two overlap the first one wins; a row in none is unknown. A table of
     ranges needs the columns split, lo, hi, num, name and map_order. Up to ``broadcast_rows`` ranges
-    are broadcast, so the utterances are not shuffled. More of them are joined by index bucket.
+    are broadcast, so the utterances are not shuffled. More of them are made disjoint by a distributed
+    sweep and joined by index bucket, where each row meets one range.
     """
     spark = df.sparkSession
+    if not isinstance(ranges, DataFrame) and len(ranges) > broadcast_rows:
+        numbered = [(*r, order) for order, r in enumerate(ranges)]
+        ranges = small_table(spark, numbered, "split string, lo bigint, hi bigint, num int, name string, map_order bigint")
     if isinstance(ranges, DataFrame):
         ordered = ranges.select("split", "lo", "hi", "num", "name", "map_order")
         if ordered.limit(broadcast_rows + 1).count() > broadcast_rows:
-            matched = _bucketed_range_join(df, ordered, split_column, index_column)
+            matched = _bucketed_range_join(df, materialize(first_wins(ordered), "segments"), split_column, index_column)
             return _with_speaker_columns(matched, split_column, index_column)
         rows = sorted(bounded_rows(ordered, broadcast_rows), key=lambda r: r["map_order"])
         ranges = [(r["split"], r["lo"], r["hi"], r["num"], r["name"]) for r in rows]
-    elif len(ranges) > BROADCAST_ROWS:
-        raise ValueError("pass a range map of this size as a DataFrame")
     table = small_table(spark, disjoint_ranges(ranges), _MAP_SCHEMA)
     inside = (F.col(split_column) == F.col("map_split")) & F.col(index_column).between(F.col("lo"), F.col("hi"))
     matched = df.join(F.broadcast(table), inside, "left").drop("map_split", "lo", "hi")
@@ -77,12 +80,10 @@ def annotate_speakers(
 
 
 def _bucketed_range_join(df: DataFrame, ranges: DataFrame, split_column: str, index_column: str) -> DataFrame:
-    """Join on (split, level, bucket). A range of length 2^k to 2^(k+1)-1 has level k and buckets of
-    2^k positions, so it lies in at most three of them and a bucket meets only ranges of about its own
-    size: neither long nor short ranges pile up. Levels end at ``MAX_LEVEL``; a longer range lies in
-    one bucket per 2^MAX_LEVEL positions, so that no bucket is a hot key either. Each row looks into
-    one bucket per level that occurs. The rows are reduced to their keys here, and the first of
-    several matching ranges is chosen per key."""
+    """Join disjoint ranges on (split, level, bucket). A range of length 2^k to 2^(k+1)-1 has level k and buckets of
+    2^k positions, so it lies in at most three of them and a bucket meets at most three ranges. Levels end at
+    ``MAX_LEVEL``; a longer range lies in one bucket per 2^MAX_LEVEL positions. Each row looks into one bucket per level that
+    occurs, as a key without its other columns, and is met by one range at most. Rows that share a position are one key."""
     low, high = df.agg(F.min(index_column), F.max(index_column)).first()
     if low is None:
         low, high = 0, -1
@@ -93,12 +94,13 @@ def _bucketed_range_join(df: DataFrame, ranges: DataFrame, split_column: str, in
     sized = clipped.where("lo <= hi").withColumn("_level", level)
     levels = sorted(bounded_rows(sized.select("_level").distinct()))
     buckets = sized.select(
-        F.col("split").alias("_split"), "lo", "hi", "num", "name", "map_order", "_level",
+        F.col("split").alias("_split"), "lo", "hi", "num", "name", "_level",
         F.explode(F.expr("sequence(shiftright(lo, _level), shiftright(hi, _level))")).alias("_bucket"),
     )
-    places = df.select(
-        F.col(split_column).alias("_s"),
-        F.col(index_column).cast("bigint").alias("_i"),
+    keys = df.select(F.col(split_column).alias("_s"), F.col(index_column).cast("bigint").alias("_i")).distinct()
+    places = keys.select(
+        "_s",
+        "_i",
         F.explode(F.array(*[F.lit(row[0]) for row in levels]).cast("array<int>")).alias("_l"),
     ).withColumn("_b", F.expr("shiftright(_i, _l)"))
     hit = (
@@ -109,9 +111,7 @@ def _bucketed_range_join(df: DataFrame, ranges: DataFrame, split_column: str, in
     )
     winners = (
         places.join(buckets, hit)
-        .groupBy("_s", "_i")
-        .agg(F.min_by(F.struct("num", "name"), "map_order").alias("_w"))
-        .select("_s", "_i", F.col("_w.num").alias("num"), F.col("_w.name").alias("name"))
+        .select("_s", "_i", "num", "name")
     )
     same = (F.col(split_column) == F.col("_s")) & (F.col(index_column) == F.col("_i"))
     return df.join(winners, same, "left").drop("_s", "_i")

@@ -60,12 +60,17 @@ def shared_root(spark: SparkSession) -> str:
     return _fallback_roots[app]
 
 
+def file_system(folder: str):
+    """The Hadoop file system of ``folder`` and its path there."""
+    spark = SparkSession.active()
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
 def qualified(folder: str) -> str:
     """``folder`` with its scheme and host, as Spark and every task must name it: a path without a scheme
     is on the session's default file system, not on the disk of whoever opens it."""
-    spark = SparkSession.active()
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    store, path = file_system(folder)
     return store.makeQualified(path).toString().rstrip("/")
 
 

@@ -4,7 +4,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from suite import audio, io, jobs, languages, resume, shape, speakers  # noqa: F401
+from suite import audio, io, jobs, languages, resume, shape, speakers, steps  # noqa: F401
 from suite.registry import ORACLES, QUERIES  # noqa: F401
 
 # The stand-in models are sent to Python workers with their code.

@@ -216,6 +216,31 @@ def q_speaker_overlaps_bucketed(spark, sf_dir):
     return found.select("doc_id", "speaker_id", "speaker_name")
 
 
+@query(
+    """WITH r AS (SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'dev' ELSE 'eval' END AS split, l_orderkey AS lo,
+                         l_orderkey + 100 * l_suppkey + 1000 * l_linenumber AS hi, CAST(l_suppkey AS INTEGER) AS num,
+                         CAST(l_partkey AS BIGINT) * 1000000000 + l_orderkey * 8 + l_linenumber AS map_order FROM lineitem),
+            p AS (SELECT doc_id, original_split, 50 * original_index AS pos FROM utt)
+       SELECT doc_id, CASE WHEN w IS NULL THEN 'speaker_unknown' ELSE printf('speaker_%02d', w) END AS speaker_id
+       FROM (SELECT doc_id, arg_min(num, map_order) AS w FROM p LEFT JOIN r ON split = original_split AND pos BETWEEN lo AND hi GROUP BY doc_id)""",
+    ("utt",),
+)
+def q_speaker_sweep(spark, sf_dir):
+    """A map of as many ranges as there are order lines, long and nested in thousands: a distributed sweep makes it
+    disjoint, so that each position meets one range."""
+    lines = table(spark, sf_dir, "lineitem")
+    ranges = lines.select(
+        F.when(F.col("l_linenumber") % 2 == 0, "dev").otherwise("eval").alias("split"),
+        F.col("l_orderkey").cast("bigint").alias("lo"),
+        (F.col("l_orderkey") + 100 * F.col("l_suppkey") + 1000 * F.col("l_linenumber")).cast("bigint").alias("hi"),
+        F.col("l_suppkey").cast("int").alias("num"),
+        F.lit("").alias("name"),
+        (F.col("l_partkey").cast("bigint") * 1_000_000_000 + F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("map_order"),
+    )
+    rows = utt(spark, sf_dir).select("doc_id", "original_split", (50 * F.col("original_index")).alias("original_index"))
+    return annotate_speakers(rows, ranges).select("doc_id", "speaker_id")
+
+
 @query(
     "SELECT doc_id, original_index FROM utt WHERE original_split = 'dev' ORDER BY original_index LIMIT 50", ("utt",)
 )

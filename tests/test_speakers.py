@@ -1,8 +1,11 @@
+import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from speechset.constants import SPEAKER_RANGES
 from speechset.operators import speakers
+from speechset.operators.ranges import PIECE, first_wins
 from speechset.operators.reports import verify_split
 from speechset.operators.speakers import (
     annotate_speakers,
@@ -162,3 +165,48 @@ def test_labelling_is_one_broadcast(spark):
 def test_annotate_corpus_numbers_each_split(spark):
     df = spark.createDataFrame([("dev", 30), ("dev", 10), ("eval", 20)], "original_split string, k bigint")
     assert rows(annotate_corpus(df, "k"), "k", "_key") == [(10, "dev:0"), (20, "eval:0"), (30, "dev:1")]
+
+
+def _painted(ranges, low, high):
+    """The number of the first range at each position, by painting from the last to the first."""
+    owner = np.full(high - low, -1)
+    for lo, hi, order in sorted(ranges, key=lambda r: -r[2]):
+        owner[lo - low : hi + 1 - low] = order
+    return owner
+
+
+@pytest.mark.parametrize("case", ["random", "nested", "one start", "steps"])
+def test_sweep_over_many_pieces(spark, case):
+    rng = np.random.default_rng(4)
+    n = 4 * PIECE
+    if case == "random":
+        lo = rng.integers(0, 20_000, n)
+        bounds = [(int(a), int(a + b)) for a, b in zip(lo, rng.geometric(1e-3, n) * rng.choice([0, 1, 5], n))]
+    elif case == "nested":
+        bounds = [(i, 20_000 - i) for i in range(n)]
+    elif case == "one start":
+        bounds = [(100, 100 + 3 * i) for i in range(n)]
+    else:
+        bounds = [(2 * i, 2 * i) for i in range(n)]
+    order = rng.permutation(len(bounds))
+    ranges = [(a, b, int(o)) for (a, b), o in zip(bounds, order)]
+    table = spark.createDataFrame(
+        [("dev", a, b, o, f"n{o}", o) for a, b, o in ranges] + [("eval", 5, 9, 1, "e", 0), (None, 0, 9, 1, "x", 0), ("dev", 9, 8, 1, "empty", -1)],
+        "split string, lo bigint, hi bigint, num int, name string, map_order int",
+    ).repartition(5)
+    segments = first_wins(table).collect()
+    got = np.full(30_000, -1)
+    for s in segments:
+        if s.split == "dev":
+            assert (got[s.lo : s.hi + 1] == -1).all() and s.lo <= s.hi and s.name == f"n{s.num}"
+            got[s.lo : s.hi + 1] = s.num
+    assert (got == _painted(ranges, 0, 30_000)).all()
+    assert [(s.lo, s.hi, s.name) for s in segments if s.split != "dev"] == [(5, 9, "e")]
+    assert first_wins(table.limit(0)).count() == 0
+
+
+def test_a_long_list_of_ranges_needs_no_table(spark):
+    ranges = [("dev", i, 10**6 - i, i % 90, f"n{i}") for i in range(10_500)][::-1]
+    df = spark.createDataFrame([("dev", i) for i in (0, 5, 10_499, 500_000, 10**6, 10**6 + 1)], "original_split string, original_index bigint")
+    got = {r.original_index: r.speaker_name for r in annotate_speakers(df, ranges).collect()}
+    assert got == {0: "n0", 5: "n5", 10_499: "n10499", 500_000: "n10499", 10**6: "n0", 10**6 + 1: "Unknown"}
