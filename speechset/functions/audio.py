@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import io
 import math
 import struct
@@ -36,12 +37,18 @@ def extract_audio(df: DataFrame, column: str = "audio", rate_column: str | None
         return null
     kind = df.schema[column].dataType
     if isinstance(kind, StructType) and {"array", "sampling_rate"} <= set(kind.names):
-        return audio_value(F.col(column)["array"], F.col(column)["sampling_rate"])
+        return audio_value(_flat(F.col(column)["array"], kind["array"].dataType), F.col(column)["sampling_rate"])
     if isinstance(kind, ArrayType) and rate_column in df.columns:
-        return audio_value(F.col(column), F.col(rate_column))
+        return audio_value(_flat(F.col(column), kind), F.col(rate_column))
     return null
 
 
+def _flat(array: Column, kind: ArrayType) -> Column:
+    """Samples as one list; a list of one channel is unpacked, and one of several is no clip."""
+    nested = isinstance(kind, ArrayType) and isinstance(kind.elementType, ArrayType)
+    return F.when(F.size(array) == 1, mono(array)) if nested else array
+
+
 def mono(channels: Column) -> Column:
     """``[[samples]]`` -> ``[samples]`` for one-channel audio."""
     return F.flatten(channels)
@@ -78,31 +85,70 @@ def resampled_length(n: Column, rate: Column, target: int) -> Column:
     return F.ceil(n * F.lit(target) / rate).cast("bigint")
 
 
-def resample_samples(x: np.ndarray, rate: int, target: int, zero_crossings: int = 32) -> np.ndarray:
-    """Hann-windowed sinc interpolation; output length is ``ceil(len * target / rate)``."""
-    x = np.asarray(x, dtype=np.float32)
-    if rate == target or len(x) == 0:
-        return x
+# Output samples of one matrix product: its windows are copied, so this bounds the memory of a long clip.
+RESAMPLE_STEP = 1 << 14
+
+
+@functools.lru_cache(maxsize=16)
+def _polyphase(rate: int, target: int, zero_crossings: int) -> tuple[int, int, int, np.ndarray]:
+    """``up, down, half`` and a Hann-windowed sinc filter of ``2 * half`` taps for each of ``up`` phases. Output sample i sits
+    at input position i * down / up; all i with the same i % up share one filter."""
     g = math.gcd(rate, target)
     up, down = target // g, rate // g
-    n_out = -(-len(x) * up // down)
     cutoff = min(1.0, target / rate)
     half = math.ceil(zero_crossings / cutoff)
-    # Output sample i sits at input position i * down / up; all i with the same i % up share one filter.
-    padded = np.concatenate([np.zeros(half, np.float32), x, np.zeros(half + down + 1, np.float32)])
-    windows = np.lib.stride_tricks.sliding_window_view(padded, 2 * half)
-    out = np.empty(n_out, np.float32)
-    for phase in range(min(up, n_out)):
-        count = len(range(phase, n_out, up))
-        first, frac = divmod(phase * down, up)
-        t = np.arange(-half + 1, half + 1) - frac / up
-        taps = cutoff * np.sinc(cutoff * t) * (0.5 + 0.5 * np.cos(np.pi * t / half))
-        taps = (taps / taps.sum()).astype(np.float32)
-        rows = windows[first + 1 : first + 1 + (count - 1) * down + 1 : down]
-        out[phase::up] = rows @ taps
+    frac = (np.arange(up) * down % up / up)[:, None]
+    t = np.arange(-half + 1, half + 1)[None, :] - frac
+    taps = cutoff * np.sinc(cutoff * t) * (0.5 + 0.5 * np.cos(np.pi * t / half))
+    return up, down, half, taps / taps.sum(axis=1, keepdims=True)
+
+
+def resample_margin(rate: int, target: int, zero_crossings: int = 32) -> int:
+    """Input samples on either side of a block that its output samples need."""
+    return _polyphase(rate, target, zero_crossings)[2] + 1
+
+
+def resampled_bounds(first: int, count: int, rate: int, target: int) -> tuple[int, int]:
+    """The output samples that sit at the input samples ``first`` up to ``first + count``."""
+    g = math.gcd(rate, target)
+    up, down = target // g, rate // g
+    return -(-first * up // down), -(-(first + count) * up // down)
+
+
+def resample_span(
+    x: np.ndarray, offset: int, start: int, stop: int, rate: int, target: int, zero_crossings: int = 32
+) -> np.ndarray:
+    """Output samples ``start`` up to ``stop`` of a clip, from a block of it that begins at input sample ``offset``; what
+    the block lacks counts as silence."""
+    up, down, half, taps = _polyphase(rate, target, zero_crossings)
+    x = np.asarray(x)
+    out = np.empty(max(stop - start, 0), np.float32)
+    for at in range(start, stop, max(RESAMPLE_STEP, up)):
+        end = min(stop, at + max(RESAMPLE_STEP, up))
+        low, high = at * down // up - half + 1, (end - 1) * down // up + half + 1
+        piece = np.zeros(high - low)
+        a, b = max(low, offset), min(high, offset + len(x))
+        if a < b:
+            piece[a - low : b - low] = x[a - offset : b - offset]
+        windows = np.lib.stride_tricks.sliding_window_view(piece, 2 * half)
+        for phase in range(up):
+            first = at + (phase - at) % up
+            if first >= end:
+                continue
+            count = len(range(first, end, up))
+            begin = first * down // up - half + 1 - low
+            out[first - start : end - start : up] = windows[begin : begin + (count - 1) * down + 1 : down] @ taps[phase]
     return out
 
 
+def resample_samples(x: np.ndarray, rate: int, target: int, zero_crossings: int = 32) -> np.ndarray:
+    """Hann-windowed sinc interpolation; output length is ``ceil(len * target / rate)``."""
+    x = np.asarray(x, dtype=np.float32)
+    if rate == target or len(x) == 0:
+        return x
+    return resample_span(x, 0, *resampled_bounds(0, len(x), rate, target), rate, target, zero_crossings)
+
+
 def resample_audio(audio: Column, target: int) -> Column:
     """Bring a clip to ``target`` Hz. Clips that have it already never leave the JVM."""
 
@@ -151,9 +197,22 @@ def decode_wav(content: bytes, mix: bool = True) -> tuple[np.ndarray, int, int]:
     extensible. Several channels are mixed to their mean, or with ``mix=False`` stay side by side as
     rows of (frames, channels)."""
     head, raw = _wav_chunks(content)
+    kind, channels, rate, bits = wav_format(head)
+    return decode_frames(raw, kind, channels, bits, mix), rate, channels
+
+
+def wav_format(head: bytes) -> tuple[int, int, int, int]:
+    """Kind of values, channels, rate and bits a value from a format chunk."""
     kind, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", head)
     if kind == 0xFFFE:  # extensible: the real format stands first in the sub-format
         kind = int.from_bytes(head[24:26], "little")
+    if not channels or not rate or bits < 8:
+        raise wave.Error(f"WAV format of {channels} channels, {rate} Hz and {bits} bits")
+    return kind, channels, rate, bits
+
+
+def decode_frames(raw: bytes, kind: int, channels: int, bits: int, mix: bool = True) -> np.ndarray:
+    """Samples in -1..1 of whole frames."""
     width = bits // 8
     raw = raw[: len(raw) // (width * channels) * (width * channels)]
     if kind == 3 and width in (4, 8):
@@ -171,7 +230,7 @@ def decode_wav(content: bytes, mix: bool = True) -> tuple[np.ndarray, int, int]:
     if channels > 1:
         values = values.reshape(-1, channels)
         values = values.mean(axis=1, dtype=np.float64).astype(np.float32) if mix else values
-    return values.astype(np.float32), rate, channels
+    return values.astype(np.float32)
 
 
 def decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

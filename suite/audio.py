@@ -75,20 +75,34 @@ def q_audio_duration(spark, sf_dir):
     )
 
 
+# The filter from 24 to 16 kHz: two output samples for three input ones, 96 taps. Sums of samples are compared as they are
+# stored, in single precision.
 @query(
-    """SELECT doc_id, CAST(ceil(len("array") * 16000 / sampling_rate) AS BIGINT) AS n_samples,
-              CAST(ceil(len("array") * 16000 / sampling_rate) AS BIGINT) AS expected, 16000 AS sampling_rate FROM audio""",
+    """WITH x AS (SELECT doc_id, sampling_rate, unnest("array") AS x, unnest(range(len("array"))) AS p FROM audio WHERE sampling_rate = 24000),
+            i AS (SELECT doc_id, unnest(range(CAST(ceil(len("array") * 2 / 3) AS BIGINT))) AS i FROM audio WHERE sampling_rate = 24000),
+            k AS (SELECT phase, k, k - phase / 2 AS t FROM range(2) AS a(phase), range(-47, 49) AS b(k)),
+            w AS (SELECT phase, k, 2.0::DOUBLE / 3 * CASE WHEN t = 0 THEN 1 ELSE sin(pi() * 2 / 3 * t) / (pi() * 2 / 3 * t) END * (0.5 + 0.5 * cos(pi() * t / 48)) AS w FROM k),
+            taps AS (SELECT phase, k, w / sum(w) OVER (PARTITION BY phase) AS w FROM w),
+            y AS (SELECT i.doc_id, i, CAST(sum(CAST(x AS DOUBLE) * w) AS FLOAT) AS y FROM i JOIN taps ON phase = i % 2
+                  JOIN x ON x.doc_id = i.doc_id AND p = i * 3 // 2 + k GROUP BY i.doc_id, i)
+       SELECT doc_id, CAST(ceil(len("array") * 16000 / sampling_rate) AS BIGINT) AS n_samples, 16000 AS sampling_rate,
+              round(CASE WHEN sampling_rate = 16000 THEN list_sum(list_transform("array", lambda v: CAST(v AS DOUBLE)))
+                         ELSE (SELECT sum(CAST(y AS DOUBLE)) FROM y WHERE y.doc_id = audio.doc_id) END, 6) AS sample_sum,
+              round(CASE WHEN sampling_rate = 16000 THEN list_sum(list_transform("array", lambda v: CAST(v AS DOUBLE) * CAST(v AS DOUBLE)))
+                         ELSE (SELECT sum(CAST(y AS DOUBLE) * CAST(y AS DOUBLE)) FROM y WHERE y.doc_id = audio.doc_id) END, 6) AS power
+       FROM audio""",
     ("audio",),
 )
 def q_resample(spark, sf_dir):
     """Clips at 16 kHz; those that are already there are left alone."""
     clip = F.col("audio")
-    done = audio(spark, sf_dir).select(
-        "doc_id",
-        resampled_length(sample_count(clip), clip["sampling_rate"], 16000).alias("expected"),
-        resample_audio(clip, 16000).alias("out"),
-    )
-    return done.select("doc_id", sample_count(F.col("out")).alias("n_samples"), "expected", "out.sampling_rate")
+    done = audio(spark, sf_dir).select("doc_id", resample_audio(clip, 16000).alias("out"))
+    total = F.aggregate("out.array", F.lit(0.0).cast("double"), lambda a, v: a + v.cast("double"))
+    power = F.aggregate("out.array", F.lit(0.0).cast("double"), lambda a, v: a + v.cast("double") * v.cast("double"))
+    return done.select(
+        "doc_id", sample_count(F.col("out")).alias("n_samples"), "out.sampling_rate",
+        F.round(total, 6).alias("sample_sum"), F.round(power, 6).alias("power"),
+    )
 
 
 _MARKS = "list_reduce(list_prepend('', list_transform({}, lambda c: '<|s_' || c || '|>')), lambda a, b: a || b)"

@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from speechset.constants import METADATA_CANDIDATES
-from speechset.functions.audio import sample_count
+from speechset.functions.audio import resample_audio, sample_count
 from speechset.operators.shape import SourceProfile, union_splits
 from speechset.plans.publish import publish_dataset
 from speechset.session import new_folder
 from speechset.sinks.audio_files import require_written, write_audio_files
 from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
 from speechset.sinks.publish import dataset_manifest, write_dataset
+from speechset.sources.audio_blocks import read_audio_blocks, read_audio_headers
 from speechset.sources.files import discover_splits, list_files, read_audio_files, relative_to
 from speechset.sources.metadata import read_metadata_csv, read_metadata_json, read_prior_metadata, read_typed_csv
 from speechset.sources.tables import load_split, load_splits, peek, schema_profile
@@ -149,6 +150,40 @@ def q_audio_files(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT doc_id, sampling_rate, 1 AS channels, 16 AS bits, CAST(len("array") AS BIGINT) AS n_frames,
+              round(len("array") / sampling_rate, 9) AS seconds, CAST(44 AS BIGINT) AS header_bytes FROM audio""",
+    ("audio",),
+)
+def q_audio_headers(spark, sf_dir):
+    """Rate, channels and length of every clip file from its header; no sample is read."""
+    facts = read_audio_headers(spark, _write_clips(spark, sf_dir))
+    return facts.select(
+        F.regexp_extract("path", r"clip_(\d+)\.wav", 1).cast("bigint").alias("doc_id"),
+        "sampling_rate", "channels", "bits", "n_frames", F.round("seconds", 9).alias("seconds"), "header_bytes",
+    )
+
+
+@query(
+    """SELECT doc_id, CAST(ceil(len("array") / 24) AS BIGINT) AS n_blocks, CAST(ceil(len("array") * 8000 / sampling_rate) AS BIGINT) AS n_samples,
+              true AS whole, 8000 AS sampling_rate FROM audio""",
+    ("audio",),
+)
+def q_audio_blocks(spark, sf_dir):
+    """Every clip file in blocks of 24 samples, each resampled from its own bytes, against the whole clip."""
+    folder = _write_clips(spark, sf_dir)
+    blocks = read_audio_blocks(spark, folder, target=8000, block_frames=24)
+    clips = blocks.groupBy("path", "sampling_rate").agg(
+        F.count(F.lit(1)).alias("n_blocks"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("first", "array"))), lambda b: b["array"])).alias("array")
+    )
+    whole = read_audio_files(spark, folder).select("path", resample_audio(F.col("audio"), 8000)["array"].alias("expected"))
+    near = F.forall(F.arrays_zip("array", "expected"), lambda p: F.abs(p["array"] - p["expected"]) < 1e-6)
+    return clips.join(whole, "path").select(
+        F.regexp_extract("path", r"clip_(\d+)\.wav", 1).cast("bigint").alias("doc_id"),
+        "n_blocks", F.size("array").cast("bigint").alias("n_samples"), near.alias("whole"), "sampling_rate",
+    )
+
+
 @query(
     """SELECT 'audio/clip_' || doc_id || '.wav' AS path, CAST(44 + 2 * len("array") AS BIGINT) AS length FROM audio""",
     ("audio",),
