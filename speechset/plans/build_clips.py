@@ -131,6 +131,18 @@ def finished_clips(spark: SparkSession, folder: str) -> DataFrame | None:
     return kept.where("_newest IS NULL OR _newest = run").drop("_again", "_newest", "run")
 
 
+def last_records(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The clip records of the last build of a split, one per key of its input, failed ones too; None before the first."""
+    try:
+        stored = spark.read.parquet(f"{folder}/records")
+    except PySparkException as failure:
+        if failure.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    newest = stored.agg(F.max("build")).first()[0]
+    return stored.where(F.col("build") == newest).drop("build")
+
+
 def existing_clips(spark: SparkSession, folder: str, single_files: bool = False) -> DataFrame:
     """Paths of the cloned clips that exist in ``folder``: as files, or in the tables of its runs."""
     paths = None
@@ -169,7 +181,10 @@ def build_split(
     else:
         prior, order = read_prior_metadata(spark, f"{folder}/metadata.csv", CLIP_COLUMNS), None
     built = build_clips(utterances, open_model, prior, files, folder, single_files, order, tasks)
-    metadata = materialize(built.metadata, "metadata")
+    # Stored with the split, newest last: what the last build's input has, whatever older runs left.
+    build = f"{folder}/records/build=r{time.time_ns():020d}-{uuid.uuid4().hex}"
+    built.metadata.write.parquet(build)
+    metadata = spark.read.parquet(build)
     order_by = ["original_split", "original_index"]
     write_metadata_csv(metadata, f"{folder}/metadata.csv", order_by)
     write_metadata_json(metadata, f"{folder}/metadata.json", order_by)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from speechset.functions.audio import declare_audio
+from speechset.functions.audio import AUDIO_TYPE, declare_audio
+from speechset.functions.text import has_text
 from speechset.operators.shape import audio_path_columns, publishable, union_splits
-from speechset.plans.build_clips import finished_clips
+from speechset.plans.build_clips import finished_clips, last_records
 from speechset.session import bounded_rows
 from speechset.sinks.publish import dataset_manifest, embed_audio, write_dataset
 from speechset.sources.files import discover_splits, list_metadata
@@ -45,25 +46,39 @@ def publish_dataset(spark: SparkSession, folder: str, target: str, embed: bool =
     return manifest
 
 
-def publish_built(spark: SparkSession, splits: dict[str, str], target: str, rate: int | None = None) -> DataFrame:
-    """Publish the finished clips of split folders as ``build_split`` left them, audio included, to
-    ``target/data``; returns the manifest, which is also written to ``target/manifest``.
+def publish_built(
+    spark: SparkSession, splits: dict[str, str], target: str, rate: int | None = None, sources: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Publish split folders as ``build_split`` left them, audio included, to ``target/data``; returns the
+    manifest, which is also written to ``target/manifest``.
 
-    ``splits`` names the folder of each split. The audio goes from the stored clips into the dataset
-    without a shuffle and without a file per clip; paths of files that were never written are left
-    out, and ``rate`` is declared in the audio column. The manifest counts rates, not samples.
+    ``splits`` names the folder of each split. A split has the rows of its last build, failed ones with
+    their error and no clip; clips of keys that its input no longer has stay out, and so do columns that begin with an
+    underscore. The audio goes from the stored clips into the dataset without a file per clip. ``sources`` gives the
+    utterances of a split with ``_key`` and ``audio``: their audio is published as ``audio_en``, which is left out
+    without them, since paths of files that were never written say nothing. ``rate`` is declared in the clips' column. The manifest counts
+    rates, not samples. (For splits in buckets, and for publishing in versions, see ``publish_versions``.)
     """
     parts = []
     for split, folder in sorted(splits.items()):
-        clips = finished_clips(spark, folder)
-        if clips is not None:
-            named = clips.drop("audio_en", "cloned_audio_fr", "error").withColumnRenamed("clip", "cloned_audio_fr")
-            parts.append(named.withColumn("split", F.lit(split)))
+        records, clips = last_records(spark, folder), finished_clips(spark, folder)
+        if records is None or clips is None:
+            continue
+        named = records.drop("audio_en", "cloned_audio_fr")
+        wanted = records.where(has_text(F.col("cloned_audio_fr"))).select("_key")
+        made = clips.join(wanted, "_key", "left_semi").select(*named.columns, F.col("clip").alias("cloned_audio_fr"))
+        failed = named.join(wanted, "_key", "left_anti").withColumn("cloned_audio_fr", F.lit(None).cast(AUDIO_TYPE))
+        rows = made.unionByName(failed)
+        if sources and split in sources:
+            source = sources[split].select("_key", F.col("audio").cast(AUDIO_TYPE).alias("audio_en"))
+            rows = declare_audio(rows.join(source, "_key", "left"), "audio_en")
+        parts.append(rows.withColumn("split", F.lit(split)))
     if not parts:
         raise FileNotFoundError(f"no built clips in {sorted(splits.values())}")
     dataset = parts[0]
     for part in parts[1:]:
-        dataset = dataset.unionByName(part)
+        dataset = dataset.unionByName(part, allowMissingColumns=True)
+    dataset = dataset.drop(*[c for c in dataset.columns if c.startswith("_")])
     write_dataset(declare_audio(dataset, "cloned_audio_fr", rate), f"{target}/data", rebalance=False)
     written = spark.read.parquet(f"{target}/data")
     counted = written.groupBy("split").agg(

@@ -126,26 +126,36 @@ def q_job_restart(spark, sf_dir):
 
 
 @query(
-    """SELECT original_split AS split, original_split || ':' || original_index AS _key, md5(text) AS text_fr,
-              CAST(round(24000 * 0.5, 0) AS BIGINT) AS half_rate, CAST(length(text) AS BIGINT) AS n_samples,
-              CAST(0.25 * length(text) AS DOUBLE) AS sample_sum
-       FROM utt JOIN audio a USING (doc_id) WHERE lang = 'fr'""",
+    """SELECT original_split AS split, original_split || ':' || original_index AS _key, md5(CASE WHEN lang = 'fr' THEN text ELSE '' END) AS text_fr,
+              CASE WHEN made THEN CAST(12000 AS BIGINT) ELSE -1 END AS half_rate, CASE WHEN made THEN CAST(length(text) AS BIGINT) ELSE -1 END AS n_samples,
+              CASE WHEN made THEN CAST(0.25 * length(text) AS DOUBLE) ELSE CAST(-1 AS DOUBLE) END AS sample_sum, CAST(coalesce(len("array"), -1) AS BIGINT) AS n_source,
+              CASE WHEN "array" IS NULL THEN 'missing or empty source audio' WHEN NOT made THEN 'missing French text' ELSE '' END AS error
+       FROM (SELECT *, lang = 'fr' AND "array" IS NOT NULL AS made FROM utt LEFT JOIN audio a USING (doc_id)
+             WHERE NOT (original_split = 'dev' AND lang = 'de'))""",
     ("utt", "audio"),
 )
 def q_job_publish_built(spark, sf_dir):
-    """Build both splits, publish the stored clips with their audio, and read the dataset back."""
-    rows, home = _utterances(spark, sf_dir), new_folder(spark, "corpus")
+    """Build both splits, one of them again with fewer rows, publish them with source and cloned audio, and read the
+    dataset back: every row of the last inputs, failed ones with their error."""
+    rows, home = materialize(_utterances(spark, sf_dir), "utterances"), new_folder(spark, "corpus")
+    keep = (F.col("original_split") != "dev") | F.coalesce(F.col("language") != "de", F.lit(True))
+    rows = rows.join(table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("language")), "doc_id")
     splits = {name: f"{home}/{name}" for name in ("dev", "eval")}
     for name, folder in splits.items():
         build_split(rows.where(F.col("original_split") == name), open_quarter_model, folder)
-    publish_built(spark, splits, f"{home}/published", rate=24000)
+    build_split(rows.where((F.col("original_split") == "dev") & keep), open_quarter_model, splits["dev"])
+    publish_built(spark, splits, f"{home}/published", rate=24000, sources={name: rows.where(F.col("original_split") == name) for name in splits})
     clips = spark.read.parquet(f"{home}/published/data")
     samples = F.col("cloned_audio_fr.array")
     total = F.aggregate(samples, F.lit(0.0), lambda a, x: a + x)
+    key = F.concat_ws(":", "original_split", "original_index")
+    minus = F.lit(-1).cast("bigint")
     return clips.select(
-        "split", "_key", F.md5("text_fr").alias("text_fr"), (F.col("cloned_audio_fr.sampling_rate") / 2).cast("bigint").alias("half_rate"),
-        F.size(samples).cast("bigint").alias("n_samples"), total.alias("sample_sum"),
-    )
+        "split", key.alias("_key"), F.md5("text_fr").alias("text_fr"),
+        F.coalesce((F.col("cloned_audio_fr.sampling_rate") / 2).cast("bigint"), minus).alias("half_rate"),
+        F.coalesce(F.size(samples).cast("bigint"), minus).alias("n_samples"), F.coalesce(total, F.lit(-1.0)).alias("sample_sum"),
+        F.coalesce(F.size("audio_en.array").cast("bigint"), minus).alias("n_source"), "error",
+    )
 
 
 _PROFILE = SourceProfile(

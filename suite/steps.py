@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from speechset.operators.resume import pending_rows
 from speechset.plans.build_steps import build_in_steps, step_commits, store_utterances
+from speechset.plans.publish_versions import current_version, publish_version, read_published, version_manifest
 from speechset.session import materialize, new_folder
 from speechset.sinks.bucketed import read_bucketed, store_bucketed
 from suite.fixtures import audio, prior, table
@@ -75,3 +76,57 @@ def q_job_build_steps(spark, sf_dir):
     first = runs[0]["run"]
     assert step_commits(spark, f"{home}/split").count() == built.count()
     return built.withColumn("run", F.when(F.col("run") == first, 1).otherwise(2).cast("bigint"))
+
+
+_BUCKETS = 5
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'dev' ELSE 'eval' END AS split, text, lang, "array" IS NOT NULL AS has_audio,
+                          CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % {_BUCKETS} AS bucket, coalesce(toxic, 0) AS toxic
+                   FROM documents LEFT JOIN audio USING (doc_id) LEFT JOIN labels USING (doc_id)),
+             v AS (SELECT 1 AS v, * EXCLUDE (text), text FROM d WHERE split = 'dev'
+                   UNION ALL SELECT 2, * EXCLUDE (text), text FROM d
+                   UNION ALL SELECT 3, * EXCLUDE (text), CASE WHEN toxic = 1 THEN text || '!' ELSE text END FROM d WHERE split = 'dev' AND lang <> 'fr'
+                   UNION ALL SELECT 3, * EXCLUDE (text), text FROM d WHERE split = 'eval'),
+             b AS (SELECT v, split, bucket, list([CAST(doc_id AS VARCHAR), text] ORDER BY doc_id) AS content FROM v GROUP BY v, split, bucket),
+             w AS (SELECT n.v, n.split, count(*) AS n_written FROM b n LEFT JOIN b o ON o.v = n.v - 1 AND o.split = n.split AND o.bucket = n.bucket
+                   WHERE o.content IS DISTINCT FROM n.content GROUP BY n.v, n.split),
+             s AS (SELECT v, split, count(*) AS n_rows, count(*) FILTER (has_audio) AS n_audio, CAST(sum(length(text)) AS BIGINT) AS n_chars,
+                          bit_xor(CAST('0x' || substr(md5(text), 1, 8) AS BIGINT)) AS digest FROM v GROUP BY v, split),
+             r AS (SELECT * FROM (VALUES ('dev', 1), ('all', 2), ('after a failure', 2), ('changed', 3)) AS x(step, v))
+        SELECT step, split, n_rows, n_audio, n_chars, digest, CASE WHEN step = 'after a failure' THEN 0 ELSE coalesce(n_written, 0) END AS n_written
+        FROM r JOIN s USING (v) LEFT JOIN w USING (v, split)""",
+    ("audio",),
+)
+def q_publish_versions(spark, sf_dir):
+    """Four publications, and what a reader sees after each: one split, then the other one, then a publication that fails
+    half way, then the same with other texts and fewer rows. Only buckets that changed are written."""
+    target = new_folder(spark, "published")
+    docs = table(spark, sf_dir, "documents").join(audio(spark, sf_dir), "doc_id", "left").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    docs = docs.withColumn("split", F.when(F.col("doc_id") % 2 == 0, "dev").otherwise("eval"))
+    docs = docs.select("split", F.col("doc_id").alias("_id"), "lang", "toxic", "text", "audio")
+    dev, evaluation = docs.where("split = 'dev'"), docs.where("split = 'eval'")
+    louder = F.when(F.col("toxic") == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    changed = dev.where("lang <> 'fr'").withColumn("text", louder)
+    # The sizes of this one can be counted, but its last rows cannot be written.
+    broken = changed.withColumn("audio", F.when(F.col("_id") > 0, F.raise_error(F.lit("a broken clip")).cast(audio(spark, sf_dir).schema["audio"].dataType)))
+    seen = []
+    for step, dataset in (("dev", dev), ("all", evaluation), ("after a failure", broken), ("changed", changed)):
+        before = current_version(spark, target)
+        try:
+            publish_version(dataset, target, "_id", buckets=_BUCKETS)
+        except Exception as failure:
+            assert step == "after a failure", failure
+        version = current_version(spark, target)
+        written = version_manifest(spark, target, version).where((F.col("v") == version) & F.lit(version != before))
+        written = written.groupBy("split").agg(F.count(F.lit(1)).alias("n_written"))
+        rows = read_published(spark, target)
+        part = F.conv(F.substr(F.md5("text"), F.lit(1), F.lit(8)), 16, 10).cast("bigint")
+        sizes = rows.groupBy("split").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count("audio").alias("n_audio"), F.sum(F.length("text")).alias("n_chars"), F.bit_xor(part).alias("digest")
+        )
+        joined = sizes.join(written, "split", "left").fillna(0, ["n_written"])
+        seen.append(materialize(joined.select(F.lit(step).alias("step"), "split", "n_rows", "n_audio", "n_chars", "digest", "n_written"), "seen"))
+    assert spark.read.json(f"{target}/failures").count() == 1
+    return seen[0].unionByName(seen[1]).unionByName(seen[2]).unionByName(seen[3])
