@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+from pyspark.sql.types import ArrayType, ByteType, DataType, IntegerType, LongType, MapType, ShortType, StructType, VariantType
 
-from speechset.session import new_folder
+from speechset.session import materialize, new_folder
 
 # A piece of consecutive integer keys holds at most this many rows, unless the table is so large that
 # it would need more than MAX_PIECES of them; then pieces grow.
@@ -16,6 +16,30 @@ PIECE_ROWS = 1 << 17
 MAX_PIECES = 50_000
 # Integer keys are called dense while they span at most this many times the row count.
 MAX_SPAN_RATIO = 16
+# A sample of up to this many rows is numbered in one task.
+SMALL_SAMPLE = 10_000
+# Bins that a larger sample's digests are counted in.
+DIGEST_BINS = 1 << 16
+
+
+def quoted(name: str) -> Column:
+    """A column by its whole name, which may hold dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def can_be_hashed(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(can_be_hashed(f.dataType) for f in kind)
+    if isinstance(kind, ArrayType):
+        return can_be_hashed(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType))
+
+
+def content_hash(df: DataFrame, leave: Sequence[str] = ()) -> Column:
+    """A hash of a row's columns; those that Spark cannot hash, such as maps, count by their JSON text."""
+    fields = [f for f in df.schema if f.name not in leave]
+    parts = [quoted(f.name) if can_be_hashed(f.dataType) else F.to_json(F.struct(quoted(f.name).alias("c"))) for f in fields]
+    return F.xxhash64(*(parts or [F.lit(0)]))
 
 
 def dense_positions(
@@ -37,8 +61,8 @@ def dense_positions(
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     groups = list(partition_by)
     if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, (ByteType, ShortType, IntegerType, LongType)):
-        bounds = df.agg(F.min(keys[0]), F.max(keys[0]), F.count(keys[0]), F.count(F.lit(1))).first()
-        low, high, filled, rows = bounds
+        key = quoted(keys[0])
+        low, high, filled, rows = df.agg(F.min(key), F.max(key), F.count(key), F.count(F.lit(1))).first()
         low, high = low or 0, high or 0
         span = high - low + 1
         if span <= MAX_SPAN_RATIO * max(filled, piece_rows):
@@ -50,7 +74,7 @@ def dense_positions(
 def _group(groups: list[str]) -> Column:
     """The group columns as one value that is never null, so that plain equality and the window's
     own partitioning serve the join as well."""
-    return F.struct(*groups) if groups else F.lit(0)
+    return F.struct(*map(quoted, groups)) if groups else F.lit(0)
 
 
 def _shift(numbered: DataFrame, sizes: DataFrame, out: str) -> DataFrame:
@@ -62,19 +86,23 @@ def _shift(numbered: DataFrame, sizes: DataFrame, out: str) -> DataFrame:
     offsets = sizes.select("_group", "_piece", (before - F.col("_first")).alias("_offset"))
     placed = numbered.join(offsets, ["_group", "_piece"])
     position = (F.col("_local") + F.col("_offset")).cast("bigint")
-    keep = [c for c in numbered.columns if c not in ("_group", "_piece", "_local")]
+    keep = [quoted(c) for c in numbered.columns if c not in ("_group", "_piece", "_local", "_row")]
     return placed.select(*keep, position.alias(out))
 
 
 def _by_key_range(
     df: DataFrame, key: str, groups: list[str], out: str, low: int, width: int, null_pieces: int
 ) -> DataFrame:
-    """Rows without a key are dealt over ``null_pieces`` pieces before the first range, by their content."""
-    without = F.pmod(F.xxhash64(*df.columns), F.lit(max(null_pieces, 1))) - max(null_pieces, 1)
-    piece = F.coalesce(F.expr(f"(`{key}` - {low}L) div {width}L"), without)
+    """Rows without a key are dealt over ``null_pieces`` pieces before the first range, by a number that is stored with
+    them, since even equal rows must lie in several pieces and stay there when a task runs again."""
+    without = F.lit(-1).cast("bigint")
+    if null_pieces > 1:
+        df = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        without = F.col("_row") % null_pieces - null_pieces
+    piece = F.coalesce(F.expr(f"(`{key.replace('`', '``')}` - {low}L) div {width}L"), without)
     pieces = df.withColumns({"_group": _group(groups), "_piece": piece})
     sizes = pieces.groupBy("_group", "_piece").agg(F.count(F.lit(1)).alias("_rows"), F.lit(0).alias("_first"))
-    inside = Window.partitionBy("_group", "_piece").orderBy(key)
+    inside = Window.partitionBy("_group", "_piece").orderBy(quoted(key))
     return _shift(pieces.withColumn("_local", F.row_number().over(inside) - 1), sizes, out)
 
 
@@ -87,11 +115,12 @@ def _by_range_partition(
     # As many partitions as the rows need, and never fewer than the session would use.
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // piece_rows))
     path = new_folder(spark, "ordered")
-    ordered = df.repartitionByRange(n, *groups, *keys).sortWithinPartitions(*groups, *keys)
+    order = [quoted(c) for c in (*groups, *keys)]
+    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # The upper 31 bits of this id number the partition, the lower 33 the row inside it.
     ordered.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
     numbered = spark.read.parquet(path).select(
-        *df.columns,
+        *map(quoted, df.columns),
         _group(groups).alias("_group"),
         F.shiftright("_id", 33).alias("_piece"),
         F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_local"),
@@ -136,8 +165,28 @@ def first_per_group(df: DataFrame, n: int, groups: Sequence[str], order_by: str,
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
     """``n`` rows in a shuffled order that depends on the seed and the key alone, with their place in
-    it as ``selected_id``: the same rows on any cluster and partitioning."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    picked = df.withColumn("_digest", digest).orderBy("_digest", key).limit(n)
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_digest", key))  # n rows only
+    it as ``selected_id``: the same rows on any cluster and partitioning. Rows without a key come first."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), quoted(key).cast("string")))
+    placed = df.withColumn("_digest", digest)
+    if n > SMALL_SAMPLE:
+        return large_sample(df, n, key, seed)
+    picked = placed.orderBy("_digest", quoted(key)).limit(n)
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_digest", quoted(key)))  # n rows only
     return picked.withColumn("selected_id", (place - 1).cast("bigint")).drop("_digest")
+
+
+def large_sample(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
+    """``seeded_sample`` for any ``n``: the digests are counted in bins. Rows of the bins before the one that ``n`` falls into are
+    in, rows of that one are put in order, and all are numbered in pieces, so no task holds more than a piece of the sample."""
+    placed = df.withColumn("_digest", F.md5(F.concat(F.lit(f"{seed}:"), quoted(key).cast("string"))))
+    bin_of = F.coalesce(F.conv(F.substr("_digest", F.lit(1), F.lit(4)), 16, 10).cast("int"), F.lit(-1))
+    binned = placed.withColumn("_bin", bin_of)
+    counts = binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_rows"))  # at most DIGEST_BINS + 1
+    so_far = F.sum("_rows").over(Window.partitionBy(F.lit(0)).orderBy("_bin"))
+    edge = counts.withColumn("_to", so_far).where(F.col("_to") >= n).orderBy("_bin").select("_bin", (F.col("_to") - F.col("_rows")).alias("_before")).first()
+    if edge is None:
+        picked = binned
+    else:
+        rest = binned.where(F.col("_bin") == edge["_bin"]).orderBy("_digest", quoted(key)).limit(n - edge["_before"])
+        picked = binned.where(F.col("_bin") < edge["_bin"]).unionByName(rest)
+    return dense_positions(picked.drop("_bin"), ["_digest", key], out="selected_id").drop("_digest")

@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from speechset.operators.positions import content_hash
 from speechset.session import small_table
 
 log = logging.getLogger(__name__)
@@ -26,7 +27,7 @@ def read_batches(spark: SparkSession, output: str) -> DataFrame | None:
 
 def first_of_keys(df: DataFrame, key: str) -> DataFrame:
     """One row per key, chosen by a digest of its content; all rows whose key is null."""
-    content = F.xxhash64(*[c for c in df.columns if c != key])
+    content = content_hash(df, [key])
     rank = F.row_number().over(Window.partitionBy(key, F.when(F.col(key).isNull(), content)).orderBy(content))
     return df.withColumn("_rank", rank).where((F.col("_rank") == 1) | F.col(key).isNull()).drop("_rank")
 

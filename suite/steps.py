@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from speechset.operators.balance import deal_by_cost
+from speechset.operators.jobs import synthesize
+from speechset.operators.positions import large_sample
 from speechset.operators.resume import pending_rows
 from speechset.plans.build_steps import build_in_steps, step_commits, store_utterances
 from speechset.plans.publish_versions import current_version, publish_version, read_published, version_manifest
@@ -130,3 +133,34 @@ def q_publish_versions(spark, sf_dir):
         seen.append(materialize(joined.select(F.lit(step).alias("step"), "split", "n_rows", "n_audio", "n_chars", "digest", "n_written"), "seen"))
     assert spark.read.json(f"{target}/failures").count() == 1
     return seen[0].unionByName(seen[1]).unionByName(seen[2]).unionByName(seen[3])
+
+
+@query(
+    """SELECT doc_id, CASE WHEN sampling_rate = 24000 THEN CAST(length(text) AS BIGINT) ELSE -1 END AS n_samples,
+              CASE WHEN sampling_rate = 24000 THEN '' ELSE 'ValueError: unsupported rate 16000' END AS error, true AS even
+       FROM documents JOIN audio USING (doc_id)""",
+    ("audio",),
+)
+def q_job_balanced(spark, sf_dir):
+    """A user function on every row, with the work dealt by length of text: no task has a fifth more than another."""
+    tasks = 4
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    clips = audio(spark, sf_dir).select("doc_id", F.col("audio.array").alias("samples"), F.col("audio.sampling_rate").alias("rate"))
+    dealt = deal_by_cost(docs.join(clips, "doc_id"), F.length("text"), tasks, "doc_id")
+    made = synthesize(dealt.withColumn("task", F.spark_partition_id()), open_length_model, ["text", "samples", "rate"], drop=["samples", "rate"])
+    made = materialize(made.withColumn("n_chars", F.length("text")).drop("text"), "made")
+    load = made.groupBy("task").agg(F.sum("n_chars").alias("cost")).agg(F.count(F.lit(1)), F.min("cost"), F.max("cost")).first()
+    n = F.when(F.col("out_array").isNotNull(), F.size("out_array")).otherwise(-1).cast("bigint")
+    even = F.lit(load[0] == tasks and load[2] <= 1.2 * load[1])
+    return made.select("doc_id", n.alias("n_samples"), F.substring_index(F.rtrim("error", F.lit("\n")), "\n", -1).alias("error"), even.alias("even"))
+
+
+@query(
+    """WITH n AS (SELECT count(*) // 2 AS half FROM documents)
+       SELECT doc_id, selected_id FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('5:' || doc_id), doc_id) - 1 AS selected_id FROM documents), n
+       WHERE selected_id < half""",
+)
+def q_seeded_share(spark, sf_dir):
+    """Half of all documents, as a sample of any size is drawn: by a digest bound, and numbered in pieces."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return large_sample(docs, docs.count() // 2, "doc_id", seed=5)
