@@ -22,7 +22,7 @@ from speechset.operators.validity import mark_errors
 from speechset.session import materialize, new_folder, small_table
 from speechset.sinks.audio_files import require_written, write_audio_files
 from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
-from speechset.sources.files import list_files
+from speechset.sources.files import list_files, present_files
 from speechset.sources.metadata import read_prior_metadata
 
 SOURCE_FOLDER = "original_audio_en"
@@ -144,18 +144,21 @@ def last_records(spark: SparkSession, folder: str) -> DataFrame | None:
 
 
 def existing_clips(spark: SparkSession, folder: str, single_files: bool = False) -> DataFrame:
-    """Paths of the cloned clips that exist in ``folder``: as files, or in the tables of its runs."""
-    paths = None
-    if single_files:
+    """Paths of the cloned clips that exist in ``folder``: in the tables of its runs, and with ``single_files`` as files too. Each
+    path is asked for; no folder is listed, unless there are files without any run."""
+    clips = stored_clips(spark, folder)
+    paths = clips.where("cloned_audio_fr <> ''").select("cloned_audio_fr") if clips is not None else None
+    if single_files and paths is not None:
+        found = present_files(paths.select(F.col("cloned_audio_fr").alias("path")).distinct(), folder)
+        # Stored: what exists now is asked for once, before new files are written.
+        paths = materialize(found.select(F.col("path").alias("cloned_audio_fr")), "present")
+    elif single_files:
         try:
             found = list_files(spark, folder, "*.wav", [CLONED_FOLDER])
             paths = found.select(F.col("path").alias("cloned_audio_fr"))
         except PySparkException as failure:
             if failure.getCondition() != "PATH_NOT_FOUND":
                 raise
-    else:
-        clips = stored_clips(spark, folder)
-        paths = clips.where("cloned_audio_fr <> ''").select("cloned_audio_fr") if clips is not None else None
     return paths if paths is not None else small_table(spark, [], "cloned_audio_fr string")
 
 

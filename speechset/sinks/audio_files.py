@@ -26,15 +26,30 @@ def open_filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
 
 
+# Stores where a file appears whole when its stream is closed, in place of an older one.
+WHOLE_ON_CLOSE = ("s3", "gcs", "abfs")
+
+
 def put_file(store: pafs.FileSystem, path: str, content: bytes) -> None:
-    """Write under a name of its own, then move into place: a retried or doubled task leaves one
-    whole file, with the same bytes."""
+    """Put a whole file in place: a retried or doubled task leaves the same bytes, and readers never see a part of them.
+
+    Object stores show a file when it is complete. Elsewhere it is written under a name of its own and moved; a store that does
+    not move over a file keeps one that has the size of the new one, so that a doubled task takes nothing away."""
+    if store.type_name in WHOLE_ON_CLOSE:
+        with store.open_output_stream(path) as out:
+            out.write(content)
+        return
     store.create_dir(posixpath.dirname(path), recursive=True)
     part = f"{path}.{uuid.uuid4().hex}.part"
     with store.open_output_stream(part) as out:
         out.write(content)
-    if store.type_name != "local" and store.get_file_info(path).type != pafs.FileType.NotFound:
-        store.delete_file(path)
+    if store.type_name != "local":
+        old = store.get_file_info(path)
+        if old.type != pafs.FileType.NotFound and old.size == len(content):
+            store.delete_file(part)
+            return
+        if old.type != pafs.FileType.NotFound:
+            store.delete_file(path)
     store.move(part, path)
 
 

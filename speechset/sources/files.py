@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow.fs import FileType
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,28 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*", paths: Sequen
     return found.select(relative_to(F.col("path"), root).alias("path"), "length")
 
 
+def _present(home: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    from speechset.sinks.audio_files import open_filesystem
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = open_filesystem(home)
+        for batch in batches:
+            paths = [p for p in batch.column("path").to_pylist() if p]
+            facts = store.get_file_info([f"{base}/{p}" for p in paths]) if paths else []
+            here = [(p, f.size) for p, f in zip(paths, facts) if f.type == FileType.File]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p for p, _ in here], pa.string()), pa.array([n for _, n in here], pa.int64())], names=["path", "length"]
+            )
+
+    return run
+
+
+def present_files(paths: DataFrame, root: str) -> DataFrame:
+    """``path, length`` of those ``path`` values whose file below ``root`` exists. Each is asked for by the task that holds it, so
+    no folder is listed, and the driver sees none of them."""
+    return paths.select("path").mapInArrow(_present(qualified(root)), "path string, length bigint")
+
+
 def read_audio_files(spark: SparkSession, root: str, pattern: str = "*.wav") -> DataFrame:
     """``path, audio, channels, error`` of the audio files below ``root``."""
     found = (

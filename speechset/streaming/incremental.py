@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from speechset.operators.positions import content_hash
-from speechset.session import small_table
+from speechset.session import file_system, small_table
+from speechset.streaming.history import finished_before, remember, remembered
 
 log = logging.getLogger(__name__)
 
@@ -46,6 +47,8 @@ def build_arrivals(
 ) -> None:
     """Process all files in ``arrivals`` that no earlier run has, in batches, then stop.
 
+    What is finished is kept by key in ``<output>_index``, with filters by which a batch reads only the keys of
+    batches that some of its own rows were in (``streaming.history``); batches that it lacks are added to it.
     A batch builds the rows whose key is not finished yet, and replaces the folder of its own batch
     id: a batch that is run again after a failure leaves its rows once. ``done`` is the condition for
     a finished row (all rows if None), so failed rows are tried again when they arrive again.
@@ -53,18 +56,18 @@ def build_arrivals(
     a row in ``<output>_publish_log``.
     """
 
+    index = f"{output}_index"
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         # Of rows that repeat a key the smallest counts, whatever the order of arrival; rows without a
         # key are all kept.
         todo = first_of_keys(batch, key)
-        built = read_batches(session, output)
-        if built is not None:
-            finished = built.where(F.col("batch_id") != batch_id)
-            if done is not None:
-                finished = finished.where(done)
-            todo = todo.join(finished.select(key), key, "left_anti")
+        _remember_missing(session, output, index, key, done, batch_id)
+        finished = finished_before(todo.select(F.col(key).alias("key")), index, batch_id)
+        todo = todo.join(finished, todo[key].cast("string") == finished["key"], "left_anti")
         build(todo).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        _remember(session, output, index, key, done, batch_id)
         if publish is not None:
             report = "published"
             try:
@@ -85,6 +88,27 @@ def build_arrivals(
     query.awaitTermination()
 
 
+def _remember(spark: SparkSession, output: str, index: str, key: str, done: str | None, batch_id: int) -> None:
+    built = spark.read.parquet(f"{output}/batch_id={batch_id}")
+    finished = built.where(done) if done is not None else built
+    remember(finished.select(F.col(key).alias("key")), index, batch_id)
+
+
+def _remember_missing(spark: SparkSession, output: str, index: str, key: str, done: str | None, batch_id: int) -> None:
+    """Batches that were committed without an entry: a run that stopped between the two, or an older version's."""
+    store, place = file_system(output)
+    if not store.exists(place):
+        return
+    names = [status.getPath().getName() for status in store.listStatus(place)]  # one entry a batch
+    there = {int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")}
+    for missing in sorted(there - remembered(spark, index) - {batch_id}):
+        try:
+            _remember(spark, output, index, key, done, missing)
+        except PySparkException as failure:
+            if failure.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # a batch that was never committed
+                raise
+
+
 def compact(spark: SparkSession, output: str, target: str, key: str = "_key", done: str | None = None) -> DataFrame:
     """The final table: one row per key. A finished row beats a failed one, then the latest batch wins.
 

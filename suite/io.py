@@ -8,6 +8,7 @@ from speechset.operators.shape import SourceProfile, union_splits
 from speechset.plans.publish import publish_dataset
 from speechset.session import new_folder
 from speechset.sinks.audio_files import require_written, write_audio_files
+from speechset.sinks.file_manifest import check_files, hashed_path, write_with_manifest, written_files
 from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
 from speechset.sinks.publish import dataset_manifest, write_dataset
 from speechset.sources.audio_blocks import read_audio_blocks, read_audio_headers
@@ -193,6 +194,39 @@ def q_file_listing(spark, sf_dir):
     return list_files(spark, _write_clips(spark, sf_dir), "*.wav")
 
 
+@query(
+    """WITH c AS (SELECT substr(md5('clip_' || doc_id || '.wav'), 1, 2) || '/clip_' || doc_id || '.wav' AS path, doc_id,
+                         CAST(len("array") AS BIGINT) AS n_samples, sampling_rate FROM audio)
+       SELECT path, CAST(44 + 2 * n_samples AS BIGINT) AS n_bytes, n_samples, sampling_rate, '' AS problem FROM c WHERE sampling_rate = 24000
+       UNION ALL SELECT path, -1, -1, -1, CASE WHEN doc_id % 2 = 0 THEN 'unlisted' ELSE 'missing' END FROM c WHERE sampling_rate = 16000
+       UNION ALL SELECT path, 44 + 2 * n_samples, n_samples, sampling_rate, 'size' FROM c WHERE sampling_rate = 24000 AND doc_id % 2 = 1""",
+    ("audio",),
+)
+def q_file_manifest(spark, sf_dir):
+    """The manifest of written clips in hash folders, and what differs from the folder: some files are written past the
+    manifest, some of its files are not there, and some were replaced by others of another length."""
+    folder = new_folder(spark, "files")
+    clips = audio(spark, sf_dir).withColumn("path", hashed_path(F.format_string("clip_%d.wav", "doc_id"), 2))
+    high, odd = F.col("audio.sampling_rate") == 24000, F.col("doc_id") % 2 == 1
+    write_with_manifest(clips.where(high & odd), folder)
+    write_with_manifest(clips.where(high), folder)  # half of them again
+    require_written(write_audio_files(clips.where(~high & ~odd), folder))
+    short = F.struct(F.slice("audio.array", 1, 1).alias("array"), F.col("audio.sampling_rate").alias("sampling_rate"))
+    require_written(write_audio_files(clips.where(high & odd).withColumn("audio", short), folder))
+    elsewhere = new_folder(spark, "elsewhere")
+    lost = write_with_manifest(clips.where(~high & odd), elsewhere)
+    lost.write.parquet(f"{folder}/_manifest/batch=3")
+    nothing = F.lit(-1).cast("bigint")
+    problems = check_files(spark, folder)
+    known = written_files(spark, folder).join(problems.where("problem = 'missing'").select("path"), "path", "left_anti")
+    return known.withColumn("problem", F.lit("")).unionByName(
+        problems.join(written_files(spark, folder), "path", "left").select(
+            "path", *[F.when(F.col("problem") == "size", F.col(c)).otherwise(nothing).alias(c) for c in ("n_bytes", "n_samples")],
+            F.when(F.col("problem") == "size", F.col("sampling_rate")).otherwise(-1).alias("sampling_rate"), "problem",
+        )
+    )
+
+
 _RANKS = ", ".join(f"('{name}', {rank})" for rank, name in enumerate(METADATA_CANDIDATES))
 
 

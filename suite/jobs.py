@@ -15,6 +15,7 @@ from speechset.plans.multilingual import multilingual_clips
 from speechset.plans.sampled_test_set import sampled_test_set
 from speechset.plans.voice_grid import speaker_language_grid
 from speechset.session import bounded_list, materialize, new_folder, small_table
+from speechset.streaming.history import look_up, remember
 from speechset.streaming.incremental import build_arrivals, compact
 from suite.fixtures import ALL_LANGS, TARGET_LANGS, audio, prior, table, utt
 from suite.models import open_length_model, open_peak_encoder, open_prompt_model, open_quarter_model, open_text_model
@@ -319,3 +320,25 @@ def q_incremental(spark, sf_dir):
         sizes = df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(key).alias("n_keys"))
         report = report.unionByName(sizes.select(F.lit(step).alias("step"), "n_rows", "n_keys"))
     return report
+
+
+@query(
+    """WITH d AS (SELECT doc_id % 4 AS batch, doc_id FROM documents UNION ALL SELECT 3, doc_id FROM documents WHERE doc_id % 4 = 1 AND lang = 'de')
+       SELECT batch, count(*) AS n_arrived, count(*) FILTER (doc_id % 4 = batch) AS n_built,
+              CASE WHEN batch = 3 THEN (SELECT count(*) FROM documents WHERE doc_id % 4 = 1) ELSE 0 END AS keys_read FROM d GROUP BY batch""",
+)
+def q_incremental_pruned(spark, sf_dir):
+    """Four batches, the last with some rows of the second again: what arrives, what is built, and how many keys of the history
+    are read for it. New rows read none, however many batches there were."""
+    index = new_folder(spark, "history")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), "lang")
+    report = []
+    for batch in range(4):
+        rows = docs.where(F.col("key") % 4 == batch)
+        if batch == 3:
+            rows = rows.unionByName(docs.where((F.col("key") % 4 == 1) & (F.col("lang") == "de")))
+        finished, read = look_up(rows.select("key"), index, batch)
+        todo = materialize(rows.select("key").join(finished, rows["key"].cast("string") == finished["key"], "left_anti"), "todo")
+        report.append((batch, rows.count(), todo.count(), read.count()))
+        remember(todo, index, batch)
+    return small_table(spark, report, "batch bigint, n_arrived bigint, n_built bigint, keys_read bigint")
