@@ -26,6 +26,16 @@ def in_both(requested: Column, available: Column) -> Column:
     return F.sort_array(F.array_intersect(requested, available))
 
 
+def not_in(requested: DataFrame, available: DataFrame, column: str) -> DataFrame:
+    """The distinct requested values that are not available, however many there are on either side."""
+    return requested.select(column).distinct().join(available.select(column), column, "left_anti")
+
+
+def also_in(requested: DataFrame, available: DataFrame, column: str) -> DataFrame:
+    """The distinct requested values that are available."""
+    return requested.select(column).distinct().join(available.select(column), column, "left_semi")
+
+
 def require_known(requested: Sequence[str], available: Sequence[str], what: str = "languages") -> None:
     """Stop a job before it starts if it asks for something that does not exist."""
     unknown = [r for r in requested if r not in set(available)]

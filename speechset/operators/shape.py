@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 from speechset.constants import AUDIO_NAME_PARTS, CLIP_COLUMNS
 from speechset.functions.text import blank_to_null, column_or, first_existing, text_or_blank
 from speechset.functions.naming import under
+from speechset.session import qualified
 
 
 @dataclass(frozen=True)
@@ -129,7 +130,9 @@ def audio_path_columns(df: DataFrame) -> list[str]:
 
 def publishable(df: DataFrame, folder: str) -> DataFrame:
     """Metadata in the form it is published: no internal columns, everything but audio paths as text
-    with blanks for nulls, audio paths absolute or null."""
+    with blanks for nulls, audio paths absolute or null. A relative ``folder`` is below the session's working folder."""
+    if "://" not in folder and not folder.startswith("/"):
+        folder = qualified(folder).removeprefix("file:")
     paths = set(audio_path_columns(df))
     columns = []
     for name in df.columns:

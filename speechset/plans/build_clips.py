@@ -19,6 +19,7 @@ from speechset.operators.reports import run_summary
 from speechset.operators.resume import completed_rows, pending_rows, wanted_rows
 from speechset.operators.shape import clip_record
 from speechset.operators.validity import mark_errors
+from speechset.plans.stored_job import keep_warnings
 from speechset.session import materialize, new_folder, small_table
 from speechset.sinks.audio_files import require_written, write_audio_files
 from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
@@ -182,7 +183,10 @@ def build_split(
     if stored is not None:
         prior, order = stored.drop("clip"), "run"
     else:
-        prior, order = read_prior_metadata(spark, f"{folder}/metadata.csv", CLIP_COLUMNS), None
+        messages: list[str] = []
+        prior, order = read_prior_metadata(spark, f"{folder}/metadata.csv", CLIP_COLUMNS, messages.append), None
+        if messages:
+            keep_warnings(spark, folder, "resume", messages)
     built = build_clips(utterances, open_model, prior, files, folder, single_files, order, tasks)
     # Stored with the split, newest last: what the last build's input has, whatever older runs left.
     build = f"{folder}/records/build=r{time.time_ns():020d}-{uuid.uuid4().hex}"

@@ -31,14 +31,14 @@ def load_published_form(spark: SparkSession, folder: str) -> DataFrame:
     return union_splits(splits)
 
 
-def publish_dataset(spark: SparkSession, folder: str, target: str, embed: bool = False) -> DataFrame:
+def publish_dataset(spark: SparkSession, folder: str, target: str, embed: bool = False, rate: int | None = None) -> DataFrame:
     """Write the dataset to ``target/data`` and its manifest to ``target/manifest``; returns the
-    manifest. With ``embed`` the audio files are read into the dataset."""
+    manifest. With ``embed`` the audio files are read into the dataset, in columns that declare ``rate``."""
     dataset = load_published_form(spark, folder)
     paths = audio_path_columns(dataset)
     if embed:
         for column in paths:
-            dataset = embed_audio(dataset, column)
+            dataset = declare_audio(embed_audio(dataset, column), column, rate)
     write_dataset(dataset, f"{target}/data", rebalance=not embed)
     written = spark.read.parquet(f"{target}/data")
     manifest = dataset_manifest(written, paths=paths)

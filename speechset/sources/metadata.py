@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,9 +41,12 @@ def read_typed_csv(spark: SparkSession, path: str, schema: str | None = None) ->
     return reader.csv(path)
 
 
-def read_prior_metadata(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_prior_metadata(
+    spark: SparkSession, path: str, columns: list[str], warn: Callable[[str], None] | None = None
+) -> DataFrame:
     """Metadata of an earlier run; an empty table and a warning if there is none or its header lacks the
-    needed columns. Any other fault (permission, network) is the caller's to see."""
+    needed columns. Any other fault (permission, network) is the caller's to see. ``warn`` is called with the
+    warning where there is something, but not an earlier run; it is logged in any case."""
     try:
         found = spark.read.options(**CSV_OPTIONS).csv(path)
         if not {"_key", "cloned_audio_fr"} <= set(found.columns):
@@ -52,7 +56,10 @@ def read_prior_metadata(spark: SparkSession, path: str, columns: list[str]) -> D
         absent = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
         if isinstance(failure, PySparkException) and failure.getCondition() not in absent:
             raise
-        log.warning("no usable earlier run at %s (%s); starting fresh", path, str(failure).splitlines()[0])
+        message = f"no usable earlier run at {path} ({str(failure).splitlines()[0]}); starting fresh"
+        log.warning("%s", message)
+        if warn is not None and not (isinstance(failure, PySparkException) and failure.getCondition() == "PATH_NOT_FOUND"):
+            warn(message)
         return small_table(spark, [], ", ".join(f"`{c}` string" for c in columns))
 
 

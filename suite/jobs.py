@@ -12,8 +12,8 @@ from speechset.operators.reports import run_summary
 from speechset.plans.build_clips import build_clips, build_split, stored_clips
 from speechset.plans.publish import publish_built
 from speechset.plans.multilingual import multilingual_clips
-from speechset.plans.sampled_test_set import sampled_test_set
-from speechset.plans.voice_grid import speaker_language_grid
+from speechset.plans.sampled_test_set import build_test_set, sampled_test_set
+from speechset.plans.voice_grid import build_grid, speaker_language_grid
 from speechset.session import bounded_list, materialize, new_folder, small_table
 from speechset.streaming.history import look_up, remember
 from speechset.streaming.incremental import build_arrivals, compact
@@ -342,3 +342,87 @@ def q_incremental_pruned(spark, sf_dir):
         report.append((batch, rows.count(), todo.count(), read.count()))
         remember(todo, index, batch)
     return small_table(spark, report, "batch bigint, n_arrived bigint, n_built bigint, keys_read bigint")
+
+
+def open_no_model():
+    """Refuses every call: a job that has its results asks nothing."""
+
+    def refuse(*args):
+        raise RuntimeError("a model was called")
+
+    return refuse
+
+
+@query(
+    """WITH picked AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || doc_id), doc_id) - 1 AS selected_id FROM documents),
+            made AS (SELECT *, lang = 'fr' AS fr FROM picked WHERE selected_id < 100)
+       SELECT 'test set' AS job, CAST(selected_id AS VARCHAR) AS name, 'clip_' || doc_id || '.wav' AS source,
+              CASE WHEN fr THEN printf('cloned_audio_fr_test/cloned_%05d_fr.wav', selected_id) ELSE '' END AS path,
+              CASE WHEN fr THEN CAST(length(text) AS BIGINT) ELSE 0 END AS n_samples, '' AS error FROM made
+       UNION ALL
+       SELECT 'grid', r_name || ' ' || lang || ' ' || sample_index, '', printf('audio/%s/%s_%s_%05d.wav', lang, lower(r_name), lang, sample_index),
+              CAST(length(text) AS BIGINT), ''
+       FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS sample_index, text FROM documents QUALIFY sample_index < 10)
+       CROSS JOIN region
+       UNION ALL SELECT 'warning', 'no texts available for language vi', '', '', 0, ''""",
+)
+def q_job_stored(spark, sf_dir):
+    """The sampled test set and the grid, stored; both are asked for again with a model that refuses every call, and come from
+    their folders. A language without sentences is a warning."""
+    home, docs = new_folder(spark, "stored"), table(spark, sf_dir, "documents")
+    texts = {f"text_{lang}": F.when(F.col("lang") == lang, F.col("text")) for lang in ("en", "fr")}
+    audio_from = F.struct(F.concat(F.lit("clip_"), "doc_id", F.lit(".wav")).alias("path"))
+    rows = docs.withColumns({**texts, "original_index": F.col("doc_id").cast("string"), "audio": audio_from}).drop("text")
+    catalogue = docs.select("lang", F.col("doc_id").alias("sample_index"), "text")
+    voices = bounded_list(table(spark, sf_dir, "region"), "r_name")
+    for model in (open_text_model, open_no_model):
+        sample = build_test_set(rows, model, f"{home}/sample", key="doc_id")
+        grid = build_grid(catalogue, [*ALL_LANGS, "vi"], model, f"{home}/grid", voices, known_voices=voices)
+    read = spark.read.json(f"{home}/sample/metadata_fr_test.json")
+    sizes = sample.select("selected_id", F.coalesce(F.size("clip.array"), F.lit(0)).cast("bigint").alias("n_samples"))
+    first = read.join(sizes, "selected_id").select(
+        F.lit("test set").alias("job"), F.col("selected_id").cast("string").alias("name"), F.col("source_audio_path").alias("source"),
+        F.col("cloned_voice_fr").alias("path"), "n_samples", "error",
+    )
+    name = F.concat_ws(" ", "speaker", "language", "sample_index")
+    second = grid.select(
+        F.lit("grid").alias("job"), name.alias("name"), F.lit("").alias("source"), F.col("audio_path").alias("path"),
+        F.size("clip.array").cast("bigint").alias("n_samples"), "error",
+    )
+    warned = spark.read.json(f"{home}/grid/warnings/grid").select(
+        F.lit("warning").alias("job"), F.col("message").alias("name"), F.lit("").alias("source"), F.lit("").alias("path"),
+        F.lit(0).cast("bigint").alias("n_samples"), F.lit("").alias("error"),
+    )
+    return first.unionByName(second).unionByName(warned)
+
+
+# Prompts over so many characters are guarded in the query below.
+_GUARD = 5000
+
+
+@query(
+    f"""WITH {_CLONED}
+    SELECT pos, target AS lang, made AND 2 * length(text) + mark_chars + 66 > {_GUARD} AS trimmed, made AS ok,
+           CASE WHEN made THEN CAST(2 * length(text) + mark_chars + 66 AS BIGINT) ELSE -1 END AS n_samples,
+           CASE WHEN encoding = 'missing or empty source audio' OR error = '' THEN error ELSE 'tried again' END AS error
+    FROM results""",
+    ("audio", "codes"),
+)
+def q_job_multilingual_again(spark, sf_dir):
+    """The multilingual job with its folder and the prompt guard, asked for twice: the second time the encoder and the model
+    refuse every call, and only what failed is tried again. Long prompts are marked; the clips here are shorter than the three
+    seconds that a guarded reference keeps."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.col("text").alias("body"))
+    texts = {f"text_{lang}": F.when(F.col("lang") == lang, F.col("body")) for lang in TARGET_LANGS}
+    clips = audio(spark, sf_dir).select("doc_id", F.col("audio").cast(AUDIO_TYPE).alias("clip"))
+    stored = materialize(dense_positions(docs, "doc_id"), "numbered")
+    numbered = materialize(stored.withColumns(texts).join(clips, "doc_id", "left"), "rows")
+    home = new_folder(spark, "multilingual")
+    for encoder, model in ((open_peak_encoder, open_prompt_model), (open_no_model, open_no_model)):
+        job = multilingual_clips(
+            numbered, _PROFILE, TARGET_LANGS, encoder, model, folder=home, shared=["en", "de", "fr"], count_tokens=F.length, token_limit=_GUARD
+        )
+    assert spark.read.json(f"{home}/warnings/multilingual").count() == 1
+    n = F.when(F.col("clip").isNotNull(), F.size("clip.array")).otherwise(-1).cast("bigint")
+    error = F.when(F.col("error").contains("a model was called"), F.lit("tried again")).otherwise(_last_line(F.col("error")))
+    return job.clips.select("pos", "lang", "trimmed", (F.col("path") != "").alias("ok"), n.alias("n_samples"), error.alias("error"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from speechset.constants import LANGUAGE_NAMES, SHARED_LANGUAGES
 from speechset.functions.text import blank_to_null, split_list
 from speechset.operators.languages import (
+    also_in,
     collapse_languages,
     expand_languages,
     first_sentences,
@@ -12,6 +13,7 @@ from speechset.operators.languages import (
     language_coverage,
     literal_list,
     missing_from,
+    not_in,
     voice_grid,
 )
 from speechset.operators.positions import dense_positions
@@ -22,32 +24,36 @@ from suite.registry import query
 
 
 @query(
-    """WITH langs AS (SELECT list(DISTINCT lang) AS have FROM documents),
-            voices AS (SELECT list(DISTINCT r_name) AS have FROM region)
-       SELECT 'languages' AS what, 'it,xx' AS missing, 'de,fr' AS available, 'it,xx' AS not_shared FROM langs
-       WHERE NOT list_contains(have, 'xx') AND NOT list_contains(have, 'it') AND list_has_all(have, ['de', 'fr'])
-       UNION ALL
-       SELECT 'voices', array_to_string(list_sort(list_filter(['ASIA', 'NOBODY'], lambda v: NOT list_contains(have, v))), ','),
-              array_to_string(list_sort(list_intersect(['ASIA', 'NOBODY'], have)), ','), '' FROM voices""",
+    f"""WITH asked AS (SELECT DISTINCT lang FROM documents JOIN labels USING (doc_id) WHERE toxic = 1
+                       UNION SELECT role FROM conversations),
+             shared AS (SELECT * FROM (VALUES {', '.join(f"('{lang}')" for lang in SHARED_LANGUAGES)}) AS v(lang)),
+             spoken AS (SELECT DISTINCT lang FROM documents)
+       SELECT 'languages' AS what, lang AS name, lang IN (SELECT lang FROM spoken) AS available, lang IN (SELECT lang FROM shared) AS shared FROM asked
+       UNION ALL SELECT 'voices', n_name, n_name IN (SELECT c_name FROM customer), false FROM nation
+       UNION ALL SELECT 'sources', source, source IN (SELECT source FROM documents WHERE lang = 'fr'), false
+                 FROM (SELECT DISTINCT source FROM documents WHERE lang = 'de')""",
 )
 def q_lang_validate(spark, sf_dir):
-    """Requested names that do not exist in the data, those that do, and those the model does not share."""
-    docs, regions = table(spark, sf_dir, "documents"), table(spark, sf_dir, "region")
-    langs = docs.agg(F.collect_set("lang").alias("have"))
-    wanted = split_list(F.lit("fr, xx ,de,it"))
-    voices = regions.agg(F.collect_set("r_name").alias("have"))
-    names = split_list(F.lit("ASIA, NOBODY"))
-
-    def report(df, what, requested, not_shared):
-        return df.select(
-            F.lit(what).alias("what"),
-            F.array_join(missing_from(requested, F.col("have")), ",").alias("missing"),
-            F.array_join(in_both(requested, F.col("have")), ",").alias("available"),
-            not_shared.alias("not_shared"),
-        )
-
-    shared = F.array_join(missing_from(wanted, literal_list(SHARED_LANGUAGES)), ",")
-    return report(langs, "languages", wanted, shared).unionByName(report(voices, "voices", names, F.lit("")))
+    """Requested names, whether the data has them, and whether the model shares them: languages of toxic documents and the
+    roles of conversations, nations as voices, sources of German documents among those of French ones."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    roles = table(spark, sf_dir, "conversations").select(F.col("role").alias("lang"))
+    asked = docs.join(labels.where("toxic = 1"), "doc_id").select("lang").unionByName(roles)
+    nations = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"))
+
+    def report(what, requested, available, column):
+        there = also_in(requested, available, column).withColumn("available", F.lit(True))
+        gone = not_in(requested, available, column).withColumn("available", F.lit(False))
+        return there.unionByName(gone).select(F.lit(what).alias("what"), F.col(column).alias("name"), "available")
+
+    shared = F.array_contains(in_both(F.array("name"), literal_list(SHARED_LANGUAGES)), F.col("name"))
+    not_shared = F.size(missing_from(F.array("name"), literal_list(SHARED_LANGUAGES))) > 0
+    languages = report("languages", asked, docs, "lang").withColumn("shared", shared & ~not_shared)
+    others = report("voices", nations, customers, "name").unionByName(
+        report("sources", docs.where("lang = 'de'"), docs.where("lang = 'fr'"), "source")
+    )
+    return languages.unionByName(others.withColumn("shared", F.lit(False)))
 
 
 _EXPANDED = " UNION ALL ".join(
@@ -127,3 +133,12 @@ def q_grid(spark, sf_dir):
     sentences = first_sentences(docs, ALL_LANGS, 10, "doc_id")
     grid = voice_grid(sentences, voices, LANGUAGE_NAMES)
     return grid.select("speaker", "lang", "language_name", "sample_index", "doc_id", "file_name", "audio_path")
+
+
+@query(
+    """SELECT lang, unnest(list_transform(string_split(lang || ', ' || source || ' ,' || doc_id, ','), lambda x: trim(x))) AS part FROM documents""",
+)
+def q_split_list(spark, sf_dir):
+    """Comma lists taken apart, without the white space around each part."""
+    lists = F.concat("lang", F.lit(", "), "source", F.lit(" ,"), F.col("doc_id").cast("string"))
+    return table(spark, sf_dir, "documents").select("lang", F.explode(split_list(lists)).alias("part"))

@@ -216,6 +216,18 @@ def q_speaker_overlaps_bucketed(spark, sf_dir):
     return found.select("doc_id", "speaker_id", "speaker_name")
 
 
+@query(
+    """SELECT source AS speaker_id, n, map_order FROM (SELECT source, count(*) AS n, min(doc_id) AS map_order FROM documents GROUP BY source)
+       ORDER BY n, map_order LIMIT 3""",
+)
+def q_bottom_speakers_map_order(spark, sf_dir):
+    """The smallest speakers, of equal ones those that come first in the map: sources in order of their first document."""
+    sizes = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("speaker_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("map_order")
+    )
+    return smallest_speakers(sizes, 3, tie_break="map_order")
+
+
 @query(
     """WITH r AS (SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'dev' ELSE 'eval' END AS split, l_orderkey AS lo,
                          l_orderkey + 100 * l_suppkey + 1000 * l_linenumber AS hi, CAST(l_suppkey AS INTEGER) AS num,
