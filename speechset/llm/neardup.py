@@ -25,12 +25,13 @@ texts (that with the smallest hash) stands for all. A row without an id is linke
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -102,12 +103,14 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, _SIGNATURE)
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """Estimate from two odd sketches; null (too different to tell) counts as 0."""
-    bits = 64 * SKETCH_WORDS
+# The most ones in the exclusive or of two sketches whose estimate is at least SURE_BELOW: the estimate falls as they grow.
+MOST_ONES = int(32 * SKETCH_WORDS * (1 - math.exp(4 * HASHES * (SURE_BELOW - 1) / (64 * SKETCH_WORDS))))
+
+
+def may_be_alike(a: Column, b: Column) -> Column:
+    """Whether the estimate from two odd sketches reaches ``SURE_BELOW``."""
     ones = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-    rest = 1 - 2 * ones / F.lit(float(bits))
-    return F.when(rest > 0, 1 + F.log(rest) * (bits / (4.0 * HASHES))).otherwise(F.lit(0.0))
+    return ones <= MOST_ONES
 
 
 def sizes_allow(a: Column, b: Column) -> Column:
@@ -213,7 +216,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             pairs = pairs.join(tested, ["leader", "member"], "left_anti")
         side = lambda x: known.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
         alike = pairs.join(side("leader"), "leader").join(side("member"), "member").where(
-            sizes_allow(F.col("n_leader"), F.col("n_member")) & (similarity(F.col("s_leader"), F.col("s_member")) >= SURE_BELOW)
+            sizes_allow(F.col("n_leader"), F.col("n_member")) & may_be_alike(F.col("s_leader"), F.col("s_member"))
         )
         likely = materialize(alike.select("leader", "member"), "likely")
         if turn and not likely.limit(1).count():
@@ -249,10 +252,20 @@ def _common_shingles(left: DataFrame, loaded: DataFrame, size: int) -> DataFrame
 
 
 def _sharing(common: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs across components that share a rare shingle, and whose sketches are alike."""
-    shared = common.where(F.col("found") <= RARE).join(known.select(F.col("doc_id").alias("v"), "n", "sketch"), "v")
+    """Pairs across components that share a rare shingle, and whose sketches are alike.
+
+    Shingles are in order of how many vertices have them. The first one that a linked pair has in common comes so early in
+    either set that what lies after it is still enough to reach the threshold: among the first n - ceil(0.8 n) + 1 of n. Shingles that no
+    other vertex has come before all others, so of most vertices no shingle is left to meet by."""
+    n_common = common.groupBy("v").agg(F.count(F.lit(1)).alias("n_common"))
+    n = F.col("n").cast("bigint")
+    early = n - F.ceil(n * PERCENT / 100) + 1 - (n - F.col("n_common"))
+    sized = known.select(F.col("doc_id").alias("v"), "n", "sketch").join(n_common, "v").withColumn("early", early).where("early > 0")
+    place = F.row_number().over(Window.partitionBy("v").orderBy("found", "h"))  # the shingles of one text
+    rare = common.where(F.col("found") <= RARE).join(sized.select("v", "early"), "v").withColumn("place", place).where("place <= early")
+    shared = rare.select("v", "c", "h").join(sized.select("v", "n", "sketch"), "v")
     other = shared.select(F.col("h").alias("k"), F.col("v").alias("leader"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("sketch").alias("s"))
-    alike = (F.col("c") < F.col("d")) & sizes_allow(F.col("n"), F.col("m")) & (similarity(F.col("sketch"), F.col("s")) >= SURE_BELOW)
+    alike = (F.col("c") < F.col("d")) & sizes_allow(F.col("n"), F.col("m")) & may_be_alike(F.col("sketch"), F.col("s"))
     return shared.join(other, (F.col("h") == F.col("k")) & alike).select("leader", F.col("v").alias("member"))
 
 
@@ -268,7 +281,7 @@ def _across(here: DataFrame, known: DataFrame, common: DataFrame) -> DataFrame:
         (F.col("c") < F.col("d"))
         & sizes_allow(F.col("n"), F.col("m"))
         & ((100 + PERCENT) * F.least("frequent", "f") >= PERCENT * (F.col("n") + F.col("m")))
-        & (similarity(F.col("sketch"), F.col("s")) >= SURE_BELOW)
+        & may_be_alike(F.col("sketch"), F.col("s"))
         & (F.get("bands", shared.cast("int") - 1) == F.col("key"))
     )
     return full.join(other, (F.col("key") == F.col("k")) & alike).select("leader", F.col("v").alias("member"))
