@@ -37,6 +37,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from speechset.llm.frames import fresh, quoted, slices, texts
 from speechset.llm.words import Words, grams, mix
+from speechset.operators.positions import dense_positions
 from speechset.session import materialize
 
 SHINGLE = 4
@@ -295,19 +296,33 @@ def _texts_of(docs: DataFrame, known: DataFrame) -> DataFrame:
 
 def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, once: bool = False) -> DataFrame:
     """The rows of ``df`` without those that are near-duplicates of a text with a smaller id. With ``once``,
-    one row of each id that stays (of the text that stands for the id), and of the rows without an id one
-    of each set that no row with an id has; those with an empty set all stay."""
+    one row of each id that stays, and of the rows without an id one of each set that no row with an id has; those with an
+    empty set all stay. Different texts under one id are documents of their own then: the one with the smallest hash stands for the
+    id, the others come after all ids, and each stays unless it is a near-duplicate of one before it."""
     gone_id, again_id = fresh(df, "_gone"), fresh(df, "_again")
-    gone = near_duplicates(df, id_col, text_col, size).where("NOT kept").select(F.col("doc_id").alias(gone_id))
-    own = quoted(id_col).cast("bigint")
+    own, text = quoted(id_col).cast("bigint"), quoted(text_col).cast("string")
     if not once:
+        gone = near_duplicates(df, id_col, text_col, size).where("NOT kept").select(F.col("doc_id").alias(gone_id))
         return df.join(gone, own == F.col(gone_id), "left_anti")
-    gone = materialize(gone, "gone")
-    again = df.where(own.isNotNull()).groupBy(own.alias(again_id)).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
-    again = materialize(again.select(again_id), "again")
+    th = F.xxhash64(text)
+    again = df.where(own.isNotNull()).groupBy(own.alias(again_id)).agg(F.count(F.lit(1)).alias("_rows"), F.min(th).alias("_first"), F.max(th).alias("_last"))
+    again = materialize(again.where("_rows > 1").select(again_id, "_first", "_last"), "again")
+    others = _other_texts(df.where(own.isNotNull()).select(own.alias("i"), th.alias("th")), again, again_id)
+    if others is None:
+        gone = near_duplicates(df, id_col, text_col, size)
+    else:
+        named = df.where(own.isNotNull()).select(own.alias("i"), th.alias("th"), text.alias("text")).join(others, ["i", "th"], "left")
+        gone = near_duplicates(named.select(F.coalesce("other", "i").alias("doc_id"), "text"), size=size)
+    gone = materialize(gone.where("NOT kept").select(F.col("doc_id").alias(gone_id)), "gone")
     rows = df.where(own.isNotNull()).join(gone, own == F.col(gone_id), "left_anti")
     many = rows.join(again, own == F.col(again_id), "left_semi")
     result = rows.join(again, own == F.col(again_id), "left_anti").unionByName(_one_of_each(many, df, text_col, own))
+    if others is not None:
+        left = others.join(gone, F.col("other") == F.col(gone_id), "left_anti")
+        names = {c: fresh(df, f"_o{c}") for c in ("i", "th", "other")}
+        left = left.select(*[F.col(c).alias(n) for c, n in names.items()])
+        own_rows = df.join(left, (own == F.col(names["i"])) & (th == F.col(names["th"])))
+        result = result.unionByName(_one_of_each(own_rows, df, text_col, F.col(names["other"])))
     nameless = df.where(own.isNull())
     if not nameless.limit(1).count():
         return result
@@ -321,6 +336,17 @@ def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return result.unionByName(wordless).unionByName(_one_of_each(free, df, text_col, *[F.col(k) for k in keys]))
 
 
+def _other_texts(texts_by_id: DataFrame, again: DataFrame, again_id: str) -> DataFrame | None:
+    """Texts that do not stand for their id, each with a number of its own above all ids: i, th, other. None if there are none."""
+    several = again.where("_first <> _last").select(F.col(again_id).alias("i"), "_first")
+    if not several.limit(1).count():
+        return None
+    pairs = texts_by_id.join(several, "i").where("th <> _first").select("i", "th").distinct()
+    last = texts_by_id.agg(F.max("i")).first()[0]
+    placed = dense_positions(pairs, ["i", "th"])
+    return materialize(placed.select("i", "th", (F.col("pos") + (last + 1)).alias("other")), "others")
+
+
 def _one_of_each(rows: DataFrame, df: DataFrame, text_col: str, *keys: Column) -> DataFrame:
     """One row of each key, with the columns of ``df``: by the hash of its text, then of all that can be hashed.
     Each task passes on one row a key, so no group is gathered."""

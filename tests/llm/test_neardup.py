@@ -60,3 +60,17 @@ def test_rows_without_or_with_repeated_ids(llm):
 
 def test_empty_table(llm):
     assert near_duplicates(documents(llm, ["x"]).where("false")).count() == 0
+
+
+def test_different_texts_under_one_id_all_stay(llm):
+    """Repeated rows go, different texts do not, and a near-duplicate goes whichever id it stands under."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(50)) for c in "abc")
+    rows = [(5, one), (5, two), (5, two), (5, one), (6, two + " end"), (7, three), (7, one + " end"), (8, ""), (8, None), (None, three), (9, "z")]
+    df = llm.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id bigint, text string, th int, other string")
+    got = sorted(((r.doc_id, r.text) for r in first_of_groups(df, once=True).collect()), key=str)
+    texts = {t for _, t in got}
+    # Of two near texts the one that stands for its id stays, wherever the other one is.
+    assert {t.removesuffix(" end") for t in texts if t} == {one, two, three, "z"} and len(got) == 6
+    assert [i for i, t in got if t in ("", None)] == [8, 8]
+    assert sum(t.startswith("a0") for t in texts if t) == sum(t.startswith("b0") for t in texts if t) == 1
+    assert first_of_groups(df, once=True).columns == df.columns
