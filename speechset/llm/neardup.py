@@ -164,16 +164,17 @@ def merge(labels: DataFrame, edges: DataFrame) -> DataFrame:
     and each label then takes the label of its label, so long chains close in few passes."""
     at = lambda x: labels.select(F.col("v").alias(x), F.col("c").alias(f"c{x}"))
     between = edges.join(at("a"), "a").join(at("b"), "b").where("ca <> cb")
-    between = materialize(between.select(F.explode(F.array(F.struct(F.col("ca").alias("x"), F.col("cb").alias("y")), F.struct(F.col("cb").alias("x"), F.col("ca").alias("y")))).alias("e")).select("e.*").distinct(), "between")
-    tree = materialize(between.groupBy("x").agg(F.least("x", F.min("y")).alias("c")), "tree")
+    # Each edge in both directions, and each end with itself, so that a label's own value is among its neighbours'.
+    ends = [F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("ca", "cb"), ("cb", "ca"), ("ca", "ca"), ("cb", "cb"))]
+    between = materialize(between.select(F.explode(F.array(*ends)).alias("e")).select("e.*").distinct(), "between")
+    tree = materialize(between.groupBy("x").agg(F.min("y").alias("c")), "tree")
     while True:
-        spread = between.join(tree.select(F.col("x").alias("y"), "c"), "y").groupBy("x").agg(F.min("c").alias("near"))
-        nearer = tree.join(spread, "x").select("x", F.least("c", "near").alias("c"))
+        around = between.join(tree.select(F.col("x").alias("y"), "c"), "y").groupBy("x")
+        nearer = around.agg(F.min("c").alias("c"), F.max(F.when(F.col("x") == F.col("y"), F.col("c"))).alias("before"))
         jump = nearer.join(tree.select(F.col("x").alias("c"), F.col("c").alias("far")), "c", "left")
-        after = materialize(jump.select("x", F.least("c", F.coalesce("far", "c")).alias("c")), "tree")
-        moved = after.join(tree.withColumnRenamed("c", "before"), "x").where("c <> before").limit(1).count()
-        tree = after
-        if not moved:
+        after = materialize(jump.select("x", F.least("c", F.coalesce("far", "c")).alias("c"), "before"), "tree")
+        tree = after.select("x", "c")
+        if not after.where("c <> before").limit(1).count():
             break
     found = labels.join(tree.select(F.col("x").alias("c"), F.col("c").alias("to")), "c", "left")
     return materialize(found.select("v", F.coalesce("to", "c").alias("c")), "labels")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from speechset.llm.frames import fresh, quoted, slices
+from speechset.llm.frames import fresh, give_back, quoted, slices
 from speechset.llm.words import column_bytes, hash_ranges, mix
 from speechset.session import small_table
 
@@ -249,10 +249,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         apart = np.zeros(len(y), bool)
     train = np.flatnonzero(~apart)
     model.train([rows[i]["t"] for i in train], y[train])
+    give_back()
     z = np.concatenate([model.raw(*buckets_of(pa.array([r["t"]], pa.string()))) for r in rows]).astype(float)
     unit = max(abs(np.median(z[y == 1]) - np.median(z[y == 0])), np.ptp(z) / 16, 1e-6) / FINE
     # At most POSITIVES + NEGATIVES ids are broadcast.
-    taken = small_table(docs.sparkSession, [(rows[i]["i"],) for i in train], "i bigint").withColumn("taken", F.lit(1))
+    ids = [rows[i]["i"] for i in train]
+    del rows, found  # the texts of the sample
+    give_back()
+    taken = small_table(docs.sparkSession, [(i,) for i in ids], "i bigint").withColumn("taken", F.lit(1))
     scored = _binned(texts.where(F.col("i").isNotNull() & ~held_out(F.col("i"))), model, unit)
     once = scored.join(known, "i").groupBy("i").agg(F.min(F.struct("bin", "l", "y")).alias("s")).select("i", "s.*")
     marked = once.join(F.broadcast(taken), "i", "left")
