@@ -58,14 +58,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+    give_back(False)  # a worker goes on to other tasks
 
 
-def give_back() -> None:
+def give_back(collect: bool = True) -> None:
     """Return memory that large temporaries of this process held to the system, where its allocators can."""
     import ctypes
     import gc
 
-    gc.collect()
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
