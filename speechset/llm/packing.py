@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from speechset.llm.frames import slices, texts
+from speechset.llm.frames import give_back, slices, texts
 from speechset.llm.tokens import encoder
 from speechset.operators.positions import dense_positions
 from speechset.session import materialize, small_table
@@ -42,7 +42,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int
     """Encode each text, add the end token and cut what is longer than a sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, "joined").encode
+        words = encoder(vocabulary, "joined")
+        encode = words.encode
         last = int(end).to_bytes(4, "little")
         for part in slices(batches):
             rows: list[tuple] = []
@@ -61,6 +62,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns[: 5 + ids], kinds)], names=names[: 5 + ids]
             )
+        words.rest()
+        give_back(False)
 
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * ids
     return docs.mapInArrow(run, schema)

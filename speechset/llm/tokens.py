@@ -78,6 +78,11 @@ class TextEncoder:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
         return self._lines(text) if self.joined else self._split(text)
 
+    def rest(self) -> None:
+        """Forget the lot before, at the end of a task: the worker may go on to other work."""
+        for past in self.past.values():
+            past.clear()
+
     def _split(self, text: str) -> bytes:
         # Python's split also separates at 0x1C-0x1F, which the vocabularies do not count as space.
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
