@@ -8,7 +8,9 @@ that is 39, so an edit that leaves half of a text is certain to be seen from 77
 Cases: a null text is empty; an empty text has an empty fingerprint; a text shorter than a run has one hash,
 of all of it; a text with fewer hashes than a window has one window. Equal texts have equal fingerprints.
 Null ids come last in descending order; rows that repeat an id follow each other by a hash of their text.
-Other columns are not looked at. An empty table gives an empty result.
+Rows without an id, and those of an id that very many rows have, are cut by that hash. All rows of one id and
+text but the last are followed by their like, so a task keeps the first it meets in the order and deals the
+others out evenly. Other columns are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +32,7 @@ from speechset.session import small_table
 
 GRAM = 24
 WINDOW = 16
+HELD = 1 << 18  # ids and hashes of texts that a task remembers to tell copies; the first copy after more is one of the order
 _BASE = np.array([0x9E3779B97F4A7C15], np.uint64)
 _ENTRY = np.dtype([("hash", "<u8"), ("position", "<u4")])
 
@@ -136,27 +140,71 @@ def _at_least(bounds: list[int], value: Column) -> Column:
     return F.when(skip >= len(bounds), F.lit(0)).otherwise(F.lit(len(bounds)) - skip - inside)
 
 
+def _parts(docs: DataFrame, n: int) -> tuple[Column, int]:
+    """The part of each row by descending id, and how many parts there are: about ``n`` equal ones and one for each
+    bound. An id with the rows of several parts has as many of its own, cut by ``_order``, as have rows without an id."""
+    shares = F.array(*[F.lit(i / n) for i in range(1, n)]) if n > 1 else F.array(F.lit(0.5))
+    # One bound for each part comes to the driver.
+    found = docs.agg(
+        F.percentile_approx("doc_id", shares, F.lit(20 * n)).alias("b"), F.count("doc_id").alias("named"), F.count(F.lit(1)).alias("n")
+    ).first()
+    often = Counter(found["b"] or []) if n > 1 else Counter()
+    bounds = sorted(often, reverse=True)
+    own = [0] + [often[b] if often[b] > 1 else 0 for b in bounds]  # parts that the largest id of a block has for itself
+    first = np.concatenate([[0], np.cumsum([k + 1 for k in own])]).tolist()
+    nameless = max(1, round(n * (found["n"] - found["named"]) / max(found["n"], 1)))
+    block = _at_least(bounds[::-1], F.col("doc_id"))
+    longs = lambda x: F.array(*[F.lit(v).cast("bigint") for v in x])
+    of = lambda x: F.get(longs(x), block)
+    share = F.col("_order") / F.lit(2.0**64) + 0.5
+    cut = lambda k: F.least(F.floor(share * k), k - 1)
+    hot = (F.col("doc_id") == of([0, *bounds])) & (of(own) > 0)
+    named = of(first) + F.when(hot, cut(of(own))).otherwise(of(own))
+    part = F.when(F.col("doc_id").isNull(), F.lit(first[-1]) + cut(F.lit(nameless))).otherwise(named)
+    return part.cast("int"), first[-1] + nameless
+
+
+def _deal_copies(batches: Iterator[pa.RecordBatch], parts: int, held: int) -> Iterator[pa.RecordBatch]:
+    """Mark each row whose id and text the task has met (``_like``: the next row is its like), and deal it anywhere."""
+    seen: dict[tuple, int] = {}
+    for batch in batches:
+        if len(seen) > held:
+            seen.clear()
+        order = batch.column("_order").to_numpy()
+        nth = np.zeros(batch.num_rows, np.uint64)
+        for k, key in enumerate(zip(batch.column("doc_id").to_pylist(), order.tolist())):
+            nth[k] = seen.get(key, 0)
+            seen[key] = int(nth[k]) + 1
+        anywhere = (mix(order.view(np.uint64) + nth) % np.uint64(parts)).astype(np.int32)
+        part = np.where(nth > 0, anywhere, batch.column("_part").to_numpy())
+        columns = [batch.column("doc_id"), batch.column("text"), batch.column("_order"), pa.array(part, pa.int32()), pa.array(nth > 0)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "_order", "_part", "_like"])
+
+
 def followed(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Rows of ``docs`` (doc_id, text) dealt into ``_part`` by descending id. The first row of each part is
     also at the end of the part before it, marked ``_tail``; that of the first part at the end of the last.
-    One shuffle of the texts; a row more for each part."""
+    Rows marked ``_like`` come before the others of a part and are followed by their like. One shuffle of the
+    texts; a row more for each part and task that has its first row."""
     n = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / n for i in range(1, n)]
-    # One bound and one head for each part come to the driver.
-    found = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), F.lit(20 * n)).alias("b")).first()["b"] if shares else []
-    bounds = sorted(set(found or []))
-    part = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(_at_least(bounds, F.col("doc_id")))
-    keyed = docs.withColumns({"_order": F.xxhash64("text"), "_part": part.cast("int")})
-    key = F.struct((-F.col("doc_id")).alias("i"), F.col("_order").alias("o"))
+    ordered = docs.withColumn("_order", F.xxhash64("text"))
+    number, count = _parts(docs, n)
+    keyed = ordered.withColumn("_part", number)
+    # One head for each part comes to the driver. The complement of an id turns its order round.
+    key = F.struct(F.bitwise_not("doc_id").alias("i"), F.col("_order").alias("o"))
     heads = sorted(keyed.groupBy("_part").agg(F.min(key).alias("k")).select("_part", "k.i", "k.o").collect())
-    before = [(None if i is None else -i, o, heads[k - 1][0]) for k, (_, i, o) in enumerate(heads)]
+    before = [(None if i is None else ~i, o, heads[k - 1][0]) for k, (_, i, o) in enumerate(heads)]
     table = small_table(docs.sparkSession, before, "h_id bigint, h_order bigint, before int")
-    also = keyed.join(F.broadcast(table), F.col("doc_id").eqNullSafe(F.col("h_id")) & F.col("_order").eqNullSafe(F.col("h_order")), "left")
+    held = HELD
+    marked = keyed.mapInArrow(lambda b: _deal_copies(b, count, held), "doc_id bigint, text string, _order bigint, _part int, _like boolean")
+    is_head = ~F.col("_like") & F.col("doc_id").eqNullSafe(F.col("h_id")) & F.col("_order").eqNullSafe(F.col("h_order"))
+    also = marked.join(F.broadcast(table), is_head, "left")
     own = F.struct(F.col("_part"), F.lit(False).alias("_tail"))
     tail = F.struct(F.col("before").alias("_part"), F.lit(True).alias("_tail"))
     places = F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, tail))
-    dealt = also.select("doc_id", "text", "_order", F.explode(places).alias("p")).select("doc_id", "text", "_order", "p.*")
-    return dealt.repartition(n, "_part").sortWithinPartitions("_part", "_tail", F.col("doc_id").desc_nulls_last(), "_order")
+    dealt = also.select("doc_id", "text", "_order", "_like", F.explode(places).alias("p")).select("doc_id", "text", "_order", "_like", "p.*")
+    by = ["_part", F.desc("_like"), "_tail", F.col("doc_id").desc_nulls_last(), "_order"]
+    return dealt.repartitionById(count, "_part").sortWithinPartitions(*by)
 
 
 def with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,10 +214,11 @@ def with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # the last row, waiting for the one after it
         for batch in slices(batches, limit=1 << 20):
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "_part", "_tail"))))
-            rows = ([held] if held else []) + [(i, t or "", p, tail) for i, t, p, tail in rows]
-            held = rows[-1]
-            pairs = [(k, k + 1) for k in range(len(rows) - 1) if not rows[k][3]]
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "_like", "_tail"))))
+            rows = ([held] if held else []) + [(i, t or "", like, tail) for i, t, like, tail in rows]
+            held = None if rows[-1][2] else rows[-1]
+            pairs = [(k, k if like else k + 1) for k, (_, _, like, tail) in enumerate(rows) if like or not tail]
+            pairs = [(a, b) for a, b in pairs if b < len(rows)]
             edits = [_edited(rows[a][1], rows[b][1]) for a, b in pairs]
             own, new = winnow([r[1] for r in rows]), winnow(edits)
             yield pa.RecordBatch.from_arrays(

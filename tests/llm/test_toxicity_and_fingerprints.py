@@ -6,8 +6,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
+from speechset.llm import fingerprints as module
 from speechset.llm import toxicity
 from speechset.llm.fingerprints import as_text, fingerprints, followed, likeness, winnow, with_edits
 from speechset.llm.frames import texts as narrow
@@ -128,3 +130,43 @@ def test_single_null_and_repeated_ids(llm):
     df = documents(llm, ["a", "b", "c", "c"]).withColumn("doc_id", F.when(F.col("doc_id") > 1, 9))
     rows = followed(narrow(df, "doc_id", "text"), 3).collect()
     assert sum(not r._tail for r in rows) == 4 and with_edits(df).count() == 4
+
+
+def plain_edits(rows):
+    """Of (id, text) rows in order: id, digest of the edited text, likeness to the edit and to the next text."""
+    out = []
+    for i, (key, text) in enumerate(rows):
+        after = rows[(i + 1) % len(rows)][1]
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        a, b, c = winnow([text, edited, after])
+        out.append((key, hashlib.sha256(edited.encode()).hexdigest(), likeness(a, b), likeness(a, c)))
+    return out
+
+
+def in_order(df):
+    """The order that ``followed`` documents: descending id, nulls last, then by the hash of the text."""
+    by = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
+    return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").orderBy(*by).collect()]
+
+
+@pytest.mark.parametrize("held", [1 << 18, 0])
+def test_hot_ids_and_copies_are_dealt_evenly(llm, monkeypatch, held):
+    monkeypatch.setattr(module, "HELD", held)
+    r = random.Random(11)
+    texts = ["".join(r.choice("abcd ") for _ in range(r.randrange(90))) for _ in range(1200)] + ["one text of many rows " * 3] * 800
+    df = documents(llm, texts)
+    i = F.col("doc_id")
+    # A third without an id, a sixth under one id, and 800 rows of one id and text.
+    df = df.withColumn("doc_id", F.when(i % 2 == 0, i).when(i >= 1200, 1200).when(i % 6 == 1, 777))
+    df = df.withColumn("doc_id", F.when(i >= 1200, 1200).otherwise(F.col("doc_id"))).repartition(4)
+    got = with_edits(df).select("doc_id", "edited_sha256", "near_edited", "near_next").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(plain_edits(in_order(df)), key=str)
+    if held:
+        sizes = [r["count"] for r in followed(narrow(df, "doc_id", "text"), 8).groupBy("_part").count().collect()]
+        assert max(sizes) <= 2 * len(texts) / 8
+
+
+def test_extreme_ids(llm):
+    df = documents(llm, ["a b", "c d", "e f"]).withColumn("doc_id", F.element_at(F.array(*map(F.lit, [-(2**63), 2**63 - 1, 0])), F.col("doc_id").cast("int") + 1))
+    got = with_edits(df).select("doc_id", "edited_sha256", "near_edited", "near_next").collect()
+    assert sorted(map(tuple, got)) == sorted(plain_edits(in_order(df)))
