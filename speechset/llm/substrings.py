@@ -227,9 +227,10 @@ def repeated_ranges(keyed: DataFrame, text_col: str, key: list[str]) -> DataFram
     open_runs = places.join(counts, "least").select(
         *_KEY, F.struct("first", "n", "least", (F.col("_n") > HOT).alias("hot")).alias("run")
     )
-    # A text's own runs: bounded by the text. Rows that repeat a key have the same runs.
+    # A text's own runs: bounded by the text. Rows that repeat a key have the same runs, which sets hold once
+    # from the first partial sum on; the same goes for the ranges below.
     runs = fresh(keyed, "_runs")
-    listed = open_runs.groupBy(*_KEY).agg(F.array_distinct(F.collect_list("run")).alias(runs))
+    listed = open_runs.groupBy(*_KEY).agg(F.collect_set("run").alias(runs))
     loaded = keyed.join(_renamed(listed, key), key)
     packed = loaded.mapInArrow(
         lambda b: _packing(b, text_col, key, runs, False), "bucket bigint, packed binary, copies bigint"
@@ -243,7 +244,7 @@ def repeated_ranges(keyed: DataFrame, text_col: str, key: list[str]) -> DataFram
     ranges = spots.join(verdicts, ["bucket", "packed_id"]).select(
         *_KEY, F.struct((F.col("first") + F.col("skip")).alias("at"), "length").alias("range")
     )
-    return ranges.groupBy(*_KEY).agg(F.collect_list("range").alias("ranges"))
+    return ranges.groupBy(*_KEY).agg(F.collect_set("range").alias("ranges"))
 
 
 def _renamed(df: DataFrame, key: list[str]) -> DataFrame:

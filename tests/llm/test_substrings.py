@@ -57,6 +57,15 @@ def test_rows_that_repeat_an_id_are_separate_places(llm):
     assert [r.found.n_removed for r in remove_repeats(df, out="found").collect()] == [40, 40, 40]
 
 
+def test_many_copies_without_an_id_have_each_range_once(llm):
+    text = " ".join(f"w{i}" for i in range(50))
+    df = documents(llm, [text] * 2000 + [f"{text} end", "short"]).withColumn("doc_id", F.when(F.col("doc_id") >= 2000, F.col("doc_id")))
+    keyed, key = substrings._keyed(df, "doc_id", "text")
+    assert substrings.repeated_ranges(keyed, "text", key).agg(F.max(F.size("ranges"))).first()[0] == 1
+    rows = remove_repeats(df, out="found").groupBy("doc_id", "found.n_words", "found.n_removed", "found.kept").count().collect()
+    assert sorted(map(tuple, rows), key=str) == [(2000, 51, 50, "end", 1), (2001, 1, 0, "short", 1), (None, 50, 50, "", 2000)]
+
+
 def test_empty_table(llm):
     assert remove_repeats(documents(llm, ["x"]).where("false")).count() == 0
 
