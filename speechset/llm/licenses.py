@@ -1,6 +1,6 @@
 """License scans with MinHash bands over overlapping windows, in DataFrame functions only.
 
-Texts and templates are words (runs of letters and digits, A-Z lower-cased) and their runs of
+Texts and templates are words by one rule (runs of letters and digits, only A-Z lower-cased) and their runs of
 ``SHINGLE`` words. A template of s runs belongs to the size class L, the smallest power of two from s. The
 windows of a class hold L + L/2 - 1 runs and start every L/2, so an occurrence always lies in one window whole, and
 makes up at least a third of it. Every one of ``BANDS`` MinHash samples is a band of its own; a window that shares
@@ -18,8 +18,9 @@ template lists give an empty result. Templates under ``SHINGLE`` words are refus
 
 from __future__ import annotations
 
-import re
+import string
 
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from speechset.session import small_table
 SHINGLE = 5
 BANDS = 48
 PERCENT = 80
+WORD = r"[\p{L}\p{N}]+"
 
 # Notices as their licenses' stewards publish them.
 TEMPLATES = {
@@ -46,12 +48,12 @@ TEMPLATES = {
 
 
 def words(text: Column) -> Column:
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), upper, lower), F.lit(r"([\p{L}\p{N}]+)"), 1)
+    lower = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    return F.regexp_extract_all(lower, F.lit(f"({WORD})"), 1)
 
 
 def template_words(text: str) -> list[str]:
-    return re.findall(r"[^\W_]+", text.lower())
+    return regex.findall(WORD, text.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)))
 
 
 def shingle_hashes(tokens: Column) -> Column:

@@ -52,6 +52,12 @@ def test_licenses_in_odd_places(llm):
         scan(documents(llm, texts), {"short": "two words"})
 
 
+def test_templates_and_texts_have_one_word_rule(llm):
+    notice = "ÉDITÉ sous la Licence Ouverte, version 2 — ½ DES DROITS réservés_à tous"
+    texts = [f"Avant. {notice} Après.", notice.replace("Licence", "licence"), notice.replace("É", "é"), "rien"]
+    assert [(r.doc_id, r.n_found == r.n_shingles) for r in scan(documents(llm, texts), {"fr": notice}).orderBy("doc_id").collect()] == [(0, True), (1, True)]
+
+
 def test_pipeline_stages(llm, tmp_path):
     docs, names = llm.read.parquet(f"{DATA}/documents.parquet"), [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality rules", "toxicity", "MinHash near-dedup", "substring dedup", "best-fit packing"]
