@@ -55,7 +55,8 @@ def test_licenses_in_odd_places(llm):
 def test_templates_and_texts_have_one_word_rule(llm):
     notice = "ÉDITÉ sous la Licence Ouverte, version 2 — ½ DES DROITS réservés_à tous"
     texts = [f"Avant. {notice} Après.", notice.replace("Licence", "licence"), notice.replace("É", "é"), "rien"]
-    assert [(r.doc_id, r.n_found == r.n_shingles) for r in scan(documents(llm, texts), {"fr": notice}).orderBy("doc_id").collect()] == [(0, True), (1, True)]
+    got = scan(documents(llm, texts), {"fr": notice}).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.n_shingles, r.n_found) for r in got] == [(0, 9, 9), (1, 9, 9), (2, 9, 8)]  # one run has the first word
 
 
 def test_pipeline_stages(llm, tmp_path):
