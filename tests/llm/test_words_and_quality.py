@@ -110,3 +110,12 @@ def test_extra_columns_named_like_those_of_the_estimate(llm):
         df = df.withColumn(name, F.lit(f"mine {name}"))
     kept = quality_kept(df)
     assert kept.columns == df.columns and sorted(map(tuple, kept.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_the_cutoff_follows_from_the_law_of_distances(llm):
+    good = [" ".join(f"word{(i * 7 + k * (3 + i % 5)) % 997}" for k in range(80 + i % 40)) + ".\nA last line" for i in range(300)]
+    # A sign in every tenth word: some ten standard deviations, far beyond 97.5 percent of a normal sample.
+    strewn = [" ".join(f"word{(i + k) % 997}" + "#" * (k % 10 == 0) for k in range(100)) + ".\nA last line" for i in range(5)]
+    rows = quality(documents(llm, good + strewn)).select("doc_id", "verdict.*").toPandas().set_index("doc_id")
+    assert rows.loc[:299, "kept"].all() and rows.loc[300:, "distance"].between(4, 20).all()
+    assert not rows.loc[300:, "base_failed"].any() and not rows.loc[300:, "kept"].any()
