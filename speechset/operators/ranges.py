@@ -3,8 +3,8 @@
 The distinct edges of all ranges are numbered in order and cut into pieces of ``PIECE`` edges. A range is then a part of
 its first piece, a part of its last one, and all pieces between. Parts that are equal inside a piece are one, so a piece
 holds a bounded number of them however many ranges start, end or are open there. What is open over whole pieces is not carried from
-piece to piece: a run of pieces is a few aligned blocks (1, 2, 4 … pieces), each block keeps its best range, and a piece asks the
-blocks above it. So neither very long nor very many nested ranges make a group grow.
+piece to piece: a run of pieces is two windows of 1, 2, 4 … pieces that may overlap, each window keeps its best range and is a few
+aligned blocks, and a piece asks the blocks above it. There are at most as many windows as pieces times levels, however many ranges. So neither very long nor very many nested ranges make a group grow.
 """
 
 from __future__ import annotations
@@ -41,7 +41,8 @@ def first_wins(ranges: DataFrame, keys: Sequence[str] = ("map_order", "num", "na
 
     first = placed.select("split", F.col("at").alias("lo"), F.col("rank").alias("a"))
     last = placed.select("split", F.col("at").alias("stop"), F.col("rank").alias("b"))
-    ranked = rows.join(first, ["split", "lo"]).join(last, ["split", "stop"]).select("split", "w", "a", "b")
+    # Stored: parts and runs both start from it.
+    ranked = materialize(rows.join(first, ["split", "lo"]).join(last, ["split", "stop"]).select("split", "w", "a", "b"), "ranked")
 
     a_piece, b_piece = F.expr(f"a div {PIECE}"), F.expr(f"b div {PIECE}")
     a_rest, b_rest = (F.col(c) % PIECE for c in ("a", "b"))
@@ -58,6 +59,7 @@ def first_wins(ranges: DataFrame, keys: Sequence[str] = ("map_order", "num", "na
     parts = parts.groupBy("split", "p.piece", "p.a", "p.b").agg(F.min("w").alias("w"))
 
     runs = ranked.select("split", "w", F.expr(f"(a + {PIECE - 1}) div {PIECE}").alias("x"), b_piece.alias("y")).where("x < y")
+    runs = _windows(runs)
     at_level = F.transform(levels, lambda k: F.struct(k.alias("level"), F.call_function("shiftright", F.col("x") + F.call_function("shiftleft", F.lit(1).cast("bigint"), k) - 1, k).alias("x"), F.call_function("shiftright", F.col("y"), k).alias("y")))
     blocks = F.flatten(
         F.transform(
@@ -86,6 +88,16 @@ def first_wins(ranges: DataFrame, keys: Sequence[str] = ("map_order", "num", "na
     return both.groupBy("split", "piece").applyInArrow(_sweep, _SEGMENT)
 
 
+def _windows(runs: DataFrame) -> DataFrame:
+    """The runs ``split, w, x, y`` (x < y) as windows of a power of two, one row a window with its smallest ``w``: the first
+    and the last one of a run cover it, and a minimum may count pieces twice."""
+    level = F.length(F.bin(F.col("y") - F.col("x"))) - 1
+    width = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_level"))
+    ends = runs.withColumn("_level", level).select("split", "w", width.alias("_width"), F.explode(F.array(F.col("x"), F.col("y") - width)).alias("x"))
+    best = ends.groupBy("split", "x", "_width").agg(F.min("w").alias("w"))
+    return best.select("split", "w", "x", (F.col("x") + F.col("_width")).alias("y"))
+
+
 def _sweep(table: pa.Table) -> pa.Table:
     """Paint the parts of a piece over its edges, from the last to the first in order."""
     split = table.column("split")[0]

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from speechset.constants import SPEAKER_RANGES
 from speechset.operators import speakers
-from speechset.operators.ranges import PIECE, first_wins
+from speechset.operators.ranges import PIECE, _windows, first_wins
 from speechset.operators.reports import verify_split
 from speechset.operators.speakers import (
     annotate_speakers,
@@ -210,3 +210,17 @@ def test_a_long_list_of_ranges_needs_no_table(spark):
     df = spark.createDataFrame([("dev", i) for i in (0, 5, 10_499, 500_000, 10**6, 10**6 + 1)], "original_split string, original_index bigint")
     got = {r.original_index: r.speaker_name for r in annotate_speakers(df, ranges).collect()}
     assert got == {0: "n0", 5: "n5", 10_499: "n10499", 500_000: "n10499", 10**6: "n0", 10**6 + 1: "Unknown"}
+
+
+def test_runs_become_a_bounded_number_of_windows(spark):
+    """However many runs there are, the windows are at most pieces times levels, and hold the same minimum at each piece."""
+    rng = np.random.default_rng(7)
+    pieces, x = 40, rng.integers(0, 39, 3_000)
+    y = np.minimum(x + rng.integers(1, 40, len(x)), pieces)
+    order = rng.permutation(len(x))
+    runs = spark.createDataFrame([("dev", (int(o),), int(a), int(b)) for o, a, b in zip(order, x, y)], "split string, w struct<map_order: int>, x bigint, y bigint")
+    windows = _windows(runs).collect()
+    assert len(windows) <= pieces * 6 and all((r.y - r.x).bit_count() == 1 for r in windows)
+    for p in range(pieces):
+        wanted = min((int(o) for o, a, b in zip(order, x, y) if a <= p < b), default=None)
+        assert min((r.w.map_order for r in windows if r.x <= p < r.y), default=None) == wanted
