@@ -61,13 +61,17 @@ def clone_rows(
     if folder is not None:
         pairs = expand_languages(narrow.drop("audio"), texts, ["pos", "reference_text"])
         pairs = pairs.select("pos", "lang", input_digest(reference, F.col("text")).alias("input_id"))
-        pending = materialize(left_to_do(pairs, ["pos", "lang"], folder), "pending")
-        narrow = narrow.join(pending.select("pos").distinct(), "pos", "left_semi")
+        if stored_results(df.sparkSession, folder) is not None:
+            # What is left of a row travels with it, so that the rows of its languages, with their prompts, need no join.
+            left = left_to_do(pairs, ["pos", "lang"], folder)
+            pending = materialize(left.groupBy("pos").agg(F.collect_set(F.struct("lang", "input_id")).alias("_left")), "pending")
+            narrow = narrow.join(pending, "pos")
+    kept = ["pos", "reference_text", *(["_left"] if pending is not None else [])]
     tokens = _reference_tokens(narrow, texts, open_encoder, count_tokens, token_limit)
-    long = expand_languages(tokens, texts, ["pos", "reference_text", "ref_tokens", "head_tokens", "error"])
+    long = expand_languages(tokens, texts, [*kept, "ref_tokens", "head_tokens", "error"])
     long = long.withColumn("input_id", input_digest(reference, F.col("text")))
     if pending is not None:
-        long = long.join(pending, ["pos", "lang", "input_id"], "left_semi")
+        long = long.where(F.array_contains("_left", F.struct("lang", "input_id"))).drop("_left")
     skip = is_empty(F.col("text"))
     whole = clone_prompt(reference, F.col("ref_tokens"), F.col("text"))
     too_long = F.coalesce(count_tokens(whole) > token_limit, F.lit(False)) & ~skip if count_tokens else F.lit(False)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechset.session import small_table
-from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
+from speechset.sinks.metadata import write_metadata
 
 
 def stored_results(spark: SparkSession, folder: str) -> DataFrame | None:
@@ -43,7 +43,7 @@ def left_to_do(work: DataFrame, key: Sequence[str], folder: str) -> DataFrame:
 def keep_results(made: DataFrame, folder: str) -> None:
     """Store results as a run of their own; ``made`` has ``input_id`` and ``error``."""
     # Run names ascend with time, so that the newest attempt can be told from older ones.
-    made.write.parquet(f"{folder}/results/run=r{time.time_ns():020d}-{uuid.uuid4().hex}")
+    made.write.option("compression", "zstd").parquet(f"{folder}/results/run=r{time.time_ns():020d}-{uuid.uuid4().hex}")
 
 
 def results_of(work: DataFrame, key: Sequence[str], folder: str) -> DataFrame:
@@ -65,8 +65,7 @@ def run_stored(work: DataFrame, key: Sequence[str], make: Callable[[DataFrame],
 
 def export_metadata(rows: DataFrame, folder: str, name: str, order_by: Sequence[str]) -> None:
     """``<name>.csv`` and ``<name>.json`` of a job, without audio."""
-    write_metadata_csv(rows, f"{folder}/{name}.csv", order_by)
-    write_metadata_json(rows, f"{folder}/{name}.json", order_by)
+    write_metadata(rows, folder, name, order_by)
 
 
 def keep_warnings(spark: SparkSession, folder: str, job: str, messages: Sequence[str]) -> DataFrame:

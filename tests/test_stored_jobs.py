@@ -1,5 +1,6 @@
 """Jobs that keep their results, the prompt guard, and warnings as rows."""
 
+import json
 import os
 
 import numpy as np
@@ -10,11 +11,12 @@ from speechset.functions.audio import AUDIO_TYPE
 from speechset.operators.languages import also_in, not_in
 from speechset.operators.shape import SourceProfile, publishable
 from speechset.plans.build_clips import build_split, last_records
-from speechset.plans.multilingual import multilingual_clips
+from speechset.plans.multilingual import clone_rows, multilingual_clips
 from speechset.plans.sampled_test_set import build_test_set
 from speechset.plans.stored_job import results_of, run_stored, stored_results
 from speechset.plans.voice_grid import build_grid
-from tests.conftest import rows
+from speechset.sinks.metadata import store_in_order, write_metadata
+from tests.conftest import plan, rows
 from tests.test_build_steps import _utterances, open_easy
 
 
@@ -159,3 +161,29 @@ def test_sets_of_any_size(spark):
     assert rows(not_in(asked, there, "v")) == sorted([("z",), (None,)], key=repr)
     with pytest.raises(Exception):
         also_in(asked, there, "w")
+
+
+def test_both_exports_come_from_one_sorted_table(spark, tmp_path):
+    df = spark.range(0, 300, 1, 6).orderBy(F.rand(3)).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit('a "b"\n'), "id")).alias("text"))
+    stored = store_in_order(df, str(tmp_path / "stored"), ["id"])
+    assert "Exchange" not in plan(stored) and "Sort" not in plan(stored)
+    assert [r.id for r in stored.collect()] == list(range(300))
+    write_metadata(df, str(tmp_path), "m", ["id"])
+    lines = [line for name in sorted(os.listdir(tmp_path / "m.json")) if name.startswith("part-") for line in open(tmp_path / "m.json" / name)]
+    assert [json.loads(line)["id"] for line in lines] == list(range(300))
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "m.csv"))
+    assert sorted(int(r.id) for r in back.collect()) == list(range(300)) and back.where("text IS NOT NULL").count() == df.where("text IS NOT NULL").count()
+    write_metadata(df.limit(0), str(tmp_path), "none", ["id"])
+    assert spark.read.schema("id bigint").json(str(tmp_path / "none.json")).count() == 0
+
+
+def test_what_is_left_travels_with_the_reference(spark, tmp_path):
+    """The languages of a row, with their prompts, meet no list of keys: only the reference's own row is joined, and nothing before the first run."""
+    folder, langs = str(tmp_path / "m"), ["fr", "de"]
+    given = _references(spark).select("pos", F.col("clip").alias("audio"), F.col("ref").alias("reference_text"), "text_fr", "text_de")
+    first = clone_rows(given, langs, open_code_per_sample, open_prompt_length, folder=folder)
+    assert "Join" not in plan(first)
+    first.where("pos <> 3 OR lang = 'fr'").write.parquet(f"{folder}/results/run=1")
+    again = clone_rows(given, langs, open_code_per_sample, open_prompt_length, folder=folder)
+    assert plan(again).split("== Physical Plan ==")[1].count("Join") == 1
+    assert rows(again, "pos", "lang") == [(3, "de")]
