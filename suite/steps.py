@@ -108,7 +108,8 @@ def q_publish_versions(spark, sf_dir):
     target = new_folder(spark, "published")
     docs = table(spark, sf_dir, "documents").join(audio(spark, sf_dir), "doc_id", "left").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     docs = docs.withColumn("split", F.when(F.col("doc_id") % 2 == 0, "dev").otherwise("eval"))
-    docs = docs.select("split", F.col("doc_id").alias("_id"), "lang", "toxic", "text", "audio")
+    # Stored: every publication reads it twice.
+    docs = materialize(docs.select("split", F.col("doc_id").alias("_id"), "lang", "toxic", "text", "audio"), "utterances")
     dev, evaluation = docs.where("split = 'dev'"), docs.where("split = 'eval'")
     louder = F.when(F.col("toxic") == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
     changed = dev.where("lang <> 'fr'").withColumn("text", louder)

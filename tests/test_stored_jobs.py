@@ -7,6 +7,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import speechset.plans.build_clips
+import speechset.plans.publish_versions
+import suite
+import suite.jobs
+import suite.steps
 from speechset.functions.audio import AUDIO_TYPE
 from speechset.operators.languages import also_in, not_in
 from speechset.operators.shape import SourceProfile, publishable
@@ -16,7 +21,7 @@ from speechset.plans.sampled_test_set import build_test_set
 from speechset.plans.stored_job import results_of, run_stored, stored_results
 from speechset.plans.voice_grid import build_grid
 from speechset.sinks.metadata import store_in_order, write_metadata
-from tests.conftest import plan, rows
+from tests.conftest import DATA, plan, rows
 from tests.test_build_steps import _utterances, open_easy
 
 
@@ -187,3 +192,20 @@ def test_what_is_left_travels_with_the_reference(spark, tmp_path):
     again = clone_rows(given, langs, open_code_per_sample, open_prompt_length, folder=folder)
     assert plan(again).split("== Physical Plan ==")[1].count("Join") == 1
     assert rows(again, "pos", "lang") == [(3, "de")]
+
+
+@pytest.mark.parametrize("query", ["q_publish_versions"])
+def test_the_joined_input_is_stored_before_it_is_read_again(spark, monkeypatch, query):
+    class Stored(Exception):
+        pass
+
+    def stop(df, name="table"):
+        if name == "utterances":
+            raise Stored(sorted(df.columns))
+        raise AssertionError(f"{name} is made before the input is stored")
+
+    for module in (suite.jobs, suite.steps, speechset.plans.build_clips, speechset.plans.publish_versions):
+        monkeypatch.setattr(module, "materialize", stop)
+    with pytest.raises(Stored) as stored:
+        suite.QUERIES[query](spark, DATA)
+    assert "audio" in stored.value.args[0] and ("language" in stored.value.args[0] or query != "q_job_publish_built")
