@@ -22,7 +22,7 @@ from speechset.operators.validity import mark_errors
 from speechset.plans.stored_job import keep_warnings
 from speechset.session import materialize, new_folder, small_table
 from speechset.sinks.audio_files import require_written, write_audio_files
-from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
+from speechset.sinks.metadata import write_metadata
 from speechset.sources.files import list_files, present_files
 from speechset.sources.metadata import read_prior_metadata
 
@@ -89,7 +89,7 @@ def build_clips(
         todo = _pending(utterances, done)
     # Run names ascend with time, so that the newest attempt can be told from older ones.
     run = f"{folder}/clips/run=r{time.time_ns():020d}-{uuid.uuid4().hex}"
-    synthesize_clips(spread(todo, tasks, "_key"), open_model).write.parquet(run)
+    synthesize_clips(spread(todo, tasks, "_key"), open_model).write.option("compression", "zstd").parquet(run)
     clips = spark.read.parquet(run)
     if single_files:
         write_clip_files(todo, clips, folder)
@@ -190,11 +190,8 @@ def build_split(
     built = build_clips(utterances, open_model, prior, files, folder, single_files, order, tasks)
     # Stored with the split, newest last: what the last build's input has, whatever older runs left.
     build = f"{folder}/records/build=r{time.time_ns():020d}-{uuid.uuid4().hex}"
-    built.metadata.write.parquet(build)
+    write_metadata(built.metadata, folder, "metadata", ["original_split", "original_index"], build)
     metadata = spark.read.parquet(build)
-    order_by = ["original_split", "original_index"]
-    write_metadata_csv(metadata, f"{folder}/metadata.csv", order_by)
-    write_metadata_json(metadata, f"{folder}/metadata.json", order_by)
     return run_summary(metadata.withColumn("split", F.lit(""))).drop("split")
 
 

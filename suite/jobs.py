@@ -138,9 +138,10 @@ def q_job_restart(spark, sf_dir):
 def q_job_publish_built(spark, sf_dir):
     """Build both splits, one of them again with fewer rows, publish them with source and cloned audio, and read the
     dataset back: every row of the last inputs, failed ones with their error."""
-    rows, home = materialize(_utterances(spark, sf_dir), "utterances"), new_folder(spark, "corpus")
+    rows, home = _utterances(spark, sf_dir), new_folder(spark, "corpus")
     keep = (F.col("original_split") != "dev") | F.coalesce(F.col("language") != "de", F.lit(True))
-    rows = rows.join(table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("language")), "doc_id")
+    # Stored with the language: three builds and the publication read them.
+    rows = materialize(rows.join(table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("language")), "doc_id"), "utterances")
     splits = {name: f"{home}/{name}" for name in ("dev", "eval")}
     for name, folder in splits.items():
         build_split(rows.where(F.col("original_split") == name), open_quarter_model, folder)
