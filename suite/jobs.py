@@ -104,7 +104,8 @@ def q_job_build_clips(spark, sf_dir):
 def q_job_restart(spark, sf_dir):
     """Runs in one folder: the second model also takes the clips that the first one refused; then the
     metadata files are gone, and at last the input has only one of the splits."""
-    rows, folder = _utterances(spark, sf_dir), new_folder(spark, "split")
+    # Stored: every run reads them.
+    rows, folder = materialize(_utterances(spark, sf_dir), "utterances"), new_folder(spark, "split")
 
     def named(summary, run):
         return summary.select(F.lit(run).alias("run"), "ok", "errors", "total")

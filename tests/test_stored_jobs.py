@@ -194,7 +194,7 @@ def test_what_is_left_travels_with_the_reference(spark, tmp_path):
     assert rows(again, "pos", "lang") == [(3, "de")]
 
 
-@pytest.mark.parametrize("query", ["q_job_publish_built", "q_publish_versions"])
+@pytest.mark.parametrize("query", ["q_job_restart", "q_job_publish_built", "q_publish_versions"])
 def test_the_joined_input_is_stored_before_it_is_read_again(spark, monkeypatch, query):
     class Stored(Exception):
         pass
