@@ -171,6 +171,9 @@ class ByteBpe:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         return self._text.encode(text)
 
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        return self._text.encode_all(texts)
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -222,9 +225,9 @@ def encoded(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id"
     """doc_id and the ids of each text (little-endian unsigned 32-bit integers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = codec(ranks_path, pattern).encode
+        encode = codec(ranks_path, pattern).encode_all
         for part in slices(batches):
-            ids = [encode(t or "") for t in part.column("text").to_pylist()]
+            ids = encode(part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return texts(df, id_col, text_col).mapInArrow(run, "doc_id bigint, ids binary")

@@ -43,12 +43,11 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(vocabulary, "joined")
-        encode = words.encode
         last = int(end).to_bytes(4, "little")
         for part in slices(batches):
             rows: list[tuple] = []
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                data = encode(text or "") + last
+            for doc_id, own in zip(part.column("doc_id").to_pylist(), words.encode_all(part.column("text"))):
+                data = own + last
                 n = len(data) // 4
                 start = 0
                 for piece in range(-(-n // capacity)):

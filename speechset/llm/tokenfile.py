@@ -38,14 +38,14 @@ def write_tokens(df: DataFrame, path: str, vocabulary: str, end: int, spaces: st
     ordered = docs.repartitionByRange(n, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, spaces).encode
+        encode = encoder(vocabulary, spaces).encode_all
         last = int(end).to_bytes(4, "little")
         part, block = TaskContext.get().partitionId(), 0
         held: list[bytes] = []
         size, begun = 0, []  # ids held, and the documents that begin among them
         for batch in slices(batches):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                data = encode(text or "") + last
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
+                data = own + last
                 begun.append((doc_id, size))
                 held.append(data)
                 size += len(data) // 4

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -52,6 +53,23 @@ def test_words_at_a_time_give_the_ids_of_whole_texts(path, spaces, monkeypatch):
         assert np.frombuffer(encode(text), "<u4").tolist() == whole(text)
 
 
+@pytest.mark.parametrize("path, spaces", [(WORDS, "dropped"), (BYTES, "joined")])
+def test_a_slice_of_texts_is_encoded_at_once(path, spaces, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 20)
+    monkeypatch.setattr(tokens, "_open", {})
+    words, whole = tokens.encoder(path, spaces), library(path)
+    calls, many = [], words.many
+    words.many = lambda parts: calls.extend(parts) or many(parts)
+    r = random.Random(2)
+    for _ in range(60):
+        texts = [r.choice([None, "", "".join(r.choice(PARTS) for _ in range(r.randrange(40)))]) for _ in range(r.randrange(20))]
+        got = words.encode_all(pa.array(["cut off", *texts], pa.string()).slice(1))
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole(t or "") for t in texts]
+    calls.clear()
+    words.encode_all(pa.array(["never seen before\nnever seen before"] * 500))
+    assert len(calls) == len(set(calls)) <= 5  # each distinct word once
+
+
 @settings(max_examples=300, deadline=None)
 @given(some_text)
 def test_byte_bpe_equals_the_library(reference, text):
