@@ -108,13 +108,19 @@ def pack(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str =
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and with ``ids`` the
     ids as little-endian unsigned 32-bit integers."""
     spark = df.sparkSession
-    cut = materialize(pieces(texts(df, id_col, text_col), vocabulary, capacity, end, ids), "pieces")
+    cut = pieces(texts(df, id_col, text_col), vocabulary, capacity, end, ids)
+    names = cut.columns
+    # Stored with a number for each piece, so that the ids stay where they are until their place is known.
+    cut = materialize(cut.withColumn("_at", F.monotonically_increasing_id()), "pieces")
     # At most ``capacity`` rows come to the driver.
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     moves, _ = best_fit_moves(counts, capacity)
     table = small_table(spark, moves, "size bigint, low bigint, high bigint, first bigint, offset bigint")
-    ranked = dense_positions(cut, ["doc_id", "piece"], ["length"], "_rank")
+    ranked = dense_positions(cut.drop("ids"), ["doc_id", "piece"], ["length"], "_rank")
     place = (F.col("length") == F.col("size")) & F.col("_rank").between(F.col("low"), F.col("high"))
-    return ranked.join(F.broadcast(table), place).select(
-        *cut.columns, (F.col("first") + F.col("_rank") - F.col("low")).alias("sequence_id"), "offset"
-    )
+    sequence = (F.col("first") + F.col("_rank") - F.col("low")).alias("sequence_id")
+    placed = ranked.join(F.broadcast(table), place)
+    if not ids:
+        return placed.select(*names, sequence, "offset")
+    # One shuffle of the ids, at any size; the places are the side that is hashed.
+    return cut.join(placed.select("_at", sequence, "offset").hint("shuffle_hash"), "_at").select(*names, "sequence_id", "offset")

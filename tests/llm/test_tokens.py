@@ -198,3 +198,23 @@ def test_packed_documents(llm):
             at += length
         assert at <= 256
     assert pack(documents(llm, ["x"]).where("false"), BYTES).count() == 0
+
+
+def test_packing_moves_the_ids_once(llm, monkeypatch):
+    from speechset.llm import packing
+
+    ranked = []
+    positions = packing.dense_positions
+    monkeypatch.setattr(packing, "dense_positions", lambda df, *more: ranked.append(df.columns) or positions(df, *more))
+    # Repeated and null ids are documents of their own, also where their ids come back to them.
+    texts = [f"text number {i} " + "word " * i for i in range(40)]
+    df = documents(llm, texts).withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 3))
+    got = pack(df, BYTES, capacity=64, ids=True)
+    assert "ids" not in ranked[0]
+    rows, encode = got.collect(), library(BYTES)
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+    assert sum(r.length for r in rows) == sum(len(encode(t)) + 1 for t in texts)
+    spans = {}
+    for r in rows:
+        spans.setdefault(r.sequence_id, []).append((r.offset, r.offset + r.length))
+    assert all([a for a, _ in sorted(s)] == [0, *[b for _, b in sorted(s)][:-1]] for s in spans.values())
