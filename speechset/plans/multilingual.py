@@ -16,9 +16,11 @@ from speechset.functions.tokens import clone_prompt, format_codes
 from speechset.operators.jobs import encode_references, spread, synthesize
 from speechset.operators.languages import collapse_languages, expand_languages, language_coverage, language_warnings, require_known
 from speechset.operators.shape import SourceProfile, put_first, pair_order, select_profile
-from speechset.plans.stored_job import export_metadata, input_digest, keep_results, keep_warnings, left_to_do, results_of, stored_results
+from speechset.plans.stored_job import input_digest, keep_results, keep_warnings, left_to_do, results_of, stored_results
 from speechset.session import materialize, new_folder
 from speechset.sinks.audio_files import require_written, write_audio_files
+from speechset.sinks.metadata import write_metadata_csv, write_metadata_json
+from speechset.sinks.pieces import PIECE, Pieces, in_place, pieces_for, store_in_pieces
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,7 @@ def clone_rows(
     folder: str | None = None,
     count_tokens: Callable[[Column], Column] | None = None,
     token_limit: int = PROMPT_TOKEN_LIMIT,
+    pieces: Pieces | None = None,
 ) -> DataFrame:
     """One row per (position, language): ``pos, lang, text, path, clip, error, trimmed, input_id``.
 
@@ -48,6 +51,7 @@ def clone_rows(
     without text gives a blank path and no error. With a ``folder``, pairs that a run there has finished from the same
     texts are left out, and rows of which nothing is left are not encoded. ``count_tokens`` turns on the prompt guard: where
     it counts more than ``token_limit`` in a prompt, the reference is encoded again from its first seconds, and ``trimmed`` says so.
+    ``pieces`` says how ``df`` is stored: then neither its audio nor its texts are shuffled.
     """
     usable = df.withColumn("error", F.when(has_samples(F.col("audio")), "").otherwise(ERROR_NO_AUDIO))
     if encoder_rate:
@@ -56,7 +60,7 @@ def clone_rows(
     # A language without a text column has blank texts, and so blank voices.
     usable = usable.withColumns({c: F.lit("") for c in texts.values() if c not in usable.columns})
     reference = F.col("reference_text")
-    narrow = usable.select("pos", "audio", "reference_text", *dict.fromkeys(texts.values()), "error")
+    narrow = usable.select("pos", "audio", "reference_text", *dict.fromkeys(texts.values()), "error", *([PIECE] if pieces else []))
     pairs = pending = None
     if folder is not None:
         pairs = expand_languages(narrow.drop("audio"), texts, ["pos", "reference_text"])
@@ -65,7 +69,8 @@ def clone_rows(
             # What is left of a row travels with it, so that the rows of its languages, with their prompts, need no join.
             left = left_to_do(pairs, ["pos", "lang"], folder)
             pending = materialize(left.groupBy("pos").agg(F.collect_set(F.struct("lang", "input_id")).alias("_left")), "pending")
-            narrow = narrow.join(pending, "pos")
+            narrow = pieces.join(narrow, pending) if pieces else narrow.join(pending, "pos")
+    narrow = narrow.drop(PIECE)
     kept = ["pos", "reference_text", *(["_left"] if pending is not None else [])]
     tokens = _reference_tokens(narrow, texts, open_encoder, count_tokens, token_limit)
     long = expand_languages(tokens, texts, [*kept, "ref_tokens", "head_tokens", "error"])
@@ -127,13 +132,17 @@ def write_clip_files(df: DataFrame, clips: DataFrame, folder: str, source_lang:
     require_written(write_audio_files(sources.unionByName(cloned), folder))
 
 
-def wide_metadata(df: DataFrame, clips: DataFrame, langs: Sequence[str], source_lang: str = "en") -> DataFrame:
+def wide_metadata(df: DataFrame, clips: DataFrame, langs: Sequence[str], source_lang: str = "en", pieces: Pieces | None = None) -> DataFrame:
     """Input rows (without audio) with ``voice_<lang>`` paths and ``voice_<lang>_ok`` flags, in
-    canonical order. Only paths and errors are shuffled."""
+    canonical order. If ``pieces`` says how ``df`` is stored, only paths and errors are shuffled, and the rows come in order."""
     paths = clips.select("pos", "lang", "path", "error")
     first_error = F.min_by("error", F.when(F.col("error") != "", F.col("lang"))).alias("error")
     wide = collapse_languages(paths, ["pos"], langs, "path", "voice_", [first_error])
-    joined = df.drop("audio").join(wide, "pos", "left")
+    if pieces:
+        # Stored: each export reads them.
+        joined = pieces.join(df.drop("audio"), materialize(wide, "voices"), "left").drop(PIECE)
+    else:
+        joined = df.drop("audio").join(wide, "pos", "left")
     voices = {f"voice_{lang}": F.coalesce(F.col(f"voice_{lang}"), F.lit("")) for lang in langs}
     flags = {f"voice_{lang}_ok": F.coalesce(F.col(f"voice_{lang}"), F.lit("")) != "" for lang in langs}
     result = joined.withColumns({**flags, **voices, "error": F.coalesce(F.col("error"), F.lit(""))})
@@ -159,6 +168,7 @@ def multilingual_clips(
     shared: Sequence[str] | None = None,
     count_tokens: Callable[[Column], Column] | None = None,
     token_limit: int = PROMPT_TOKEN_LIMIT,
+    pieces: Pieces | None = None,
 ) -> MultilingualClips:
     """Validate the languages, clone every row, and give clips, wide metadata and filled counts.
 
@@ -167,16 +177,21 @@ def multilingual_clips(
     audio column. A ``folder`` that is given also keeps ``metadata_cloned.csv`` and ``.json`` and the job's warnings, and
     a second action there makes only what is not finished. ``tasks`` spreads the (row, language) work list over that many partitions.
     ``single_files`` adds one WAV file per source and per cloned clip. ``shared`` names the languages that source and model share:
-    others are a warning. ``count_tokens`` and ``token_limit`` turn on the prompt guard of ``clone_rows``.
+    others are a warning. ``count_tokens`` and ``token_limit`` turn on the prompt guard of ``clone_rows``. ``pieces`` says that and how
+    ``df`` is stored by position; without it, an action with a ``folder`` stores it so.
     """
     require_known(langs, profile.languages())
     spark = df.sparkSession
-    rows = select_profile(df, profile, keep=[position]).withColumnRenamed(position, "pos")
+    rows = select_profile(df, profile, keep=[position, *([PIECE] if pieces else [])]).withColumnRenamed(position, "pos")
     kept = folder is not None
     folder = folder or new_folder(spark, "multilingual")
+    if kept and pieces is None:
+        pieces = pieces_for(spark, (rows.agg(F.max("pos")).first()[0] or 0) + 1)
+        rows = store_in_pieces(rows, new_folder(spark, "rows"), pieces)
     warnings = language_warnings(langs, [lang for lang in langs if f"text_{lang}" in rows.columns], langs if shared is None else shared)
-    made = clone_rows(rows, langs, open_encoder, open_model, encoder_rate, tasks, folder if kept else None, count_tokens, token_limit)
-    keep_results(made, folder)
+    made = clone_rows(rows, langs, open_encoder, open_model, encoder_rate, tasks, folder if kept else None, count_tokens, token_limit, pieces)
+    with in_place(spark):
+        keep_results(made, folder)
     clips = stored_results(spark, folder).drop("run", "input_id")
     if kept:
         texts = {lang: f"text_{lang}" for lang in langs}
@@ -187,9 +202,11 @@ def multilingual_clips(
         keep_warnings(spark, folder, "multilingual", warnings)
     if single_files:
         write_clip_files(rows, clips, folder, source_lang)
-    metadata = wide_metadata(rows, clips, langs, source_lang)
+    metadata = wide_metadata(rows, clips, langs, source_lang, pieces)
     if kept:
         plain = metadata.drop(*[f"voice_{lang}_ok" for lang in langs])
-        export_metadata(plain, folder, "metadata_cloned", ["pos"])
+        with in_place(spark):
+            write_metadata_csv(plain, f"{folder}/metadata_cloned.csv")
+            write_metadata_json(plain, f"{folder}/metadata_cloned.json")
     coverage = language_coverage(metadata, {lang: f"voice_{lang}" for lang in langs})
     return MultilingualClips(metadata, clips, coverage, warnings)

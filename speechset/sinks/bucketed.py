@@ -57,14 +57,15 @@ def read_layout(spark: SparkSession, folder: str) -> Layout | None:
     return Layout(row["place"], row["key"], row["buckets"], tuple(row["partitions"]), row["columns"])
 
 
-def _register(spark: SparkSession, layout: Layout) -> str:
-    """The table's name in the catalogue, with all partitions that exist by now."""
+def _register(spark: SparkSession, layout: Layout, compression: str | None = None) -> str:
+    """The table's name in the catalogue, with all partitions that exist by now. ``compression`` is that of what this session writes."""
     if not spark.catalog.tableExists(layout.name):
         store, path = file_system(layout.place)
         store.mkdirs(path)  # a table without rows yet
         parts = ", ".join(f"`{c}`" for c in layout.partitions)
         spark.sql(
             f"CREATE TABLE {layout.name} ({layout.columns}) USING parquet "
+            + (f"OPTIONS (compression '{compression}') " if compression else "")
             + (f"PARTITIONED BY ({parts}) " if parts else "")
             + f"CLUSTERED BY (`{layout.key}`) INTO {layout.buckets} BUCKETS LOCATION '{layout.place}'"
         )
@@ -94,8 +95,8 @@ def create_bucketed(
         _publish_layout(spark, folder, layout)
 
 
-def _insert(df: DataFrame, layout: Layout) -> None:
-    name = _register(df.sparkSession, layout)
+def _insert(df: DataFrame, layout: Layout, compression: str | None = None) -> None:
+    name = _register(df.sparkSession, layout, compression)
     order = StructType.fromDDL(layout.columns).names
     df.select(*[f"`{c}`" for c in order]).write.insertInto(name)
 
@@ -113,10 +114,17 @@ def store_bucketed(
 ) -> DataFrame:
     """Store ``df`` as the table in ``folder``, in place of an earlier one, with one shuffle so that each task writes one
     bucket. Readers see the earlier table until the new one is whole."""
+    buckets = buckets or buckets_for(df.sparkSession, df.count(), bucket_rows)
+    return store_placed(df.repartition(buckets, key), folder, key, buckets, partitions)
+
+
+def store_placed(
+    df: DataFrame, folder: str, key: str, buckets: int, partitions: Sequence[str] = (), compression: str | None = None
+) -> DataFrame:
+    """``store_bucketed`` for rows that are dealt out by ``key`` over ``buckets`` partitions already."""
     spark = df.sparkSession
-    buckets = buckets or buckets_for(spark, df.count(), bucket_rows)
     layout = _layout_of(spark, folder, df.schema, key, buckets, partitions)
-    _insert(df.repartition(buckets, key), layout)
+    _insert(df, layout, compression)
     _publish_layout(spark, folder, layout)
     return read_bucketed(spark, folder)
 

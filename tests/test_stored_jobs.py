@@ -2,10 +2,12 @@
 
 import json
 import os
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 import speechset.plans.build_clips
 import speechset.plans.publish_versions
@@ -21,6 +23,7 @@ from speechset.plans.sampled_test_set import build_test_set
 from speechset.plans.stored_job import results_of, run_stored, stored_results
 from speechset.plans.voice_grid import build_grid
 from speechset.sinks.metadata import store_in_order, write_metadata
+from speechset.sinks.pieces import PIECE, in_place, pieces_for, store_in_pieces
 from tests.conftest import DATA, plan, rows
 from tests.test_build_steps import _utterances, open_easy
 
@@ -194,6 +197,68 @@ def test_what_is_left_travels_with_the_reference(spark, tmp_path):
     assert rows(again, "pos", "lang") == [(3, "de")]
 
 
+def test_a_stored_job_moves_no_text_for_its_exports(spark, tmp_path, monkeypatch):
+    """What is written after the input is stored shuffles positions, paths and errors, and keeps no sorted copy of the texts."""
+    moved = set()
+
+    def watched(write):
+        def call(writer, path, *args, **kw):
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+            said = writer._df._jdf.queryExecution().explainString(mode)
+            moved.update(re.findall(r"(\w+)#\d+", "".join(re.findall(r"\) Exchange\nInput[^\n]*", said))))
+            return write(writer, path, *args, **kw)
+
+        return call
+
+    for name in ("parquet", "csv", "json"):
+        monkeypatch.setattr(DataFrameWriter, name, watched(getattr(DataFrameWriter, name)))
+    before, limit = set(os.listdir(spark.conf.get("spark.checkpoint.dir"))), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for encoder in (open_code_per_sample, suite.jobs.open_no_model):
+            job = multilingual_clips(_references(spark, 9), _PROFILE, ["fr", "de"], encoder, suite.jobs.open_no_model, folder=str(tmp_path / "m"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert job.clips.where("error LIKE '%a model was called%'").count() == 17 and "pos" in moved
+    assert not moved & {"clip", "audio", "reference_text", "ref", "text_fr", "text_de"}
+    assert not [name for name in set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) - before if name.startswith("metadata_cloned")]
+
+
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_exports_of_a_stored_job_are_in_order(spark, tmp_path, limit):
+    folder, before = str(tmp_path / "m"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        given = _references(spark, 300).orderBy(F.rand(3)).withColumn("ref", F.when(F.col("id") % 7 > 0, "a \"b\"\n"))
+        job = multilingual_clips(given, _PROFILE, ["fr", "de"], open_code_per_sample, open_prompt_length, folder=folder)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    read = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    for kind, take in (("csv", lambda path: [int(r.pos) for r in read.csv(path).collect()]), ("json", lambda path: [json.loads(line)["pos"] for line in open(path)])):
+        parts = sorted(name for name in os.listdir(f"{folder}/metadata_cloned.{kind}") if name.startswith("part-"))
+        assert [pos for name in parts for pos in take(f"{folder}/metadata_cloned.{kind}/{name}")] == list(range(300))
+    plain = spark.read.json(f"{folder}/metadata_cloned.json")
+    columns = sorted(set(plain.columns))
+    assert columns == sorted(c for c in job.metadata.columns if not c.endswith("_ok")) and rows(plain, *columns) == rows(job.metadata, *columns)
+
+
+def test_pieces_ascend_and_take_odd_positions(spark, tmp_path):
+    positions = [None, -3, 0, 1, 1, 49, 50, 51, 99, 10_000]
+    df = spark.createDataFrame([(p, f"t{i}") for i, p in enumerate(positions)], "pos bigint, t string")
+    pieces = pieces_for(spark, 100)
+    stored = store_in_pieces(df, str(tmp_path / "p"), pieces)
+    assert len(set(pieces.labels)) == len(pieces.labels) > 1
+    values = spark.createDataFrame([(p, f"v{p}") for p in (-3, 0, 1, 50, 51, 10_000)], "pos bigint, v string")
+    with in_place(spark):
+        joined = pieces.join(stored, values, "left")
+        assert plan(joined).split("== Physical Plan ==")[1].count("Exchange") == 1
+        got = [(r.pos, r.v) for r in joined.collect()]
+    assert got == [(p, f"v{p}" if p in (-3, 0, 1, 50, 51, 10_000) else None) for p in positions]
+    assert rows(stored.drop(PIECE)) == rows(df) and spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    none = store_in_pieces(df.limit(0), str(tmp_path / "none"), pieces_for(spark, 0))
+    assert none.count() == 0 and none.columns == ["pos", "t", PIECE]
+
+
 @pytest.mark.parametrize("query", ["q_job_restart", "q_job_publish_built", "q_publish_versions"])
 def test_the_joined_input_is_stored_before_it_is_read_again(spark, monkeypatch, query):
     class Stored(Exception):
