@@ -11,7 +11,9 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from speechset.sinks.bucketed import buckets_for, store_placed
@@ -24,22 +26,24 @@ _IN_PLACE = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sq
 
 @dataclass(frozen=True)
 class Pieces:
-    """``width`` positions a piece; ``labels`` has for each piece a number that Spark puts into the bucket of the piece's rank."""
+    """``bounds``: the values, ascending, that the second piece and each later one begin with. ``labels`` has for each piece a number
+    that Spark puts into the bucket of the piece's rank."""
 
-    width: int
+    bounds: tuple[int, ...]
     labels: tuple[int, ...]
 
-    def of(self, position: Column) -> Column:
-        """The label of a position's piece. Positions beyond the last piece are in it, and rows without one in the first."""
-        rank = F.coalesce(F.floor(position / F.lit(self.width)), F.lit(0))
-        rank = F.least(F.greatest(rank, F.lit(0)), F.lit(len(self.labels) - 1))
-        # One text is one constant of the plan, however many labels.
-        labels = F.split(F.lit(",".join(map(str, self.labels))), ",").cast("array<int>")
-        return F.element_at(labels, (rank + 1).cast("int"))
+    def of(self, column: Column) -> Column:
+        """The label of a value's piece; values below the first bound are in the first piece, and so are nulls."""
+        bounds, labels, least = np.array(self.bounds, np.int64), np.array(self.labels, np.int32), np.iinfo(np.int64).min
 
-    def place(self, df: DataFrame, position: str = "pos") -> DataFrame:
+        def label(values: pa.Array) -> pa.Array:
+            return pa.array(labels[np.searchsorted(bounds, values.fill_null(least).to_numpy(zero_copy_only=False), "right")])
+
+        return F.arrow_udf(label, "int")(column.cast("bigint"))
+
+    def place(self, df: DataFrame, column: str = "pos") -> DataFrame:
         """``df`` dealt out by piece, with its label as ``PIECE``."""
-        return df.withColumn(PIECE, self.of(F.col(position))).repartition(len(self.labels), PIECE)
+        return df.withColumn(PIECE, self.of(F.col(column))).repartition(len(self.labels), PIECE)
 
     def join(self, rows: DataFrame, values: DataFrame, how: str = "inner", position: str = "pos") -> DataFrame:
         """Stored ``rows`` with the ``values`` of their positions. What is written ``in_place`` has them in order, and only the values
@@ -64,7 +68,33 @@ def in_place(spark: SparkSession) -> Iterator[None]:
 def pieces_for(spark: SparkSession, positions: int) -> Pieces:
     """Pieces for so many positions, as many as a table with audio needs buckets."""
     n = buckets_for(spark, positions)
-    return Pieces(max(1, -(-positions // n)), _labels(spark, n))
+    width = max(1, -(-positions // n))
+    return Pieces(tuple(range(width, width * n, width)), _labels(spark, n))
+
+
+def pieces_of_keys(keys: DataFrame, key: str, position: str = "pos") -> tuple[Pieces, Pieces]:
+    """The same pieces by position and by key, from a table of integer keys and their positions, which ascend with them. Rows of
+    equal keys are in one piece, and rows without a key in the first."""
+    n = buckets_for(keys.sparkSession, rows := keys.count())
+    width = max(1, -(-rows // n))
+    edges = keys.where((F.col(position) > 0) & (F.col(position) % width == 0)).select(key).distinct()
+    # A row for each piece at most.
+    firsts = keys.join(edges, key).groupBy(key).agg(F.min(position).alias(position)).orderBy(position).collect()
+    labels = _labels(keys.sparkSession, n)
+    return Pieces(tuple(r[position] for r in firsts), labels), Pieces(tuple(r[key] for r in firsts), labels)
+
+
+def place_numbered(df: DataFrame, keys: DataFrame, key: str, by_key: Pieces, position: str = "pos") -> DataFrame:
+    """``df`` dealt out by the pieces of its keys, with the positions that ``keys`` has for them, one for each row of a repeated key. What
+    is written ``in_place`` is shuffled once."""
+
+    def placed(rows: DataFrame, order: str) -> DataFrame:
+        return by_key.place(rows, key).withColumn("_nth", F.row_number().over(Window.partitionBy(PIECE, key).orderBy(order)))
+
+    rows = placed(df, key)
+    numbers = placed(keys, position).select(position, *[F.col(c).alias(f"_of_{c}") for c in (PIECE, key, "_nth")])
+    same = (F.col(PIECE) == F.col(f"_of_{PIECE}")) & F.col(key).eqNullSafe(F.col(f"_of_{key}")) & (F.col("_nth") == F.col("_of__nth"))
+    return rows.join(numbers, same).select(*df.columns, position, PIECE)
 
 
 def _labels(spark: SparkSession, n: int) -> tuple[int, ...]:

@@ -15,7 +15,7 @@ from speechset.plans.multilingual import multilingual_clips
 from speechset.plans.sampled_test_set import build_test_set, sampled_test_set
 from speechset.plans.voice_grid import build_grid, speaker_language_grid
 from speechset.session import bounded_list, materialize, new_folder, small_table
-from speechset.sinks.pieces import PIECE, pieces_for, store_in_pieces
+from speechset.sinks.pieces import PIECE, pieces_of_keys, place_numbered, store_in_pieces
 from speechset.streaming.history import look_up, remember
 from speechset.streaming.incremental import build_arrivals, compact
 from suite.fixtures import ALL_LANGS, TARGET_LANGS, audio, prior, table, utt
@@ -418,11 +418,11 @@ def q_job_multilingual_again(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.col("text").alias("body"))
     texts = {f"text_{lang}": F.when(F.col("lang") == lang, F.col("body")) for lang in TARGET_LANGS}
     clips = audio(spark, sf_dir).select("doc_id", F.col("audio").cast(AUDIO_TYPE).alias("clip"))
-    # Clips go to the place of their document, whose texts move once more, from the order of keys to the pieces of positions.
-    pieces = pieces_for(spark, docs.count())
-    placed = pieces.place(dense_positions(docs.select("doc_id"), "doc_id").join(clips, "doc_id").select("pos", "clip"))
-    rows = pieces.place(dense_positions(docs, "doc_id")).join(placed, [PIECE, "pos"], "left").withColumns(texts)
-    numbered = store_in_pieces(rows, new_folder(spark, "rows"), pieces)
+    # Only keys are numbered; texts and clips are shuffled once, to the pieces in which they stay.
+    keys = materialize(dense_positions(docs.select("doc_id"), "doc_id"), "numbered")
+    pieces, by_key = pieces_of_keys(keys, "doc_id")
+    rows = place_numbered(docs, keys, "doc_id", by_key).join(by_key.place(clips, "doc_id"), [PIECE, "doc_id"], "left")
+    numbered = store_in_pieces(rows.withColumns(texts), new_folder(spark, "rows"), pieces)
     home = new_folder(spark, "multilingual")
     for encoder, model in ((open_peak_encoder, open_prompt_model), (open_no_model, open_no_model)):
         job = multilingual_clips(

@@ -16,6 +16,7 @@ import suite.jobs
 import suite.steps
 from speechset.functions.audio import AUDIO_TYPE
 from speechset.operators.languages import also_in, not_in
+from speechset.operators.positions import dense_positions
 from speechset.operators.shape import SourceProfile, publishable
 from speechset.plans.build_clips import build_split, last_records
 from speechset.plans.multilingual import clone_rows, multilingual_clips
@@ -23,7 +24,7 @@ from speechset.plans.sampled_test_set import build_test_set
 from speechset.plans.stored_job import results_of, run_stored, stored_results
 from speechset.plans.voice_grid import build_grid
 from speechset.sinks.metadata import store_in_order, write_metadata
-from speechset.sinks.pieces import PIECE, in_place, pieces_for, store_in_pieces
+from speechset.sinks.pieces import PIECE, in_place, pieces_for, pieces_of_keys, place_numbered, store_in_pieces
 from tests.conftest import DATA, plan, rows
 from tests.test_build_steps import _utterances, open_easy
 
@@ -259,6 +260,23 @@ def test_pieces_ascend_and_take_odd_positions(spark, tmp_path):
     assert none.count() == 0 and none.columns == ["pos", "t", PIECE]
 
 
+def test_rows_are_numbered_where_they_lie(spark):
+    """Repeated keys, also over the edges of pieces, and rows without a key get one position each; the rows are shuffled once."""
+    ids = [None] * 30 + [5] * 40 + list(range(-20, 30)) + [10**12]
+    df = spark.createDataFrame([(k, f"t{i}") for i, k in enumerate(ids)], "k bigint, t string").orderBy(F.rand(1))
+    keys = dense_positions(df.select("k"), "k")
+    pieces, by_key = pieces_of_keys(keys, "k")
+    with in_place(spark):
+        numbered = place_numbered(df, keys, "k", by_key)
+        assert plan(numbered).split("== Physical Plan ==")[1].count("REPARTITION_BY_NUM") == 2 and numbered.columns == ["k", "t", "pos", PIECE]
+        got = numbered.withColumn("again", pieces.of(F.col("pos"))).collect()
+    assert sorted(r.t for r in got) == sorted(f"t{i}" for i in range(len(ids))) and all(r.again == r[PIECE] for r in got)
+    in_order = [r.k for r in sorted(got, key=lambda r: r.pos)]
+    assert sorted(r.pos for r in got) == list(range(len(ids))) and in_order == sorted(ids, key=lambda k: (k is not None, k or 0))
+    none = pieces_of_keys(keys.limit(0), "k")[1]
+    assert place_numbered(df.limit(0), keys.limit(0), "k", none).count() == 0
+
+
 @pytest.mark.parametrize("query", ["q_job_restart", "q_job_publish_built", "q_publish_versions"])
 def test_the_joined_input_is_stored_before_it_is_read_again(spark, monkeypatch, query):
     class Stored(Exception):
