@@ -119,3 +119,11 @@ def test_the_cutoff_follows_from_the_law_of_distances(llm):
     rows = quality(documents(llm, good + strewn)).select("doc_id", "verdict.*").toPandas().set_index("doc_id")
     assert rows.loc[:299, "kept"].all() and rows.loc[300:, "distance"].between(4, 20).all()
     assert not rows.loc[300:, "base_failed"].any() and not rows.loc[300:, "kept"].any()
+
+
+def test_one_repeated_line_makes_no_outlier(llm):
+    good = [" ".join(f"word{(i * 7 + k * (3 + i % 5)) % 997}" for k in range(80 + i % 40)) + ".\nA last line" for i in range(300)]
+    # One line of five comes again, some seven standard deviations out: farther than 97.5 percent of a normal sample, but not of any.
+    again = [g.removesuffix("\nA last line") + "".join(f"\na{k}b{i}" for k in (1, 2, 3, 1)) for i, g in enumerate(good[:5])]
+    rows = quality(documents(llm, good + again)).select("doc_id", "verdict.*").toPandas().set_index("doc_id")
+    assert rows.loc[300:, "distance"].between(4, 9).all() and rows.kept.all()
